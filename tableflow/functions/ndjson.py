@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +47,7 @@ def null_element_report(df: DataFrame) -> DataFrame:
 
     One pass with partial aggregation, however many arrays there are.
     """
-    checks = [check for f in df.schema.fields for check in _null_checks(col(f.name), f.dataType, f.name)]
+    checks = [(path, bad(col(f.name))) for f in df.schema.fields for path, bad in _null_checks(f.dataType, f.name)]
     if not checks:
         return df.sparkSession.createDataFrame([], "path string, bad_rows long")
     counts = df.agg(*[F.count_if(F.coalesce(bad, F.lit(False))).alias(f"_c{i}") for i, (_, bad) in enumerate(checks)])
@@ -57,37 +57,32 @@ def null_element_report(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def _null_checks(value: Column, data_type: T.DataType, path: str) -> list[tuple[str, Column]]:
-    """Each array under ``value`` with the condition that it holds a NULL element."""
+_Check = Callable[[Column], Column]
+
+
+def _null_checks(data_type: T.DataType, path: str) -> list[tuple[str, _Check]]:
+    """Each array inside a type, with the condition on a value that it holds a NULL element."""
     if isinstance(data_type, T.StructType):
         return [
-            check for f in data_type.fields for check in _null_checks(value.getField(f.name), f.dataType, f"{path}.{f.name}")
+            (inner, _of_field(f.name, check))
+            for f in data_type.fields
+            for inner, check in _null_checks(f.dataType, f"{path}.{f.name}")
         ]
     if isinstance(data_type, T.MapType):
-        values = F.map_values(value)
-        return _inside(values, data_type.valueType, f"{path}.{MAP_VALUE}") + _inside(
-            F.map_keys(value), data_type.keyType, f"{path}.{MAP_KEY}"
-        )
+        keys = _null_checks(data_type.keyType, f"{path}.{MAP_KEY}")
+        values = _null_checks(data_type.valueType, f"{path}.{MAP_VALUE}")
+        return [(inner, _of_some(F.map_keys, check)) for inner, check in keys] + [
+            (inner, _of_some(F.map_values, check)) for inner, check in values
+        ]
     if isinstance(data_type, T.ArrayType):
-        return [(path, null_elements(value)), *_inside(value, data_type.elementType, path)]
+        elements = _null_checks(data_type.elementType, path)
+        return [(path, null_elements)] + [(inner, _of_some(lambda array: array, check)) for inner, check in elements]
     return []
 
 
-def _inside(values: Column, element: T.DataType, path: str) -> list[tuple[str, Column]]:
-    """The checks of an element type, each as "some element fails it"."""
-    probes = _null_checks(F.lit(None), element, path) if _has_array(element) else []
-    return [
-        (
-            inner_path,
-            F.exists(values, lambda x, i=i: F.coalesce(_null_checks(x, element, path)[i][1], F.lit(False))),
-        )
-        for i, (inner_path, _) in enumerate(probes)
-    ]
+def _of_field(name: str, check: _Check) -> _Check:
+    return lambda value: check(value.getField(name))
 
 
-def _has_array(data_type: T.DataType) -> bool:
-    if isinstance(data_type, T.StructType):
-        return any(_has_array(f.dataType) for f in data_type.fields)
-    if isinstance(data_type, T.MapType):
-        return _has_array(data_type.valueType) or _has_array(data_type.keyType)
-    return isinstance(data_type, T.ArrayType)
+def _of_some(elements: _Check, check: _Check) -> _Check:
+    return lambda value: F.exists(elements(value), lambda x: F.coalesce(check(x), F.lit(False)))

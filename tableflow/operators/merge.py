@@ -78,7 +78,7 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Spark's size estimate of the plan against its own broadcast threshold."""
     threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString()) <= threshold
+    return int(str(size)) <= threshold
 
 
 def _update(target: DataFrame, latest: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
@@ -135,8 +135,6 @@ def _matches(keys: Sequence[str], left: str, right: str) -> Column:
 def _filler(data_type: T.DataType) -> Column:
     if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.lit("1970-01-01").cast(data_type)
-    if isinstance(data_type, T.TimeType):
-        return F.lit("00:00:00").cast(data_type)
     if isinstance(data_type, T.NumericType):
         return F.lit(0).cast(data_type)
     if isinstance(data_type, T.BooleanType):

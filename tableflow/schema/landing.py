@@ -13,9 +13,6 @@ from pyspark.sql import types as T
 from tableflow.columns import col
 from tableflow.schema.mapping import MAP_KEY, MAP_VALUE
 
-# Fixed value: the stored spelling of a time of day.
-TIME_FORMAT = "HH:mm:ss.SSSSSS"
-
 
 def landed(
     value: Column, data_type: T.DataType, path: str, where: Column | None = None, wire: bool = False
@@ -67,8 +64,9 @@ def decimal_text(value: Column, data_type: T.DecimalType) -> Column:
 
 
 def time_text(value: Column) -> Column:
+    """The time of day with all six digits of its fraction; Spark prints only those it needs."""
     text = value.cast("string")
-    return F.when(F.length(text) == 8, F.concat(text, F.lit("."))).otherwise(text)
+    return F.rpad(F.when(F.contains(text, F.lit(".")), text).otherwise(F.concat(text, F.lit("."))), 15, "0")
 
 
 def _landed_array(value, data_type, path, where, wire):
