@@ -1,0 +1,81 @@
+"""Runs registered queries against their SQL: python tests/check.py [sf_dir] [key ...]"""
+
+import datetime
+import decimal
+import glob
+import os
+import sys
+import time
+
+import duckdb
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def plain(value):
+    if isinstance(value, (datetime.datetime, datetime.date)):
+        return value.isoformat()
+    if isinstance(value, decimal.Decimal):
+        return str(value)
+    return value
+
+
+def canonical(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    tuples = [tuple(plain(row[i]) for i in order) for row in rows]
+    return [names[i] for i in order], sorted(tuples, key=lambda t: tuple((v is not None, str(v)) for v in t))
+
+
+def compare(spark, con, query, sql, sf_dir):
+    """None when both agree, else what differs."""
+    df = query(spark, sf_dir)
+    ours = canonical(df.columns, [tuple(r) for r in df.collect()])
+    result = con.execute(sql)
+    theirs = canonical([d[0] for d in result.description], result.fetchall())
+    if ours[0] != theirs[0]:
+        return f"columns {ours[0]} != {theirs[0]}"
+    if len(ours[1]) != len(theirs[1]):
+        return f"{len(ours[1])} rows != {len(theirs[1])}"
+    for a, b in zip(ours[1], theirs[1]):
+        if a != b:
+            return f"{str(a)[:400]} != {str(b)[:400]}"
+    return None
+
+
+def connect(sf_dir):
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"create view {name} as select * from read_parquet('{path}')")
+    return con
+
+
+def main():
+    import __spark_entry__ as entry
+
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    keys = sys.argv[2:] or list(entry.queries())
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.shuffle.partitions", "8")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(sf_dir)
+    failed = 0
+    for key in keys:
+        start = time.time()
+        try:
+            problem = compare(spark, con, entry.queries()[key], entry.oracle_sql()[key], sf_dir)
+        except Exception as error:
+            problem = f"{type(error).__name__}: {str(error)[:600]}"
+        failed += problem is not None
+        print(f"{'ok  ' if problem is None else 'FAIL'} {key} {time.time() - start:.2f}s {problem or ''}", flush=True)
+    print(f"{len(keys) - failed} of {len(keys)} agree")
+
+
+if __name__ == "__main__":
+    main()
