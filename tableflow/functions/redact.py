@@ -15,20 +15,26 @@ from tableflow.columns import col, require_columns
 MASK = "***"
 MIN_SECRET_LENGTH = 3
 _SPACE = r"\t-\r \x{85}\p{Z}"
-_WORD = r"\p{L}\p{Mn}\p{Nd}\p{Pc}"
+_NO_WORD_BEFORE = r"(?<![\p{L}\p{Mn}\p{Nd}\p{Pc}])"
+
+# Each pattern starts at one fixed character and looks behind it for the name, so the scan
+# of a text without credentials stops only at those characters. The possessive repeat keeps
+# Java from recursing once per character of a long value.
 _SHAPES = [
     # Authorization: Bearer <token>, up to the next space
-    (rf"(?i)(?<![{_WORD}])(Authorization:)[{_SPACE}]+Bearer[{_SPACE}]+[^{_SPACE}]+", f"$1 {MASK}"),
-    # "private_key": "<value>" and "private_key_id": "<value>", escapes allowed in the value.
-    # The possessive repeat keeps Java from recursing once per character of a long value.
     (
-        rf'("private_key(?:_id)?"[{_SPACE}]*:[{_SPACE}]*")(?:[^"\\]|\\[^\n])*+"',
-        f'$1{MASK}"',
+        rf":(?<={_NO_WORD_BEFORE}(?i:Authorization):)[{_SPACE}]+(?i:Bearer)[{_SPACE}]+[^{_SPACE}]+",
+        f": {MASK}",
+    ),
+    # "private_key": "<value>" and "private_key_id": "<value>", escapes allowed in the value
+    (
+        rf'"private_key(_id)?"([{_SPACE}]*:[{_SPACE}]*")(?:[^"\\]|\\[^\n])*+"',
+        f'"private_key$1"$2{MASK}"',
     ),
     # access_token=, refresh_token= and client_secret= pairs
     (
-        rf'(?i)(?<![{_WORD}])(access_token|refresh_token|client_secret)=(?:"[^"]*"|[^{_SPACE};,&]+)',
-        f"$1={MASK}",
+        rf'=(?<={_NO_WORD_BEFORE}(?i:access_token|refresh_token|client_secret)=)(?:"[^"]*"|[^{_SPACE};,&]+)',
+        f"={MASK}",
     ),
 ]
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.columns import col, require_columns
@@ -14,6 +14,8 @@ _PATTERNS = {
     "table": r"\A[\p{L}\p{N}_-]+\z",
 }
 
+_PARTS = "_name_parts"
+
 
 def parse_table_names(df: DataFrame, name_col: str, default_project: str) -> DataFrame:
     """Adds ``project``, ``dataset``, ``table`` and ``error``; the first three are NULL on error.
@@ -21,8 +23,9 @@ def parse_table_names(df: DataFrame, name_col: str, default_project: str) -> Dat
     A name has two or three parts; two-part names are in ``default_project``.
     """
     require_columns([name_col], df.columns, "name column")
-    name = col(name_col)
-    parts = F.split(name, r"\.", -1)
+    # The parts are a column of their own, so that a name is split once.
+    df = df.withColumn(_PARTS, F.split(col(name_col), r"\.", -1))
+    name, parts = col(name_col), F.col(_PARTS)
     pieces = {
         "project": F.when(F.size(parts) == 2, F.lit(default_project)).otherwise(F.get(parts, F.lit(0))),
         "dataset": F.get(parts, F.size(parts) - 2),
@@ -35,6 +38,6 @@ def parse_table_names(df: DataFrame, name_col: str, default_project: str) -> Dat
     )
     for label, pattern in _PATTERNS.items():
         error = error.when(~pieces[label].rlike(pattern), F.concat(F.lit(f"illegal {label}: "), pieces[label]))
-    return df.withColumn("error", error).withColumns(
-        {label: F.when(F.col("error").isNull(), piece) for label, piece in pieces.items()}
-    )
+    parsed = df.withColumn("error", error)
+    good = F.col("error").isNull()
+    return parsed.withColumns({label: F.when(good, piece) for label, piece in pieces.items()}).drop(_PARTS)

@@ -37,7 +37,7 @@ _read(
     """select * from orders where "o_totalprice" > 250000 and "o_orderstatus" <> 'P'""",
     predicate="""\"o_totalprice" > 250000 and "o_orderstatus" <> 'P'""",
 )
-_read("read_partitioned", "lineitem", "select * from lineitem", max_partitions=3)
+_read("read_partitioned", "lineitem", "select * from lineitem", max_partitions=64)
 _read("read_empty", "lineitem", "select * from lineitem where l_quantity > 50", cursor="l_quantity", lower="50")
 
 _read(
@@ -108,7 +108,6 @@ _read(
     cursor="l_shipdate",
     lower="1996-06-01T00:00:00",
     upper="2000-12-31T12:00:00",
-    max_partitions=64,
 )
 
 # Query texts: the oracle runs the same text.

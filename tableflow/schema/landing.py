@@ -6,7 +6,7 @@ refused); ``conformed`` casts a value to the type a target column has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,9 +58,11 @@ def null_elements(value: Column) -> Column:
 
 
 def decimal_text(value: Column, data_type: T.DecimalType) -> Column:
-    # A plain cast prints a small decimal as 0E-9 when ANSI mode is off; this spelling
-    # is the same in both modes and always carries the whole scale.
-    return F.regexp_replace(F.format_number(value, data_type.scale), ",", "")
+    """Plain digits with the whole scale, in either ANSI mode."""
+    if SparkSession.active().conf.get("spark.sql.ansi.enabled") == "true":
+        return value.cast("string")
+    # With ANSI mode off the cast prints a small decimal as 0E-9.
+    return F.translate(F.format_number(value, data_type.scale), ",", "")
 
 
 def time_text(value: Column) -> Column:

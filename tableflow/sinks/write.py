@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableflow.columns import col, quoted, require_columns
+from tableflow.columns import col, require_columns
 from tableflow.errors import Code, TableflowError
 from tableflow.operators.dedup import dedup_last
 from tableflow.operators.merge import check_keys, merge_rows
@@ -163,8 +163,9 @@ def write_table(df: DataFrame, target: str, mode: str = "append", **options) ->
             return session.commit()
     session._accept(df.schema)
     count = Observation("written")
-    rows = landed_frame(df).observe(count, F.count(F.lit(1)).alias("rows"))
-    _land(session._target, mode, rows, df.schema, [], [], session._partition_by)
+    # Counted after any shuffle, in the tasks that write: a retried task counts once.
+    rows = _clustered(landed_frame(df), session._partition_by).observe(count, F.count(F.lit(1)).alias("rows"))
+    _land(session._target, mode, rows, df.schema, [], [], [])
     return WriteResult(count.get["rows"], 1)
 
 
@@ -192,14 +193,15 @@ def _land(
     if existing is not None:
         check_write(existing.schema, rows.select(*[col(c) for c in columns]).schema, target.name)
     if mode == "append":
+        rows = _clustered(rows, partition_by)
         if existing is None:
             target.put(rows)
         else:
             target.append(conform(rows, existing.schema))
     elif mode == "replace":
-        target.put(rows)
+        target.put(_clustered(rows, partition_by))
     elif existing is None:
-        target.put(dedup_last(rows, keys, order).select(*[col(c) for c in columns]))
+        target.put(_clustered(dedup_last(rows, keys, order).select(*[col(c) for c in columns]), partition_by))
     else:
         _merge_into(target, existing, rows, keys, order, partition_by)
 
@@ -218,6 +220,14 @@ def _merge_into(
         )
         if len(touched) <= _MAX_TOUCHED_PARTITIONS:
             pruned = existing.where(partition_filter(touched, partition_by))
-            target.put_partitions(merge_rows(pruned, rows, keys, order))
+            target.put_partitions(_clustered(merge_rows(pruned, rows, keys, order), partition_by))
             return
-    target.put(merge_rows(existing, rows, keys, order))
+    target.put(_clustered(merge_rows(existing, rows, keys, order), partition_by))
+
+
+def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one table partition together, so that it gets few files.
+
+    Rebalancing, unlike a repartition, lets AQE split a partition that holds too much.
+    """
+    return df.hint("rebalance", *[col(c) for c in partition_by]) if partition_by else df

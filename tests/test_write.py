@@ -27,7 +27,8 @@ def place(request, spark, tmp_path):
         return {"datasets": {"wh": str(tmp_path / "wh")}, "staging_dir": str(tmp_path / "st")}
     spark.sql("create database if not exists wh")
     for row in spark.catalog.listTables("wh"):
-        spark.sql(f"drop table wh.`{row.name}`")
+        if not row.isTemporary:
+            spark.sql(f"drop table wh.`{row.name}`")
     return {"staging_dir": str(tmp_path / "st")}
 
 
@@ -51,7 +52,7 @@ def staged(place):
 def leftovers(spark, place):
     if "datasets" in place:
         return [n for n in os.listdir(place["datasets"]["wh"]) if n != "t.parquet" and not n.startswith(".")]
-    return [r.name for r in spark.catalog.listTables("wh") if r.name != "t"]
+    return [r.name for r in spark.catalog.listTables("wh") if not r.isTemporary and r.name != "t"]
 
 
 def test_append_creates_then_adds(spark, place):
