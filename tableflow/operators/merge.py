@@ -24,8 +24,8 @@ from tableflow.operators.dedup import dedup_last
 from tableflow.schema.diff import check_write
 from tableflow.schema.landing import conform
 
-_HIT = "_merge_hit"
 _ROW = "_merge_row"
+_TARGET, _SOURCE = "_merge_t", "_merge_s"
 
 
 def merge_rows(
@@ -43,8 +43,8 @@ def merge_rows(
     every non-key source column, NULLs included; unmatched target rows stay; unmatched
     source rows are inserted. NULL keys match NULL keys.
 
-    ``strategy`` is "auto" (broadcast the source when it passes the size check) or
-    "shuffle".
+    ``strategy`` is "auto" (broadcast the source when it passes the size check, else leave
+    the join to Catalyst) or "shuffle" (sort-merge joins whatever the size).
     """
     if strategy not in ("auto", "shuffle"):
         raise TableflowError(Code.BAD_OPTION, f"strategy must be auto or shuffle, not {strategy!r}")
@@ -54,11 +54,15 @@ def merge_rows(
     if not sequence_by:
         source, sequence_by = source.withColumn(_ROW, F.monotonically_increasing_id()), [_ROW]
     small = strategy == "auto" and fits_broadcast(source)
+    join_hint = "broadcast" if small else "merge" if strategy == "shuffle" else None
 
     wanted = T.StructType([f for f in target.schema.fields if f.name in set(written)])
     latest = conform(dedup_last(source, keys, sequence_by).select(*[col(c) for c in written]), wanted)
-    updated = _update(target, latest, keys, small)
-    inserted = _insert(target, latest, keys, small)
+    values = {name: f"_merge_value{i}" for i, name in enumerate(c for c in latest.columns if c not in set(keys))}
+    # Both arms join this one frame, so its shuffle is done once and reused.
+    keyed = latest.select(*_match_columns(latest, keys, _SOURCE), *[col(c).alias(v) for c, v in values.items()])
+    updated = _update(target, keyed, keys, values, join_hint) if values else target
+    inserted = _insert(target, keyed, keys, values, join_hint)
     return updated.union(conform(inserted, target.schema))
 
 
@@ -81,33 +85,41 @@ def fits_broadcast(df: DataFrame) -> bool:
     return int(str(size)) <= threshold
 
 
-def _update(target: DataFrame, latest: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    values = [name for name in latest.columns if name not in set(keys)]
-    if not values:
-        return target
-    names = {name: f"_merge_{i}" for i, name in enumerate(values)}
-    right = latest.select(
-        *_match_columns(latest, keys, "_s"), F.lit(True).alias(_HIT), *[col(v).alias(names[v]) for v in values]
-    )
-    left = target.select("*", *_match_columns(target, keys, "_t"))
-    joined = left.join(F.broadcast(right) if small else right, _matches(keys, "_t", "_s"), "left")
+def _update(
+    target: DataFrame, keyed: DataFrame, keys: Sequence[str], values: dict[str, str], join_hint: str | None
+) -> DataFrame:
+    left = target.select("*", *_match_columns(target, keys, _TARGET))
+    joined = left.join(_hinted(keyed, join_hint), _matches(keys, _TARGET, _SOURCE), "left")
+    # The mark of a match is a source column that is never NULL, not a value, which may be.
+    matched = F.col(f"{_SOURCE}_null0").isNotNull()
     return joined.select(
         *[
-            F.when(F.col(_HIT), F.col(names[c])).otherwise(col(c)).alias(c) if c in names else col(c)
+            F.when(matched, F.col(values[c])).otherwise(col(c)).alias(c) if c in values else col(c)
             for c in target.columns
         ]
     )
 
 
-def _insert(target: DataFrame, latest: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    present = target.select(*_match_columns(target, keys, "_t"))
-    if small:
+def _insert(
+    target: DataFrame, keyed: DataFrame, keys: Sequence[str], values: dict[str, str], join_hint: str | None
+) -> DataFrame:
+    present = target.select(*_match_columns(target, keys, _TARGET))
+    if join_hint == "broadcast":
         # Only target keys the source has matter: at most one per source row.
-        wanted = latest.select(*_match_columns(latest, keys, "_s"))
-        present = present.join(F.broadcast(wanted), _matches(keys, "_t", "_s"), "left_semi")
-    source = latest.select("*", *_match_columns(latest, keys, "_s"))
-    unmatched = source.join(present.distinct(), _matches(keys, "_t", "_s"), "left_anti")
-    return unmatched.select(*[col(c) for c in latest.columns])
+        wanted = keyed.select([c for c in keyed.columns if c not in values.values()])
+        present = present.join(_hinted(wanted, join_hint), _matches(keys, _TARGET, _SOURCE), "left_semi")
+    present = present.distinct()
+    if join_hint == "merge":
+        present = present.hint(join_hint)
+    unmatched = keyed.join(present, _matches(keys, _TARGET, _SOURCE), "left_anti")
+    return unmatched.select(
+        *[F.when(~F.col(f"{_SOURCE}_null{i}"), F.col(f"{_SOURCE}_key{i}")).alias(key) for i, key in enumerate(keys)],
+        *[F.col(v).alias(c) for c, v in values.items()],
+    )
+
+
+def _hinted(df: DataFrame, join_hint: str | None) -> DataFrame:
+    return df if join_hint is None else df.hint(join_hint)
 
 
 def _match_columns(df: DataFrame, keys: Sequence[str], prefix: str) -> list[Column]:

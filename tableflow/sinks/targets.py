@@ -5,13 +5,15 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tableflow.columns import quoted
+from tableflow.columns import col
 from tableflow.errors import Code, TableflowError
 from tableflow.files import Files
-from tableflow.schema.landing import conform
 from tableflow.sinks.staging import drop_quietly, swap_folders
 from tableflow.sources.names import TableName
 from tableflow.sources.tables import resolve_name
@@ -32,10 +34,28 @@ class FolderTarget:
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str]):
         self.spark, self.name, self.partition_by = spark, path, list(partition_by)
 
-    def read(self) -> DataFrame | None:
-        if not Files(self.spark, self.name).exists(self.name):
+    def open(self, schema: T.StructType, mode: str) -> DataFrame | None:
+        """The existing table, or None. An existing layout holds for every mode but replace."""
+        files = Files(self.spark, self.name)
+        if not files.exists(self.name):
             return None
-        return self.spark.read.parquet(self.name)
+        layout = self._layout(files)
+        existing = self.spark.read.parquet(self.name)
+        # Folder names carry no types: a partition column has the type of the write.
+        typed = [schema[f.name] if f.name in layout and f.name in schema.names else f for f in existing.schema]
+        if [f.dataType for f in typed] != [f.dataType for f in existing.schema]:
+            existing = self.spark.read.schema(T.StructType(typed)).parquet(self.name)
+        self.partition_by = settled_layout(self.name, layout, self.partition_by, schema, mode)
+        return existing
+
+    def _layout(self, files: Files) -> list[str]:
+        columns, folder = [], self.name
+        while True:
+            parts = [(name, path) for name, path, _ in files.children(folder) if "=" in name]
+            if not parts:
+                return columns
+            name, folder = parts[0]
+            columns.append(unquote(name.split("=", 1)[0]))
 
     def append(self, rows: DataFrame) -> None:
         # Spark's committer makes the new files visible when the whole job has succeeded.
@@ -82,45 +102,47 @@ class CatalogTarget:
         self.spark, self.table, self.partition_by = spark, name, list(partition_by)
         self.name = str(name)
 
-    def read(self) -> DataFrame | None:
+    def open(self, schema: T.StructType, mode: str) -> DataFrame | None:
         if not self.spark.catalog.tableExists(self.table.sql):
             return None
         kind = self.spark.catalog.getTable(self.table.sql).tableType
         if kind in ("VIEW", "TEMPORARY"):
             raise TableflowError(Code.TABLE_IS_VIEW, f"{self.name} is a view and cannot be written")
-        self._managed = kind == "MANAGED"
+        if kind != "MANAGED" and mode != "append":
+            raise TableflowError(
+                Code.TARGET_KIND, f"{self.name} is an external table; write its folder as a dataset instead"
+            )
+        layout = [c.name for c in self.spark.catalog.listColumns(self.table.sql) if c.isPartition]
+        self.partition_by = settled_layout(self.name, layout, self.partition_by, schema, mode)
         return self.spark.table(self.table.sql)
 
     def append(self, rows: DataFrame) -> None:
-        if self.spark.catalog.tableExists(self.table.sql):
-            conform(rows, self.spark.table(self.table.sql).schema).write.insertInto(self.table.sql)
-        else:
-            self._create(self.table.sql, rows)
+        rows.write.insertInto(self.table.sql)
 
     def put(self, rows: DataFrame) -> None:
-        if self.read() is None:
-            self._create(self.table.sql, rows)
-            return
-        if not self._managed:
-            raise TableflowError(
-                Code.TARGET_KIND, f"{self.name} is an external table; write its folder as a dataset instead"
-            )
+        """Fill a new table, then rename it over the old one."""
         mark = uuid.uuid4().hex
         new, old = (TableName(self.table.project, self.table.dataset, f"{part}_{mark}").sql for part in ("new", "old"))
+        replacing = self.spark.catalog.tableExists(self.table.sql)
         try:
-            self._create(new, rows)
-            self._rename(self.table.sql, old)
+            # Created empty first: a failed write then leaves a table to drop, not a stray folder.
+            self._create_empty(new, rows.schema)
+            filled = self.spark.table(new)
+            rows.select(*[col(c) for c in filled.columns]).write.insertInto(new)
+            if replacing:
+                self._rename(self.table.sql, old)
             try:
                 self._rename(new, self.table.sql)
             except BaseException:
-                self._rename(old, self.table.sql)
+                if replacing:
+                    self._rename(old, self.table.sql)
                 raise
         finally:
             self._drop_quietly(new)
         self._drop_quietly(old)
 
-    def _create(self, name: str, rows: DataFrame) -> None:
-        writer = rows.write.format("parquet")
+    def _create_empty(self, name: str, schema: T.StructType) -> None:
+        writer = self.spark.createDataFrame([], schema).write.format("parquet")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.saveAsTable(name)
@@ -136,14 +158,24 @@ class CatalogTarget:
             log.warning("could not drop %s", name, exc_info=True)
 
 
-def partition_filter(rows: list, columns: Sequence[str]):
-    """Every partition value in ``rows``, column by column: a prunable superset of the rows."""
-    from pyspark.sql import functions as F
+def settled_layout(
+    name: str, layout: list[str], asked: list[str], schema: T.StructType, mode: str
+) -> list[str]:
+    if mode == "replace":
+        return asked or [c for c in layout if c in schema.names]
+    if asked and asked != layout:
+        raise TableflowError(Code.BAD_OPTION, f"{name} is partitioned by {layout}, not by {asked}")
+    missing = [c for c in layout if c not in schema.names]
+    if missing:
+        raise TableflowError(Code.UNKNOWN_COLUMN, f"{name} is partitioned by {', '.join(missing)}, not in the write")
+    return layout
 
+
+def partition_filter(rows: list, columns: Sequence[str]) -> Column:
+    """Every partition value in ``rows``, column by column: a prunable superset of the rows."""
     condition = F.lit(True)
     for name in columns:
         values = {row[name] for row in rows}
-        column = F.col(quoted(name))
-        term = column.isin([v for v in values if v is not None])
-        condition &= (term | column.isNull()) if None in values else term
+        term = col(name).isin([v for v in values if v is not None])
+        condition &= (term | col(name).isNull()) if None in values else term
     return condition

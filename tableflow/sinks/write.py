@@ -19,7 +19,7 @@ from tableflow.schema.landing import conform, landed_frame
 from tableflow.schema.mapping import SEQUENCE_COLUMN, schema_map
 from tableflow.session import staging_root
 from tableflow.sinks.staging import drop_quietly
-from tableflow.sinks.targets import FolderTarget, partition_filter, resolve_target
+from tableflow.sinks.targets import CatalogTarget, FolderTarget, partition_filter, resolve_target
 
 MODES = ("append", "replace", "merge")
 SCHEMA_POLICIES = ("fail_on_change",)
@@ -113,7 +113,7 @@ class WriteSession:
             raise TableflowError(Code.SESSION_STATE, "nothing was written and no schema was given")
         self._state = "committed"
         try:
-            _land(self._target, self._mode, self._staged(), self._schema, self._keys, self._order(), self._partition_by)
+            _land(self._target, self._mode, self._staged(), self._schema, self._keys, self._order())
         finally:
             drop_quietly(self._spark, self._staging)
         return WriteResult(self._rows, len(self._batches))
@@ -163,9 +163,7 @@ def write_table(df: DataFrame, target: str, mode: str = "append", **options) ->
             return session.commit()
     session._accept(df.schema)
     count = Observation("written")
-    # Counted after any shuffle, in the tasks that write: a retried task counts once.
-    rows = _clustered(landed_frame(df), session._partition_by).observe(count, F.count(F.lit(1)).alias("rows"))
-    _land(session._target, mode, rows, df.schema, [], [], [])
+    _land(session._target, mode, landed_frame(df), df.schema, count=count)
     return WriteResult(count.get["rows"], 1)
 
 
@@ -185,44 +183,51 @@ def _check_schema(
 
 
 def _land(
-    target, mode: str, rows: DataFrame, schema: T.StructType, keys: list[str], order: list[str], partition_by: list[str]
+    target: FolderTarget | CatalogTarget,
+    mode: str,
+    rows: DataFrame,
+    schema: T.StructType,
+    keys: Sequence[str] = (),
+    order: Sequence[str] = (),
+    count: Observation | None = None,
 ) -> None:
     """The one job that touches the target, after the schema check every mode gets."""
-    existing = target.read()
+    existing = target.open(rows.schema, mode)
     columns = [field.name for field in schema.fields]
     if existing is not None:
         check_write(existing.schema, rows.select(*[col(c) for c in columns]).schema, target.name)
-    if mode == "append":
-        rows = _clustered(rows, partition_by)
-        if existing is None:
-            target.put(rows)
-        else:
-            target.append(conform(rows, existing.schema))
-    elif mode == "replace":
-        target.put(_clustered(rows, partition_by))
-    elif existing is None:
-        target.put(_clustered(dedup_last(rows, keys, order).select(*[col(c) for c in columns]), partition_by))
+    if mode == "merge" and existing is not None:
+        _merge_into(target, existing, rows, keys, order)
+        return
+    if mode == "merge":
+        rows = dedup_last(rows, keys, order).select(*[col(c) for c in columns])
+    rows = _clustered(rows, target.partition_by)
+    if count is not None:
+        # Counted after any shuffle, in the tasks that write: a retried task counts once.
+        rows = rows.observe(count, F.count(F.lit(1)).alias("rows"))
+    if mode == "append" and existing is not None:
+        target.append(conform(rows, existing.schema))
     else:
-        _merge_into(target, existing, rows, keys, order, partition_by)
+        target.put(rows)
 
 
 def _merge_into(
-    target, existing: DataFrame, rows: DataFrame, keys: list[str], order: list[str], partition_by: list[str]
+    target: FolderTarget | CatalogTarget,
+    existing: DataFrame,
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
 ) -> None:
+    layout = target.partition_by
     # With the partition columns among the keys, a row never changes partition, so only
     # the partitions the source names need reading and writing.
-    if isinstance(target, FolderTarget) and partition_by and set(partition_by) <= set(keys):
-        touched = (
-            rows.select(*[col(c).cast(existing.schema[c].dataType).alias(c) for c in partition_by])
-            .distinct()
-            .limit(_MAX_TOUCHED_PARTITIONS + 1)
-            .collect()
-        )
+    if isinstance(target, FolderTarget) and layout and set(layout) <= set(keys):
+        touched = rows.select(*[col(c) for c in layout]).distinct().limit(_MAX_TOUCHED_PARTITIONS + 1).collect()
         if len(touched) <= _MAX_TOUCHED_PARTITIONS:
-            pruned = existing.where(partition_filter(touched, partition_by))
-            target.put_partitions(_clustered(merge_rows(pruned, rows, keys, order), partition_by))
+            pruned = existing.where(partition_filter(touched, layout))
+            target.put_partitions(_clustered(merge_rows(pruned, rows, keys, order), layout))
             return
-    target.put(_clustered(merge_rows(existing, rows, keys, order), partition_by))
+    target.put(_clustered(merge_rows(existing, rows, keys, order), layout))
 
 
 def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:

@@ -422,6 +422,7 @@ def test_a_merge_whose_keys_lack_the_partition_rewrites_all(spark, tmp_path):
     schema = "day date, id bigint, v string"
     d1, d2 = (date(2026, 1, i) for i in (1, 2))
     write_table(frame(spark, [(d1, 1, "a"), (d2, 2, "c")], schema), "wh.t", **place)
+    del place["partition_by"]
     write_table(frame(spark, [(d2, 1, "moved")], schema), "wh.t", "merge", keys=["id"], **place)
     assert sorted((r.id, r.day, r.v) for r in table(spark, place).collect()) == [(1, d2, "moved"), (2, d2, "c")]
     write_table(frame(spark, [(d1, 7, "x")], schema), "wh.t", "append", **place)
@@ -434,3 +435,46 @@ def test_an_empty_partitioned_merge_changes_nothing(spark, tmp_path):
     empty = frame(spark, [], "day date, id bigint")
     write_table(empty, "wh.t", "merge", keys=["day", "id"], **place)
     assert table(spark, place).count() == 1
+
+
+def test_an_existing_layout_is_kept_and_checked(spark, place):
+    day = "day string, id bigint"
+    write_table(frame(spark, [("2026", 1), ("01", 2)], day), "wh.t", partition_by=["day"], **place)
+    write_table(frame(spark, [("2026", 3)], day), "wh.t", "append", **place)
+    write_table(frame(spark, [("01", 2), ("1", 4)], day), "wh.t", "merge", keys=["id", "day"], **place)
+    write_table(frame(spark, [("2027", 1)], day), "wh.t", "merge", keys=["id"], **place)
+    refused(Code.BAD_OPTION, write_table, frame(spark, [("x", 3)], day), "wh.t", partition_by=["id"], **place)
+    refused(Code.UNKNOWN_COLUMN, write_table, frame(spark, [(3,)], "id bigint"), "wh.t", **place)
+    if "datasets" in place:
+        folder = place["datasets"]["wh"] + "/t.parquet"
+        got = spark.read.schema("id bigint, day string").parquet(folder)
+        assert sorted(n for n in os.listdir(folder) if "=" in n) == ["day=01", "day=1", "day=2026", "day=2027"]
+    else:
+        got = spark.table("wh.t")
+        assert [c.name for c in spark.catalog.listColumns("wh.t") if c.isPartition] == ["day"]
+    assert sorted((r.day, r.id) for r in got.collect()) == [("01", 2), ("1", 4), ("2026", 3), ("2027", 1)]
+
+
+def test_a_replace_may_change_the_layout(spark, place):
+    rows = frame(spark, [(1, "a"), (2, "b")])
+    write_table(rows, "wh.t", "replace", partition_by=["name"], **place)
+    write_table(rows, "wh.t", "replace", partition_by=["id"], **place)
+    assert sorted((r.id, r.name) for r in table(spark, place).collect()) == [(1, "a"), (2, "b")]
+    write_table(rows.select("name"), "wh.t", "replace", **place)
+    assert sorted(tuple(r) for r in table(spark, place).collect()) == [("a",), ("b",)]
+
+
+def test_rows_of_a_partition_are_written_together(spark, tmp_path):
+    place = day_place(tmp_path)
+    rows = spark.range(0, 4000, 1, 16).selectExpr("date_add(date'2026-01-01', cast(id % 3 as int)) day", "id")
+    assert write_table(rows, "wh.t", **place).rows == 4000
+    assert [len(day_files(tmp_path, f"2026-01-0{i}")) for i in (1, 2, 3)] == [1, 1, 1]
+
+
+def test_partition_values_with_odd_characters(spark, tmp_path):
+    place = day_place(tmp_path, partition_by=["k/=%"])
+    schema = "`k/=%` string, id bigint"
+    for mode, rows in (("append", [("a/b", 1), ("x=%", 2)]), ("merge", [("a/b", 1), ("é ", 3)])):
+        keys = ["k/=%", "id"] if mode == "merge" else []
+        write_table(frame(spark, rows, schema), "wh.t", mode, keys=keys, **place)
+    assert sorted((r[1], r[0]) for r in table(spark, place).collect()) == [("a/b", 1), ("x=%", 2), ("é ", 3)]
