@@ -6,8 +6,8 @@ Spark cannot split a skewed partition of a full outer join, and one hot target k
 would then be one task. A left join it can split (AQE skew join), and the insert arm
 only needs the distinct target keys, which are combined before their shuffle.
 
-When the source is small by Spark's own size check it is broadcast, and no target row
-is shuffled at all.
+When the source is small it is broadcast, and no target row is shuffled at all. A write
+session measures its staged source for that; here Catalyst's estimate decides.
 """
 
 from __future__ import annotations
@@ -23,9 +23,11 @@ from tableflow.errors import Code, TableflowError
 from tableflow.operators.dedup import dedup_last
 from tableflow.schema.diff import check_write
 from tableflow.schema.landing import conform
+from tableflow.sizes import broadcast_limit, estimated_bytes
 
 _ROW = "_merge_row"
 _TARGET, _SOURCE = "_merge_t", "_merge_s"
+_JOIN_HINTS = {"auto": None, "broadcast": "broadcast", "shuffle": "merge"}
 
 
 def merge_rows(
@@ -43,18 +45,21 @@ def merge_rows(
     every non-key source column, NULLs included; unmatched target rows stay; unmatched
     source rows are inserted. NULL keys match NULL keys.
 
-    ``strategy`` is "auto" (broadcast the source when it passes the size check, else leave
-    the join to Catalyst) or "shuffle" (sort-merge joins whatever the size).
+    ``strategy`` is "auto" (Catalyst picks the joins by its size estimates), "broadcast"
+    (for a source whose size has been measured) or "shuffle" (sort-merge joins whatever
+    the estimates say).
     """
-    if strategy not in ("auto", "shuffle"):
-        raise TableflowError(Code.BAD_OPTION, f"strategy must be auto or shuffle, not {strategy!r}")
+    if strategy not in _JOIN_HINTS:
+        raise TableflowError(Code.BAD_OPTION, f"strategy must be {', '.join(_JOIN_HINTS)}, not {strategy!r}")
     check_keys(keys, source.schema)
     written = [name for name in source.columns if name not in set(sequence_by) - set(target.columns)]
     check_write(target.schema, source.select(*[col(c) for c in written]).schema, "the target")
     if not sequence_by:
         source, sequence_by = source.withColumn(_ROW, F.monotonically_increasing_id()), [_ROW]
-    small = strategy == "auto" and fits_broadcast(source)
-    join_hint = "broadcast" if small else "merge" if strategy == "shuffle" else None
+    join_hint = _JOIN_HINTS[strategy]
+    small = strategy == "broadcast" or (
+        strategy == "auto" and estimated_bytes(source) <= broadcast_limit(source.sparkSession)
+    )
 
     wanted = T.StructType([f for f in target.schema.fields if f.name in set(written)])
     latest = conform(dedup_last(source, keys, sequence_by).select(*[col(c) for c in written]), wanted)
@@ -62,7 +67,7 @@ def merge_rows(
     # Both arms join this one frame, so its shuffle is done once and reused.
     keyed = latest.select(*_match_columns(latest, keys, _SOURCE), *[col(c).alias(v) for c, v in values.items()])
     updated = _update(target, keyed, keys, values, join_hint) if values else target
-    inserted = _insert(target, keyed, keys, values, join_hint)
+    inserted = _insert(target, keyed, keys, values, join_hint, small)
     return updated.union(conform(inserted, target.schema))
 
 
@@ -78,13 +83,6 @@ def check_keys(keys: Sequence[str], schema: T.StructType) -> None:
         raise TableflowError(Code.MERGE_KEY, f"merge key must be a flat column: {', '.join(nested)}")
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Spark's size estimate of the plan against its own broadcast threshold."""
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= threshold
-
-
 def _update(
     target: DataFrame, keyed: DataFrame, keys: Sequence[str], values: dict[str, str], join_hint: str | None
 ) -> DataFrame:
@@ -101,10 +99,10 @@ def _update(
 
 
 def _insert(
-    target: DataFrame, keyed: DataFrame, keys: Sequence[str], values: dict[str, str], join_hint: str | None
+    target: DataFrame, keyed: DataFrame, keys: Sequence[str], values: dict[str, str], join_hint: str | None, small: bool
 ) -> DataFrame:
     present = target.select(*_match_columns(target, keys, _TARGET))
-    if join_hint == "broadcast":
+    if small:
         # Only target keys the source has matter: at most one per source row.
         wanted = keyed.select([c for c in keyed.columns if c not in values.values()])
         present = present.join(_hinted(wanted, join_hint), _matches(keys, _TARGET, _SOURCE), "left_semi")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tableflow.functions.ndjson import null_element_report, to_ndjson
-from tableflow.plans.common import scratch, table, views
-from tableflow.sinks.ndjson import write_ndjson
+from tableflow.plans.common import loaded_orders, order_increment, scratch, table, views
+from tableflow.sinks.ndjson import load_ndjson, write_ndjson
+from tableflow.sinks.write import write_table
 from tableflow.sources.ndjson import read_ndjson
 from tableflow.sources.queries import read_query
+from tableflow.sources.tables import read_table
 
 FLAT = """
 select event_id, user_id, nullif(event_type, 'error') as kind, event_type = 'view' as seen,
@@ -82,6 +84,16 @@ def ndjson_multi_file(spark, sf_dir):
     return _written_and_read(spark, table(spark, sf_dir, "lineitem"), max_records_per_file=5000)
 
 
+def ndjson_load(spark, sf_dir):
+    """Files loaded on top of a table that already holds the first load of orders."""
+    out = scratch(spark)
+    path = f"{out['out']}/rows"
+    write_table(loaded_orders(spark, sf_dir), "out.target", datasets=out)
+    write_ndjson(order_increment(spark, sf_dir), path)
+    load_ndjson(spark, path, "out.target", datasets=out)
+    return read_table(spark, "out.target", datasets=out)
+
+
 def null_elements(spark, sf_dir):
     views(spark, sf_dir, "lineitem")
     return null_element_report(read_query(spark, HOLED))
@@ -92,6 +104,7 @@ QUERIES = {
     "ndjson_nested": ndjson_nested,
     "ndjson_roundtrip": ndjson_roundtrip,
     "ndjson_multi_file": ndjson_multi_file,
+    "ndjson_load": ndjson_load,
     "null_element_report": null_elements,
 }
 
@@ -105,6 +118,7 @@ ORACLES = {
                cast(l_quantity as int) as quantity, l_shipdate as shipped, cast(l_tax as decimal(9,3)) as tax
         from lineitem""",
     "ndjson_multi_file": "select * from lineitem",
+    "ndjson_load": "select * from orders",
     "null_element_report": """
         select 'flags' as path, count(*) filter (where l_linestatus = 'O') as bad_rows from lineitem
         union all select 'rec.parts', count(*) filter (where l_suppkey = 3) from lineitem

@@ -1,12 +1,15 @@
-"""Writing a DataFrame as NDJSON files."""
+"""Writing a DataFrame as NDJSON files, and loading such files into a table."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tableflow.functions.ndjson import to_ndjson
+from tableflow.sinks.write import WriteResult, write_table
+from tableflow.sources.ndjson import read_ndjson
+from tableflow.sources.tables import open_table
 
 
 def write_ndjson(
@@ -20,3 +23,14 @@ def write_ndjson(
     if max_records_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.text(path)
+
+
+def load_ndjson(
+    spark: SparkSession, path: str, target: str, *, datasets: Mapping[str, str] | None = None
+) -> WriteResult:
+    """Append NDJSON files to an existing table, under the table's own schema.
+
+    A missing table is refused. One row that does not fit fails the load, and none lands.
+    """
+    schema = open_table(spark, target, datasets).schema
+    return write_table(read_ndjson(spark, path, schema), target, "append", datasets=datasets)

@@ -20,6 +20,7 @@ from tableflow.schema.mapping import SEQUENCE_COLUMN, schema_map
 from tableflow.session import staging_root
 from tableflow.sinks.staging import drop_quietly
 from tableflow.sinks.targets import CatalogTarget, FolderTarget, partition_filter, resolve_target
+from tableflow.sizes import broadcast_limit, row_bytes
 
 MODES = ("append", "replace", "merge")
 SCHEMA_POLICIES = ("fail_on_change",)
@@ -84,7 +85,7 @@ class WriteSession:
             self._accept(schema)
         self._staging = f"{staging_root(spark, staging_dir)}/load_{uuid.uuid4().hex}"
         self._batches: list[str] = []
-        self._rows = 0
+        self._rows = self._bytes = 0
         self._state = "open"
 
     def __enter__(self) -> WriteSession:
@@ -103,9 +104,13 @@ class WriteSession:
             rows = rows.withColumn(_BATCH, F.lit(number)).withColumn(SEQUENCE_COLUMN, F.monotonically_increasing_id())
         path = f"{self._staging}/batch_{number:06d}"
         count = Observation(f"batch_{number}")
-        rows.observe(count, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        measures = [F.count(F.lit(1)).alias("rows")]
+        if self._mode == "merge":
+            measures.append(F.coalesce(F.sum(row_bytes(rows.schema)), F.lit(0)).alias("bytes"))
+        rows.observe(count, *measures).write.parquet(path)
         self._batches.append(path)
         self._rows += count.get["rows"]
+        self._bytes += count.get.get("bytes", 0)
 
     def commit(self) -> WriteResult:
         self._require_open()
@@ -113,7 +118,9 @@ class WriteSession:
             raise TableflowError(Code.SESSION_STATE, "nothing was written and no schema was given")
         self._state = "committed"
         try:
-            _land(self._target, self._mode, self._staged(), self._schema, self._keys, self._order())
+            small = self._bytes <= broadcast_limit(self._spark)
+            strategy = "broadcast" if small else "shuffle"
+            _land(self._target, self._mode, self._staged(), self._schema, self._keys, self._order(), strategy)
         finally:
             drop_quietly(self._spark, self._staging)
         return WriteResult(self._rows, len(self._batches))
@@ -189,6 +196,7 @@ def _land(
     schema: T.StructType,
     keys: Sequence[str] = (),
     order: Sequence[str] = (),
+    strategy: str = "auto",
     count: Observation | None = None,
 ) -> None:
     """The one job that touches the target, after the schema check every mode gets."""
@@ -197,7 +205,7 @@ def _land(
     if existing is not None:
         check_write(existing.schema, rows.select(*[col(c) for c in columns]).schema, target.name)
     if mode == "merge" and existing is not None:
-        _merge_into(target, existing, rows, keys, order)
+        _merge_into(target, existing, rows, keys, order, strategy)
         return
     if mode == "merge":
         rows = dedup_last(rows, keys, order).select(*[col(c) for c in columns])
@@ -217,6 +225,7 @@ def _merge_into(
     rows: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
+    strategy: str,
 ) -> None:
     layout = target.partition_by
     # With the partition columns among the keys, a row never changes partition, so only
@@ -225,9 +234,9 @@ def _merge_into(
         touched = rows.select(*[col(c) for c in layout]).distinct().limit(_MAX_TOUCHED_PARTITIONS + 1).collect()
         if len(touched) <= _MAX_TOUCHED_PARTITIONS:
             pruned = existing.where(partition_filter(touched, layout))
-            target.put_partitions(_clustered(merge_rows(pruned, rows, keys, order), layout))
+            target.put_partitions(_clustered(merge_rows(pruned, rows, keys, order, strategy=strategy), layout))
             return
-    target.put(_clustered(merge_rows(existing, rows, keys, order), layout))
+    target.put(_clustered(merge_rows(existing, rows, keys, order, strategy=strategy), layout))
 
 
 def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:

@@ -7,7 +7,17 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableflow import Code, TableflowError, null_element_report, read_ndjson, to_ndjson, write_ndjson
+from tableflow import (
+    Code,
+    TableflowError,
+    load_ndjson,
+    null_element_report,
+    read_ndjson,
+    read_table,
+    to_ndjson,
+    write_ndjson,
+    write_table,
+)
 
 
 def lines(df, **options):
@@ -146,3 +156,23 @@ def test_time_columns_are_text_in_files(spark, tmp_path):
     df = spark.sql("select 1 i, time'03:04:05.000006' t")
     write_ndjson(df, str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out")).first().t == "03:04:05.000006"
+
+
+def test_load_appends_to_an_existing_table_only(spark, datasets, tmp_path):
+    df = spark.createDataFrame(DATA, SCHEMA)
+    write_ndjson(df, str(tmp_path / "out"))
+    with pytest.raises(TableflowError) as error:
+        load_ndjson(spark, str(tmp_path / "out"), "wh.t", datasets=datasets)
+    assert error.value.code is Code.TABLE_NOT_FOUND
+    write_table(df, "wh.t", datasets=datasets)
+    assert load_ndjson(spark, str(tmp_path / "out"), "wh.t", datasets=datasets).rows == 2
+    got = read_table(spark, "wh.t", datasets=datasets).collect()
+    assert sorted(map(str, got)) == sorted(map(str, [*read_ndjson(spark, str(tmp_path / "out"), df.schema).collect()] * 2))
+
+
+def test_a_load_with_one_bad_row_lands_nothing(spark, datasets, tmp_path):
+    write_table(spark.range(3), "wh.t", datasets=datasets)
+    (tmp_path / "in.json").write_text('{"id":4}\n{"id":"x"}\n')
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING|FAILFAST"):
+        load_ndjson(spark, str(tmp_path / "in.json"), "wh.t", datasets=datasets)
+    assert read_table(spark, "wh.t", datasets=datasets).count() == 3
