@@ -42,4 +42,4 @@ def job_stats(df: DataFrame, json_col: str, by: Sequence[str]) -> DataFrame:
 
 def _int64(text: str | Column) -> Column:
     text = F.col(text) if isinstance(text, str) else text
-    return F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint"))
+    return F.when(text.rlike(r"\A[0-9]+\z"), text.try_cast("bigint"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableflow.columns import col
-from tableflow.schema.mapping import MAP_KEY, MAP_VALUE
+from tableflow.schema.mapping import MAP_KEY, MAP_VALUE, same_type
 
 
 def landed(
@@ -109,8 +109,10 @@ def refusal(path: str, where: Column | None) -> Column:
 
 def conformed(value: Column, have: T.DataType, want: T.DataType) -> Column:
     """``value`` in the type of the target column, nested fields matched by name."""
-    if have == want or not isinstance(want, (T.StructType, T.ArrayType, T.MapType)):
-        return value if have == want else value.cast(want)
+    if same_type(have, want):
+        return value
+    if not isinstance(want, (T.StructType, T.ArrayType, T.MapType)):
+        return value.cast(want)
     if isinstance(want, T.StructType):
         types = {f.name: f.dataType for f in have.fields}
         fields = [
@@ -141,7 +143,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def _conformed_elements(value: Column, have: T.DataType, want: T.DataType) -> Column:
-    return value if have == want else F.transform(value, lambda x: conformed(x, have, want))
+    return value if same_type(have, want) else F.transform(value, lambda x: conformed(x, have, want))
 
 
 def _entry(data_type: T.DataType) -> T.DataType:

@@ -95,6 +95,11 @@ def element_type(path: str, data_type: T.DataType) -> T.DataType:
     return data_type
 
 
+def same_type(one: T.DataType, other: T.DataType) -> bool:
+    """Equal apart from what may be NULL inside."""
+    return one.simpleString() == other.simpleString()
+
+
 def field_mode(field: T.StructField) -> str:
     if is_repeated(field.dataType):
         return "REPEATED"

@@ -16,7 +16,7 @@ from tableflow.operators.dedup import dedup_last
 from tableflow.operators.merge import check_keys, merge_rows
 from tableflow.schema.diff import check_write
 from tableflow.schema.landing import conform, landed_frame
-from tableflow.schema.mapping import SEQUENCE_COLUMN, schema_map
+from tableflow.schema.mapping import SEQUENCE_COLUMN, same_type, schema_map
 from tableflow.session import staging_root
 from tableflow.sinks.staging import drop_quietly
 from tableflow.sinks.targets import CatalogTarget, FolderTarget, partition_filter, resolve_target
@@ -135,7 +135,7 @@ class WriteSession:
         _check_schema(schema, self._mode, self._keys, self._sequence_by, self._partition_by)
         if self._schema is None:
             self._schema = schema
-        elif [(f.name, f.dataType) for f in schema] != [(f.name, f.dataType) for f in self._schema]:
+        elif not same_type(schema, self._schema):
             raise TableflowError(Code.SCHEMA_MISMATCH, "the batch does not have the schema of the session")
 
     def _staged(self) -> DataFrame:

@@ -301,6 +301,26 @@ def test_batches_share_one_schema(spark, place):
         refused(Code.SCHEMA_MISMATCH, session.write, frame(spark, [(1, 1)], "id bigint, name int"))
 
 
+def test_batches_may_differ_in_what_is_nullable(spark, place):
+    with WriteSession(spark, "wh.t", **place) as session:
+        session.write(spark.sql("select 1L id, array('a') xs, named_struct('n', 1) r"))
+        session.write(frame(spark, [(2, ["b"], (None,))], "id bigint, xs array<string>, r struct<n:int>"))
+        assert session.commit().rows == 2
+    assert sorted((r.id, r.xs[0], r.r.n) for r in table(spark, place).collect()) == [(1, "a", 1), (2, "b", None)]
+
+
+@pytest.mark.parametrize("mode", ["append", "replace", "merge"])
+def test_a_write_may_read_its_own_target(spark, place, mode):
+    write_table(frame(spark, [(1, "a"), (2, "b")]), "wh.t", **place)
+    shifted = table(spark, place).select((F.col("id") + 1).alias("id"), "name")
+    write_table(shifted, "wh.t", mode, keys=["id"] if mode == "merge" else (), **place)
+    assert content(spark, place) == {
+        "append": [(1, "a"), (2, "a"), (2, "b"), (3, "b")],
+        "replace": [(2, "a"), (3, "b")],
+        "merge": [(1, "a"), (2, "a"), (3, "b")],
+    }[mode]
+
+
 def test_views_are_not_written(spark, tmp_path):
     spark.sql("create database if not exists wh")
     spark.sql("create or replace view wh.v as select 1L id")
