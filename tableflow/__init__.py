@@ -11,7 +11,7 @@ from tableflow.operators.dedup import dedup_last
 from tableflow.operators.merge import merge_rows
 from tableflow.schema.diff import SchemaProblem, check_write, schema_diff
 from tableflow.schema.mapping import MappedColumn, canonical_type, schema_map
-from tableflow.session import SETTINGS, configure, staging_root
+from tableflow.session import SETTINGS, configure, size_shuffles, staging_root
 from tableflow.sinks.ndjson import load_ndjson, write_ndjson
 from tableflow.sinks.staging import expire_staging
 from tableflow.sinks.write import WriteResult, WriteSession, write_table

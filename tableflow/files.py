@@ -15,6 +15,10 @@ class Files:
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
+    def size(self, path: str) -> int:
+        """Bytes of every file under ``path``, as the file system itself sums them."""
+        return self._fs.getContentSummary(self._path(path)).getLength()
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 

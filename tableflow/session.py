@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 50_000
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply ``SETTINGS``; all of them are runtime settings."""
@@ -26,6 +29,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Let shuffles start with partitions of about ``SHUFFLE_PARTITION_BYTES`` of the input.
+
+    AQE coalesces what turns out small, so the number is a start and not a cost. Returns it.
+    """
+    wanted = min(-(-input_bytes // SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS)
+    number = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(number))
+    return number
+
+
 def staging_root(spark: SparkSession, staging_dir: str | None = None) -> str:
     """The shared folder for staged tables: the argument, else ``spark.checkpoint.dir``.
 

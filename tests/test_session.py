@@ -1,0 +1,67 @@
+import os
+
+from tableflow import SETTINGS, configure, size_shuffles, staging_root
+from tableflow.files import Files
+
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def test_settings_hold(spark):
+    configure(spark)
+    assert {key: spark.conf.get(key) for key in SETTINGS} == SETTINGS
+
+
+def test_shuffles_grow_with_the_input(spark):
+    try:
+        assert size_shuffles(spark, 10) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert size_shuffles(spark, 10 * 2**30) == 80
+        assert size_shuffles(spark, 10 * 2**30 + 1) == 81
+        assert size_shuffles(spark, 100 * 2**40) == 50_000
+        assert spark.conf.get(_INITIAL) == "50000"
+    finally:
+        spark.conf.unset(_INITIAL)
+
+
+def test_folder_size(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"x" * 10)
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "b").write_bytes(b"x" * 5)
+    assert Files(spark, str(tmp_path)).size(str(tmp_path)) == 15
+
+
+def test_staging_root(spark, tmp_path):
+    assert staging_root(spark, "/shared/x/") == "/shared/x"
+    assert staging_root(spark) == spark.conf.get("spark.checkpoint.dir") + "/tableflow"
+
+
+def test_staging_is_refused_on_a_cluster_without_a_shared_folder(tmp_path):
+    """Stand-ins for the session: no test opens a cluster."""
+    import pytest
+
+    from tableflow import Code, TableflowError
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.folder = master, None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder + "/1"
+
+    class Session:
+        def __init__(self, master):
+            self.conf, self.sparkContext = Conf(), Context(master)
+
+    with pytest.raises(TableflowError) as error:
+        staging_root(Session("yarn"))
+    assert error.value.code is Code.STAGING_REQUIRED
+    local = Session("local[2]")
+    first = staging_root(local)
+    assert first == staging_root(local) and first.startswith("file:")
+    os.rmdir(first.removeprefix("file:").removesuffix("/1/tableflow"))
