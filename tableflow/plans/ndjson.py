@@ -71,12 +71,12 @@ def ndjson_roundtrip(spark, sf_dir):
     return back.select(
         "l_orderkey",
         "l_linenumber",
-        F.col("rec.price").alias("price"),
+        F.col("rec.price").cast("string").alias("price"),
         F.size("tags").alias("n_tags"),
         F.get(F.map_keys("counts"), F.lit(0)).alias("flag"),
         F.get(F.map_values("counts"), F.lit(0)).alias("quantity"),
         F.get("items", F.lit(0))["at"].alias("shipped"),
-        F.get("items", F.lit(0))["d"].alias("tax"),
+        F.get("items", F.lit(0))["d"].cast("string").alias("tax"),
     )
 
 
@@ -113,9 +113,9 @@ ORACLES = {
     "ndjson_nested": _NESTED_JSON,
     "ndjson_roundtrip": """
         select l_orderkey, l_linenumber,
-               case when l_returnflag <> 'N' then cast(l_extendedprice as decimal(18,2)) end as price,
+               case when l_returnflag <> 'N' then cast(l_extendedprice as decimal(18,2))::varchar end as price,
                case when l_linestatus = 'F' then 2 else 0 end as n_tags, l_returnflag as flag,
-               cast(l_quantity as int) as quantity, l_shipdate as shipped, cast(l_tax as decimal(9,3)) as tax
+               cast(l_quantity as int) as quantity, l_shipdate as shipped, cast(l_tax as decimal(9,3))::varchar as tax
         from lineitem""",
     "ndjson_multi_file": "select * from lineitem",
     "ndjson_load": "select * from orders",

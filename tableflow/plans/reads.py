@@ -120,7 +120,7 @@ NULL_CURSOR = "select l_orderkey, l_partkey, nullif(l_linenumber, 7) as line fro
 
 JOIN_AGG = """
 select n.n_name, o.o_orderpriority, count(*) as orders, max(o.o_orderdate) as last_order,
-       cast(sum(cast(o.o_totalprice as decimal(18,2))) as decimal(28,2)) as total
+       cast(sum(cast(o.o_totalprice as decimal(18,2))) as double) as total
 from orders o
 join customer c on o.o_custkey = c.c_custkey
 join nation n on c.c_nationkey = n.n_nationkey
@@ -141,12 +141,14 @@ from lineitem"""
 
 def wm_date(spark, sf_dir):
     views(spark, sf_dir, "orders")
-    return read_query(spark, TYPED_ORDERS, cursor="day", lower="1996-02-28", upper="2000-03-01")
+    orders = read_query(spark, TYPED_ORDERS, cursor="day", lower="1996-02-28", upper="2000-03-01")
+    return orders.select("o_orderkey", F.col("day").cast("string").alias("day"))
 
 
 def wm_decimal(spark, sf_dir):
     views(spark, sf_dir, "orders")
-    return read_query(spark, TYPED_ORDERS, cursor="price", lower="100000.50", lower_inclusive=True)
+    orders = read_query(spark, TYPED_ORDERS, cursor="price", lower="100000.50", lower_inclusive=True)
+    return orders.select("o_orderkey", F.col("price").cast("string").alias("price"))
 
 
 def wm_null_cursor(spark, sf_dir):
@@ -215,8 +217,10 @@ QUERIES |= {
     )
 }
 ORACLES |= {
-    "wm_date": f"select * from ({TYPED_ORDERS}) where day > date '1996-02-28' and day <= date '2000-03-01'",
-    "wm_decimal": f"select * from ({TYPED_ORDERS}) where price >= 100000.50",
+    "wm_date": f"""
+        select o_orderkey, day::varchar as day from ({TYPED_ORDERS})
+        where day > date '1996-02-28' and day <= date '2000-03-01'""",
+    "wm_decimal": f"select o_orderkey, price::varchar as price from ({TYPED_ORDERS}) where price >= 100000.50",
     "wm_null_cursor": f"select * from ({NULL_CURSOR}) where line > 2",
     "query_read": QUERY_READ,
     "query_read_join_agg": JOIN_AGG,

@@ -101,6 +101,7 @@ class CatalogTarget:
     def __init__(self, spark: SparkSession, name: TableName, partition_by: Sequence[str]):
         self.spark, self.table, self.partition_by = spark, name, list(partition_by)
         self.name = str(name)
+        self._managed = True
 
     def open(self, schema: T.StructType, mode: str) -> DataFrame | None:
         if not self.spark.catalog.tableExists(self.table.sql):
@@ -108,10 +109,7 @@ class CatalogTarget:
         kind = self.spark.catalog.getTable(self.table.sql).tableType
         if kind in ("VIEW", "TEMPORARY"):
             raise TableflowError(Code.TABLE_IS_VIEW, f"{self.name} is a view and cannot be written")
-        if kind != "MANAGED" and mode != "append":
-            raise TableflowError(
-                Code.TARGET_KIND, f"{self.name} is an external table; write its folder as a dataset instead"
-            )
+        self._managed = kind == "MANAGED"
         layout = [c.name for c in self.spark.catalog.listColumns(self.table.sql) if c.isPartition]
         self.partition_by = settled_layout(self.name, layout, self.partition_by, schema, mode)
         return self.spark.table(self.table.sql)
@@ -121,6 +119,10 @@ class CatalogTarget:
 
     def put(self, rows: DataFrame) -> None:
         """Fill a new table, then rename it over the old one."""
+        if not self._managed:
+            raise TableflowError(
+                Code.TARGET_KIND, f"{self.name} is an external table; write its folder as a dataset instead"
+            )
         mark = uuid.uuid4().hex
         new, old = (TableName(self.table.project, self.table.dataset, f"{part}_{mark}").sql for part in ("new", "old"))
         replacing = self.spark.catalog.tableExists(self.table.sql)
@@ -141,6 +143,17 @@ class CatalogTarget:
             self._drop_quietly(new)
         self._drop_quietly(old)
 
+    def put_partitions(self, rows: DataFrame) -> None:
+        # In dynamic mode Spark writes aside, and replaces only partitions it has written
+        # when the job succeeds; so the plan may read the table it writes.
+        conf, key = self.spark.conf, "spark.sql.sources.partitionOverwriteMode"
+        before = conf.get(key)
+        conf.set(key, "dynamic")
+        try:
+            rows.write.insertInto(self.table.sql, overwrite=True)
+        finally:
+            conf.set(key, before)
+
     def _create_empty(self, name: str, schema: T.StructType) -> None:
         writer = self.spark.createDataFrame([], schema).write.format("parquet")
         if self.partition_by:

@@ -230,7 +230,7 @@ def _merge_into(
     layout = target.partition_by
     # With the partition columns among the keys, a row never changes partition, so only
     # the partitions the source names need reading and writing.
-    if isinstance(target, FolderTarget) and layout and set(layout) <= set(keys):
+    if layout and set(layout) <= set(keys):
         touched = rows.select(*[col(c) for c in layout]).distinct().limit(_MAX_TOUCHED_PARTITIONS + 1).collect()
         if len(touched) <= _MAX_TOUCHED_PARTITIONS:
             pruned = existing.where(partition_filter(touched, layout))

@@ -331,10 +331,12 @@ def test_views_are_not_written(spark, tmp_path):
 def test_external_tables_are_not_replaced(spark, tmp_path):
     spark.sql("create database if not exists wh")
     spark.sql("drop table if exists wh.ext")
-    spark.sql(f"create table wh.ext (id bigint) using parquet location '{tmp_path / 'ext'}'")
-    write_table(frame(spark, [(1,)], "id bigint"), "wh.ext", "append")
-    refused(Code.TARGET_KIND, write_table, frame(spark, [(2,)], "id bigint"), "wh.ext", "replace")
-    assert spark.table("wh.ext").count() == 1
+    spark.sql(f"create table wh.ext (id bigint, p int) using parquet partitioned by (p) location '{tmp_path / 'ext'}'")
+    write_table(frame(spark, [(1, 1), (2, 2)], "id bigint, p int"), "wh.ext", "append")
+    refused(Code.TARGET_KIND, write_table, frame(spark, [(2, 2)], "id bigint, p int"), "wh.ext", "replace")
+    refused(Code.TARGET_KIND, write_table, frame(spark, [(2, 2)], "id bigint, p int"), "wh.ext", "merge", keys=["id"])
+    write_table(frame(spark, [(2, 2), (3, 3)], "id bigint, p int"), "wh.ext", "merge", keys=["id", "p"])
+    assert sorted(r.id for r in spark.table("wh.ext").collect()) == [1, 2, 3]
     spark.sql("drop table wh.ext")
 
 
@@ -416,6 +418,24 @@ def test_a_partitioned_merge_rewrites_only_touched_partitions(spark, tmp_path):
     assert [n for n in os.listdir(tmp_path / "wh" / "t.parquet") if n.startswith("_old")] == []
 
 
+def test_a_partitioned_catalog_merge_rewrites_only_touched_partitions(spark, tmp_path):
+    spark.sql("create database if not exists wh")
+    spark.sql("drop table if exists wh.t")
+    place = {"staging_dir": str(tmp_path / "st")}
+    schema = "day date, id bigint, v string"
+    d1, d2, d3 = (date(2026, 1, i) for i in (1, 2, 3))
+    rows = frame(spark, [(d1, 1, "a"), (d1, 2, "b"), (d2, 1, "c"), (None, 5, "n")], schema)
+    write_table(rows, "wh.t", partition_by=["day"], **place)
+    files = lambda: sorted(f for f in spark.table("wh.t").inputFiles() if "day=2026-01-02" in f)
+    before = files()
+    update = frame(spark, [(d1, 2, "B"), (d3, 9, "new"), (None, 5, "N")], schema)
+    write_table(update, "wh.t", "merge", keys=["day", "id"], **place)
+    got = {(r.day, r.id): r.v for r in spark.table("wh.t").collect()}
+    assert got == {(d1, 1): "a", (d1, 2): "B", (d2, 1): "c", (None, 5): "N", (d3, 9): "new"}
+    assert files() == before and len(before) == 1
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"
+
+
 def test_a_failed_partition_swap_puts_every_partition_back(spark, tmp_path, monkeypatch):
     place = day_place(tmp_path)
     schema = "day date, id bigint, v string"
