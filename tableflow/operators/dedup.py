@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableflow.columns import col, require_columns
+from tableflow.errors import Code, TableflowError
 
 _RANK = "_dedup_rank"
 
@@ -19,6 +20,8 @@ def dedup_last(df: DataFrame, keys: Sequence[str], sequence_by: Sequence[str]) -
     may win. Spark ranks inside every task before the shuffle (WindowGroupLimit), so
     a hot key sends one row per task, not all of its rows, to the task that owns it.
     """
+    if not keys or not sequence_by:
+        raise TableflowError(Code.BAD_OPTION, "deduplication needs key columns and sequence columns")
     require_columns([*keys, *sequence_by], df.columns, "key or sequence column")
     window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*[col(c).desc() for c in sequence_by])
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tableflow.operators.append import append_rows
 from tableflow.plans.common import LOADED_TO, OVERLAP_FROM, loaded_orders, order_increment, scratch, table
 from tableflow.sinks.write import WriteSession, write_table
 from tableflow.sources.tables import read_table
@@ -36,6 +37,12 @@ def append_extra_cols(spark, sf_dir):
     return read_table(spark, TARGET, datasets=out)
 
 
+def append_union(spark, sf_dir):
+    """The append as a plan, without a write."""
+    first = loaded_orders(spark, sf_dir, columns=[*_ORDER, "o_orderpriority"])
+    return append_rows(first, order_increment(spark, sf_dir, columns=_ORDER))
+
+
 def append_partitioned(spark, sf_dir):
     out = scratch(spark)
     columns = [*_ORDER, "o_orderpriority"]
@@ -129,6 +136,7 @@ QUERIES = {
     "append_create": append_create,
     "append_existing": append_existing,
     "append_extra_cols": append_extra_cols,
+    "append_union": append_union,
     "append_partitioned": append_partitioned,
     "replace": replace,
     "empty_append": _after_empty("append"),
@@ -149,6 +157,9 @@ ORACLES = {
     "append_extra_cols": f"""
         select o_orderkey, o_orderstatus, o_totalprice, case when {_LOADED} then o_orderpriority end as o_orderpriority
         from orders""",
+    "append_union": f"""
+        select o_orderkey, o_orderstatus, o_totalprice, case when {_LOADED} then o_orderpriority end as o_orderpriority
+        from orders""",
     "append_partitioned": "select o_orderkey, o_orderstatus, o_totalprice, o_orderpriority from orders",
     "replace": f"{_ALL} where {_LATER}",
     "empty_append": _ALL,

@@ -78,8 +78,7 @@ class FolderTarget:
             moves = [(new, self.name)] if whole else self._partition_moves(new)
             swap_folders(self.spark, moves)
         finally:
-            if Files(self.spark, new).exists(new):
-                drop_quietly(self.spark, new)
+            drop_quietly(self.spark, new)
         self.spark.catalog.refreshByPath(self.name)
 
     def _partition_moves(self, new: str) -> list[tuple[str, str]]:
@@ -175,7 +174,8 @@ def settled_layout(
     name: str, layout: list[str], asked: list[str], schema: T.StructType, mode: str
 ) -> list[str]:
     if mode == "replace":
-        return asked or [c for c in layout if c in schema.names]
+        kept = [c for c in layout if c in schema.names]
+        return asked or (kept if len(kept) < len(schema.names) else [])
     if asked and asked != layout:
         raise TableflowError(Code.BAD_OPTION, f"{name} is partitioned by {layout}, not by {asked}")
     missing = [c for c in layout if c not in schema.names]
