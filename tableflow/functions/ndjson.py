@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableflow.columns import col, require_columns
-from tableflow.schema.landing import landed, null_elements
+from tableflow.schema.landing import landed, null_elements, row_label
 from tableflow.schema.mapping import MAP_KEY, MAP_VALUE, schema_map
 
 # The spelling of instants and of zone-less date-times.
@@ -28,10 +28,7 @@ def ndjson_column(schema: T.StructType, key: Sequence[str] = ()) -> Column:
     objects. A NULL array element raises, naming the path and the row's ``key``.
     """
     schema_map(schema)
-    where = None
-    if key:
-        parts = [F.concat(F.lit(f"{k}="), F.coalesce(col(k).cast("string"), F.lit("NULL"))) for k in key]
-        where = F.concat_ws(", ", *parts)
+    where = row_label(key)
     fields = [landed(col(f.name), f.dataType, f.name, where, wire=True).alias(f.name) for f in schema.fields]
     return F.to_json(F.struct(*fields), {**JSON_OPTIONS, "ignoreNullFields": "false"})
 

@@ -6,6 +6,8 @@ refused); ``conformed`` casts a value to the type a target column has.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,10 +49,19 @@ def needs_landing(data_type: T.DataType, wire: bool = False) -> bool:
     return wire and isinstance(data_type, T.DecimalType)
 
 
-def landed_frame(df: DataFrame) -> DataFrame:
+def landed_frame(df: DataFrame, key: Sequence[str] = ()) -> DataFrame:
     if not needs_landing(df.schema):
         return df
-    return df.select(*[landed(col(f.name), f.dataType, f.name).alias(f.name) for f in df.schema.fields])
+    where = row_label(key)
+    return df.select(*[landed(col(f.name), f.dataType, f.name, where).alias(f.name) for f in df.schema.fields])
+
+
+def row_label(key: Sequence[str]) -> Column | None:
+    """Text that tells which row a refusal is about."""
+    if not key:
+        return None
+    parts = [F.concat(F.lit(f"{k}="), F.coalesce(col(k).cast("string"), F.lit("NULL"))) for k in key]
+    return F.concat_ws(", ", *parts)
 
 
 def null_elements(value: Column) -> Column:

@@ -99,7 +99,7 @@ class WriteSession:
         self._require_open()
         self._accept(df.schema)
         number = len(self._batches)
-        rows = landed_frame(df)
+        rows = landed_frame(df, self._keys)
         if self._mode == "merge":
             rows = rows.withColumn(_BATCH, F.lit(number)).withColumn(SEQUENCE_COLUMN, F.monotonically_increasing_id())
         path = f"{self._staging}/batch_{number:06d}"
