@@ -12,6 +12,10 @@ class Files:
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def holds(self, path: str) -> bool:
+        """Whether ``path`` is on this file system, so that a rename can reach it."""
+        return self._path(path).getFileSystem(self._fs.getConf()).getUri().equals(self._fs.getUri())
+
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 

@@ -45,6 +45,8 @@ class FolderTarget:
         typed = [schema[f.name] if f.name in layout and f.name in schema.names else f for f in existing.schema]
         if [f.dataType for f in typed] != [f.dataType for f in existing.schema]:
             existing = self.spark.read.schema(T.StructType(typed)).parquet(self.name)
+        if self.partition_by and not layout and existing.isEmpty():
+            layout = self.partition_by
         self.partition_by = settled_layout(self.name, layout, self.partition_by, schema, mode)
         return existing
 
@@ -70,13 +72,29 @@ class FolderTarget:
         """Make ``rows`` the content of the partitions they belong to, leaving the others."""
         self._swap_in(rows, whole=False)
 
+    def adopt(self, folder: str, schema: T.StructType) -> bool:
+        """Make a folder already written in this layout the table, if a rename can."""
+        if not Files(self.spark, self.name).holds(folder):
+            return False
+        self._keep_schema(folder, schema)
+        swap_folders(self.spark, [(folder, self.name)])
+        self.spark.catalog.refreshByPath(self.name)
+        return True
+
+    def _keep_schema(self, folder: str, schema: T.StructType) -> None:
+        # A partitioned write without rows leaves no file; an empty one holds the schema.
+        names = [name for name, _, _ in Files(self.spark, folder).children(folder)]
+        if self.partition_by and not any("=" in name for name in names):
+            self.spark.createDataFrame([], schema).write.mode("append").parquet(folder)
+
     def _swap_in(self, rows: DataFrame, whole: bool) -> None:
         folder, _, table = self.name.rpartition("/")
         new = f"{folder}/_new_{uuid.uuid4().hex}_{table}"
         try:
             rows.write.partitionBy(*self.partition_by).parquet(new)
-            moves = [(new, self.name)] if whole else self._partition_moves(new)
-            swap_folders(self.spark, moves)
+            if whole:
+                self._keep_schema(new, rows.schema)
+            swap_folders(self.spark, [(new, self.name)] if whole else self._partition_moves(new))
         finally:
             drop_quietly(self.spark, new)
         self.spark.catalog.refreshByPath(self.name)
@@ -142,6 +160,9 @@ class CatalogTarget:
             self._drop_quietly(new)
         self._drop_quietly(old)
 
+    def adopt(self, folder: str, schema: T.StructType) -> bool:
+        return False
+
     def put_partitions(self, rows: DataFrame) -> None:
         # In dynamic mode Spark writes aside, and replaces only partitions it has written
         # when the job succeeds; so the plan may read the table it writes.

@@ -44,8 +44,9 @@ class WriteSession:
     """Several batches, one commit. Nothing reaches the target before ``commit``.
 
     Each ``write`` lands its batch in a staging folder, so a batch is read once and
-    keeps its order stamp. ``commit`` moves the staged rows into the target with one
-    job; leaving the ``with`` block without a commit, or an error in it, drops them.
+    keeps its order stamp. ``commit`` brings the staged rows into the target with one
+    job, or, where they are the whole of a folder table, by moving the staging folder
+    there. Leaving the ``with`` block without a commit, or an error in it, drops them.
 
     In merge mode the last row of a key wins: by ``sequence_by`` when given, then by
     batch, then by position in the batch as Spark read it. Give ``sequence_by`` when the
@@ -84,8 +85,7 @@ class WriteSession:
         if schema is not None:
             self._accept(schema)
         self._staging = f"{staging_root(spark, staging_dir)}/load_{uuid.uuid4().hex}"
-        self._batches: list[str] = []
-        self._rows = self._bytes = 0
+        self._rows = self._bytes = self._batches = 0
         self._state = "open"
 
     def __enter__(self) -> WriteSession:
@@ -98,17 +98,22 @@ class WriteSession:
     def write(self, df: DataFrame) -> None:
         self._require_open()
         self._accept(df.schema)
-        number = len(self._batches)
         rows = landed_frame(df, self._keys)
-        if self._mode == "merge":
-            rows = rows.withColumn(_BATCH, F.lit(number)).withColumn(SEQUENCE_COLUMN, F.monotonically_increasing_id())
-        path = f"{self._staging}/batch_{number:06d}"
-        count = Observation(f"batch_{number}")
+        layout = []
         measures = [F.count(F.lit(1)).alias("rows")]
         if self._mode == "merge":
+            rows = rows.withColumn(_BATCH, F.lit(self._batches))
+            rows = rows.withColumn(SEQUENCE_COLUMN, F.monotonically_increasing_id())
             measures.append(F.coalesce(F.sum(row_bytes(rows.schema)), F.lit(0)).alias("bytes"))
-        rows.observe(count, *measures).write.parquet(path)
-        self._batches.append(path)
+        else:
+            if self._batches == 0:
+                # Staged as the target stores rows, so that the folder itself can become the target.
+                self._target.open(rows.schema, self._mode)
+            layout = self._target.partition_by
+        count = Observation(f"batch_{self._batches}")
+        staged = _clustered(rows, layout).observe(count, *measures)
+        staged.write.mode("append").partitionBy(*layout).parquet(self._staged_rows)
+        self._batches += 1
         self._rows += count.get["rows"]
         self._bytes += count.get.get("bytes", 0)
 
@@ -120,10 +125,11 @@ class WriteSession:
         try:
             small = self._bytes <= broadcast_limit(self._spark)
             strategy = "broadcast" if small else "shuffle"
-            _land(self._target, self._mode, self._staged(), self._schema, self._keys, self._order(), strategy)
+            folder = self._staged_rows if self._batches and self._mode != "merge" else None
+            _land(self._target, self._mode, self._staged(), self._schema, self._keys, self._order(), strategy, folder)
         finally:
             drop_quietly(self._spark, self._staging)
-        return WriteResult(self._rows, len(self._batches))
+        return WriteResult(self._rows, self._batches)
 
     def abort(self) -> None:
         self._require_open()
@@ -145,7 +151,12 @@ class WriteSession:
             empty = empty.withColumn(_BATCH, F.lit(0)).withColumn(SEQUENCE_COLUMN, F.lit(0).cast("long"))
         if not self._batches:
             return empty
-        return self._spark.read.schema(empty.schema).parquet(*self._batches)
+        staged = self._spark.read.schema(empty.schema).parquet(self._staged_rows)
+        return staged.select(*[col(c) for c in empty.columns])
+
+    @property
+    def _staged_rows(self) -> str:
+        return f"{self._staging}/rows"
 
     def _order(self) -> list[str]:
         return [*self._sequence_by, _BATCH, SEQUENCE_COLUMN]
@@ -197,9 +208,13 @@ def _land(
     keys: Sequence[str] = (),
     order: Sequence[str] = (),
     strategy: str = "auto",
+    folder: str | None = None,
     count: Observation | None = None,
 ) -> None:
-    """The one job that touches the target, after the schema check every mode gets."""
+    """The one step that touches the target, after the schema check every mode gets.
+
+    ``folder`` is where ``rows`` are staged, when they are staged as the target stores them.
+    """
     existing = target.open(rows.schema, mode)
     columns = [field.name for field in schema.fields]
     if existing is not None:
@@ -215,7 +230,7 @@ def _land(
         rows = rows.observe(count, F.count(F.lit(1)).alias("rows"))
     if mode == "append" and existing is not None:
         target.append(conform(rows, existing.schema))
-    else:
+    elif folder is None or not target.adopt(folder, rows.schema):
         target.put(rows)
 
 

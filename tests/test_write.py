@@ -512,6 +512,49 @@ def test_rows_of_a_partition_are_written_together(spark, tmp_path):
     assert [len(day_files(tmp_path, f"2026-01-0{i}")) for i in (1, 2, 3)] == [1, 1, 1]
 
 
+@pytest.mark.parametrize("exists", [True, False])
+def test_a_session_moves_its_staging_folder_into_place(spark, tmp_path, exists, monkeypatch):
+    place = day_place(tmp_path)
+    schema = "day date, id bigint"
+    d1, d2 = (date(2026, 1, i) for i in (1, 2))
+    if exists:
+        write_table(frame(spark, [(d1, 0)], schema), "wh.t", **place)
+    monkeypatch.setattr(tableflow.sinks.targets.FolderTarget, "put", None)
+    with WriteSession(spark, "wh.t", "replace", **place) as session:
+        session.write(frame(spark, [(d1, 1), (d2, 2)], schema))
+        session.write(frame(spark, [(d2, 3)], schema))
+        assert session.commit().rows == 3
+    assert sorted((r.id, r.day) for r in table(spark, place).collect()) == [(1, d1), (2, d2), (3, d2)]
+    assert staged(place) == [] and os.listdir(tmp_path / "wh") == ["t.parquet"]
+
+
+def test_a_staging_folder_on_another_store_is_copied(spark, tmp_path, monkeypatch):
+    place = {"datasets": {"wh": str(tmp_path / "wh")}, "staging_dir": str(tmp_path / "st")}
+    monkeypatch.setattr(tableflow.sinks.targets.Files, "holds", lambda self, path: False)
+    with WriteSession(spark, "wh.t", "replace", **place) as session:
+        session.write(frame(spark, [(1, "a")]))
+        session.commit()
+    assert content(spark, place) == [(1, "a")] and staged(place) == []
+
+
+@pytest.mark.parametrize("in_session", [True, False])
+def test_a_partitioned_table_may_become_empty(spark, tmp_path, in_session):
+    place = day_place(tmp_path)
+    rows = frame(spark, [(date(2026, 1, 1), 1)], "day date, id bigint")
+    write_table(rows, "wh.t", **place)
+    if in_session:
+        with WriteSession(spark, "wh.t", "replace", **place) as session:
+            session.write(rows.where("id < 0"))
+            session.commit()
+    else:
+        write_table(rows.where("id < 0"), "wh.t", "replace", **place)
+    assert table(spark, place).collect() == [] and sorted(table(spark, place).columns) == ["day", "id"]
+    for _ in range(2):
+        write_table(rows, "wh.t", **place)
+    assert [(r.day, r.id) for r in table(spark, place).collect()] == [(date(2026, 1, 1), 1)] * 2
+    assert (tmp_path / "wh" / "t.parquet" / "day=2026-01-01").is_dir()
+
+
 def test_partition_values_with_odd_characters(spark, tmp_path):
     place = day_place(tmp_path, partition_by=["k/=%"])
     schema = "`k/=%` string, id bigint"
