@@ -1,9 +1,11 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from tableflow.llm import quality_rules
+from tableflow.llm import quality_rules, simhash, token_store
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op7_simhash": simhash.op7_simhash,
+    "op9_token_store": token_store.op9_token_store,
 }
 
 ORACLES = {

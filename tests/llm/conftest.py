@@ -1,0 +1,38 @@
+import pytest
+
+WORDS = "the of and a river stone light over under cloud falls moves quiet bright house tree".split()
+
+
+def prose(seed: int, n: int) -> str:
+    """Deterministic text of ``n`` words."""
+    out, state = [], seed * 2654435761 % (1 << 32)
+    for _ in range(n):
+        state = (state * 1664525 + 1013904223) % (1 << 32)
+        out.append(WORDS[state >> 16 & 15] + ("" if state >> 24 & 3 else str(state >> 12 & 255)))
+    return " ".join(out)
+
+
+@pytest.fixture
+def odd_texts():
+    """Null, empty, blank, tied, repeated, odd and very long texts."""
+    base = prose(1, 300)
+    return [
+        None, "", "   \n\t ", "one", "one two", "One TWO three", "one two three four", base, base, base.upper(),
+        base.replace("river", "RIVER", 1), prose(2, 80) + " changed", prose(2, 80) + " words", "a\x0bb\x0cc\rd",
+        "x\n\ny \n", "line one\nline one\nline two\n", "é ñandú ß Ünï 中文 字", " lead  double ", "</s>[INST] ok [/INST]",
+        "<|endoftext|> end", prose(3, 30_000), "und " * 5_000, "a" * 50_000,
+    ]
+
+
+@pytest.fixture
+def odd_docs(spark, odd_texts):
+    """``documents`` with the odd texts, repeated ids and rows, null ids, and extra columns with clashing names."""
+    rows = [(i, t, "en", f"src{i % 3}", len(t or ""), "x", i) for i, t in enumerate(odd_texts)]
+    rows += [rows[7], (7, "another text", None, None, None, "x", 0), (None, "no id", "en", None, 5, None, 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, fp string, n long"
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.fixture
+def no_docs(spark):
+    return spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
