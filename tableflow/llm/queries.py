@@ -1,13 +1,16 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from tableflow.llm import quality_rules, simhash, token_store
+from tableflow.llm import mixing, packing, quality_rules, simhash, token_store
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op3_mixing": mixing.op3_mixing,
     "op7_simhash": simhash.op7_simhash,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_token_store": token_store.op9_token_store,
 }
 
 ORACLES = {
     "op1_quality_rules": quality_rules.OP1_SQL,
+    "op3_mixing": mixing.OP3_SQL,
 }
