@@ -35,11 +35,11 @@ def n_words_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^ \\t-\\r]+")), F.lit(0)).cast("long")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{staging_root(spark)}/llm_{name}_{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     again = spark.read.schema(df.schema).parquet(path)
     again.staged_path = path
     return again

@@ -25,10 +25,9 @@ _RANK_BITS = 44
 def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TokenEncoder(path, "words")
-        for batch in batches:
-            ids, ends = encoder.encode(batch.column(1))
+        for doc_ids, ids, ends in encoder.encode_batches(batches):
             rows: list[tuple] = []
-            for i, doc_id in enumerate(batch.column(0).to_pylist()):
+            for i, doc_id in enumerate(doc_ids.to_pylist()):
                 own = np.append(ids[ends[i] : ends[i + 1]], end_id).astype("<u4")
                 for piece, start in enumerate(range(0, len(own), capacity)):
                     part = own[start : start + capacity]

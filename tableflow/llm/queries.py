@@ -1,10 +1,14 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from tableflow.llm import mixing, packing, quality_rules, simhash, token_store
+from tableflow.llm import chat, html, mixing, packing, quality_classifier, quality_rules, simhash, token_store, winnow
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_html_extract": html.op2_html_extract,
     "op3_mixing": mixing.op3_mixing,
+    "op4_winnowing": winnow.op4_winnowing,
+    "op5_chat_format": chat.op5_chat_format,
+    "op6_quality_classifier": quality_classifier.op6_quality_classifier,
     "op7_simhash": simhash.op7_simhash,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_token_store": token_store.op9_token_store,

@@ -50,8 +50,7 @@ def unpack_ids(control: bytes, data: bytes, n: int) -> np.ndarray:
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TokenEncoder(path, "bytes")
-        for batch in batches:
-            ids, ends = encoder.encode(batch.column(1))
+        for doc_ids, ids, ends in encoder.encode_batches(batches):
             n = len(ends) - 1
             # The end id goes behind each document.
             out = np.insert(ids, ends[1:], end_id) if n else ids
@@ -59,7 +58,7 @@ def _encode(path: str, end_id: int):
             raw = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), n, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(out.tobytes())]
             )
-            yield pa.record_batch([batch.column(0), raw.cast(pa.binary())], names=["doc_id", "ids"])
+            yield pa.record_batch([doc_ids, raw.cast(pa.binary())], names=["doc_id", "ids"])
 
     return run
 
@@ -147,7 +146,7 @@ def write_token_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID) ->
     spark = docs.sparkSession
     dtype = str(TokenEncoder(tokenizer, "bytes").dtype)
     encoded = staged(
-        docs.select("doc_id", "text").mapInArrow(_encode(tokenizer, end_id), "doc_id long, ids binary"), "token_ids"
+        docs.select("doc_id", "text").mapInArrow(_encode(tokenizer, end_id), "doc_id long, ids binary"), "token_ids", "zstd"
     )
     counts = (
         encoded.select("ids").mapInArrow(_id_counts(dtype), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
@@ -160,7 +159,7 @@ def write_token_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID) ->
     blocks = ordered.select(F.monotonically_increasing_id().alias("pos"), "doc_id", "ids").mapInArrow(
         _blocks(dtype, code_of), BLOCK_SCHEMA
     )
-    written = staged(blocks, "token_blocks")
+    written = staged(blocks, "token_blocks", "zstd")
     drop_staged(encoded)
     return written, id_of
 

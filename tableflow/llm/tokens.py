@@ -16,8 +16,9 @@ import pyarrow.compute as pc
 from tableflow.llm.common import worker_memory
 
 #: Parts remembered by a worker process, about 250 bytes each.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 300_000
 _CHUNK = 20_000
+_ROWS = 2000
 
 #: White space other than single spaces and newlines inside the text, or the mark used below: such texts are
 #: encoded whole by the byte-level tokenizer.
@@ -75,6 +76,13 @@ class TokenEncoder:
         marked = pc.replace_substring(pc.binary_join_element_wise("\x01", texts, ""), "\n", " \n \x01")
         return pc.split_pattern(marked, " ")
 
+    def encode_batches(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+        """From batches of an id and a text column: the first, and what ``encode`` gives, for a few rows at a time."""
+        for batch in batches:
+            for at in range(0, batch.num_rows, _ROWS):
+                some = batch.slice(at, _ROWS)
+                yield some.column(0), *self.encode(some.column(1))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text begins and the last ends; null is empty."""
         texts = pc.fill_null(texts, "")

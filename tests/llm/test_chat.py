@@ -1,0 +1,78 @@
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tableflow.llm.chat import escape, format_chat, op5_chat_format, parse, read_chat, render, unescape
+from tableflow.llm.common import table
+
+PIECES = ["</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<<ROLE>>", "<</ROLE>>", "\\", "<", "[", " ", "\n", "ok", "/", ">", "s>"]
+texts = st.lists(st.sampled_from(PIECES), max_size=12).map("".join)
+
+
+@given(st.lists(st.tuples(st.sampled_from(["system", "user", "assistant", "tool", "", "<s>"]), texts), max_size=5))
+@settings(max_examples=500, deadline=None)
+def test_round_trip(turns):
+    pieces = [render(role, text) for role, text in turns]
+    assert parse("".join(p for p, _, _ in pieces)) == turns
+    for (role, text), (piece, a, b) in zip(turns, pieces):
+        assert unescape(piece[a:b]) == text
+
+
+@given(texts)
+@settings(max_examples=500, deadline=None)
+def test_escape_is_undone(text):
+    assert unescape(escape(text)) == text
+
+
+def test_plain_text_is_left_alone():
+    assert render("user", "a < b [x]")[0] == "<s>[INST] a < b [x] [/INST]"
+
+
+@pytest.mark.parametrize("broken", ["<s>[INST] x", "x", "<<SYS>>a", " text"])
+def test_what_is_no_conversation_is_refused(broken):
+    with pytest.raises(ValueError):
+        parse(broken)
+
+
+def check(conversations):
+    by = {}
+    for r in conversations.select("conv_id", "turn", "role", "text").collect():
+        by.setdefault(r.conv_id, []).append((r.turn is not None, r.turn or 0, r.role or "", r.text or ""))
+    want = {}
+    for conv_id, turns in by.items():
+        said = [(role, text) for _, _, role, text in sorted(turns)]
+        loss = "".join(text for role, text in said if role == "assistant")
+        whole = "".join(f"{role}\n{text}\n" for role, text in said)
+        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        want[conv_id] = (len(said), sha(whole), len(loss), sha(loss))
+    got = read_chat(format_chat(conversations)).collect()
+    assert {r.conv_id: tuple(r)[1:5] for r in got} == want
+    assert len(got) == len(want)
+    sizes = {}
+    for r in format_chat(conversations).collect():
+        sizes[r.conv_id] = sizes.get(r.conv_id, 0) + len(r.formatted)
+    assert {r.conv_id: r.formatted_chars for r in got} == sizes
+
+
+def test_given_conversations(spark, sf_dir):
+    check(table(spark, sf_dir, "conversations"))
+    planted = op5_chat_format(spark, sf_dir).where("conv_id = -7").first()
+    assert (planted.n_turns, planted.loss_chars) == (2, len("</s>[INST] ok [/INST]"))
+
+
+def test_odd_conversations(spark, odd_texts):
+    schema = "conv_id long, turn long, role string, text string, formatted string, position long"
+    roles = ["user", "assistant", "system", "tool", None]
+    rows = [(i % 4, i, roles[i % 5], t, "x", 0) for i, t in enumerate(odd_texts)]
+    rows += [(None, None, "user", "x", None, None), (1, None, "assistant", "first", None, None), rows[1], rows[1]]
+    check(spark.createDataFrame(rows, schema))
+    check(spark.createDataFrame([], schema))
+
+
+def test_one_long_conversation(spark):
+    rows = spark.range(20_000).selectExpr(
+        "id % 3 div 2 as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "concat('turn ', id, ' <s>') as text"
+    )
+    check(rows)

@@ -1,0 +1,60 @@
+import html
+import re
+
+import pytest
+
+from tableflow.llm.common import table
+from tableflow.llm.html import extract_pages, main_text, op2_html_extract
+
+LONG = "Words of an article that go on for quite some time before they end. " * 3
+
+
+def plain_article(page):
+    """The blocks of the one article element of a generated page."""
+    inner = re.search(r"<article>(.*?)</article>", page or "", re.S)
+    out = []
+    for block in re.split(r"</?(?:p|h1)>", inner[1] if inner else ""):
+        text = html.unescape(re.sub(r"</?b>", "", block.replace("<br>", " ")))
+        out.append(" ".join(text.split()))
+    return "\n".join(t for t in out if t)
+
+
+def test_given_pages(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    want = {r.page_id: plain_article(r.html) for r in pages.collect()}
+    got = op2_html_extract(spark, sf_dir).collect()
+    assert {r.page_id: r.text for r in got} == want
+    assert all(r.n_chars == len(r.text) for r in got)
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (None, ""),
+        ("", ""),
+        ("<html><body></body></html>", ""),
+        ("just text &amp; more", "just text & more"),
+        (f"<div class=menu><a>Home</a></div><div><p>{LONG}<p>Short.</div>", f"{LONG.strip()}\nShort."),
+        (f"<article><h1>T</h1><p>{LONG}</p><div class='ad'>Buy</div><p>a\n &lt;b&gt;&nbsp; c</p></article>", f"T\n{LONG.strip()}\na <b> c"),
+        (f"<body class='has-sidebar'><p>{LONG}</p><div id='sidebar'><p>{LONG}</p></div></body>", LONG.strip()),
+        (f"<main><p>{LONG}<section class=comments><p>{LONG}</section></main><footer>f</footer>", LONG.strip()),
+        (f"<header><h1>Site</h1></header><p>{LONG}</p><p class='cookie-notice'>We use cookies<p>End.", f"{LONG.strip()}\nEnd."),
+        (f"<p>{LONG}</p><script>if (a < b) document.write('<p>no</p>')</script><style>p{{}}</style><!-- <p>no</p> -->", LONG.strip()),
+        (f"<p>{LONG}</p><form><label>Name</label><input><button>Go</button></form><div hidden>h</div>", LONG.strip()),
+        (f"<ul><li>one<li>two</ul><p>{LONG}", f"one\ntwo\n{LONG.strip()}"),
+        (f"<p>{LONG}<b>bold</i></div></p><p>next", f"{LONG.strip()} bold\nnext"),
+    ],
+)
+def test_pages(page, text):
+    assert main_text(page) == text
+
+
+def test_odd_pages(spark):
+    long = "<article>" + f"<p>{LONG}</p>" * 5000 + "</article>"
+    deep = "<div>" * 3000 + LONG + "</div>" * 3000
+    rows = [(1, "u", None, "x"), (1, "u", "", "x"), (None, None, "<p>a", "x"), (2, "v", long, "x"), (2, "v", long, "x"), (3, "w", deep, "x")]
+    got = extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
+    assert len(got) == len(rows)
+    by = {r.page_id: r.text for r in got}
+    assert by[2].count("\n") == 4999 and by[3] == LONG.strip() and by[None] == "a"
+    assert extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0

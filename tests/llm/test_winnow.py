@@ -1,0 +1,74 @@
+import hashlib
+
+import numpy as np
+import pytest
+
+from tableflow.llm.common import table
+from tableflow.llm.winnow import GRAM, WINDOW, compare_with_edits, fingerprint_documents, likeness, op4_winnowing, winnow
+
+
+def plain_winnow(text, gram, window):
+    """The definition, with the library's hash of each gram alone."""
+    grams = [text[i : i + gram] for i in range(len(text) - gram + 1)] if len(text) >= gram else [text] * bool(text)
+    hashes = [int(winnow(g, gram, 1)[0][0]) for g in grams]
+    chosen = []
+    for a in range(max(1, len(hashes) - window + 1) if hashes else 0):
+        part = [h >> 32 for h in hashes[a : a + window]]
+        at = a + max(i for i, h in enumerate(part) if h == min(part))
+        if not chosen or chosen[-1] != at:
+            chosen.append(at)
+    return [hashes[i] for i in chosen], chosen
+
+
+@pytest.mark.parametrize("gram,window", [(16, 32), (5, 4), (1, 1), (7, 3), (13, 20)])
+def test_winnow_by_definition(odd_texts, gram, window):
+    for text in odd_texts:
+        text = (text or "")[:1500]
+        hashes, positions = winnow(text, gram, window)
+        assert (hashes.tolist(), positions.tolist()) == plain_winnow(text, gram, window)
+
+
+def test_a_shared_passage_is_met():
+    rng = np.random.default_rng(1)
+    letters = lambda n: "".join(chr(97 + c) for c in rng.integers(0, 26, n))
+    for _ in range(50):
+        passage = letters(GRAM + WINDOW - 1)
+        a, b = letters(rng.integers(0, 300)) + passage + letters(50), letters(70) + passage + letters(20)
+        assert len(np.intersect1d(winnow(a)[0], winnow(b)[0]))
+
+
+def check(docs):
+    rows = sorted(
+        ((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()),
+        key=lambda r: (r[0] is None, -(r[0] or 0), r[1].encode()),
+    )
+    want = []
+    for i, (doc_id, text) in enumerate(rows):
+        following = rows[(i + 1) % len(rows)][1]
+        third = len(text) // 3
+        edited = text[: len(text) - third] + following[:third]
+        own, new, other = (winnow(t)[0] for t in (text, edited, following))
+        want.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), likeness(own, new), likeness(own, other)))
+    got = compare_with_edits(docs).collect()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in got), key=key) == sorted(want, key=key)
+    prints = {}
+    by_text = {(r.doc_id, r.n_chars): r.fingerprint for r in got}
+    for doc_id, text in rows:
+        prints.setdefault(text, set()).add(by_text[doc_id, len(text)])
+    assert all(len(p) == 1 for p in prints.values())
+
+
+def test_given_documents(spark, sf_dir):
+    check(table(spark, sf_dir, "documents"))
+    assert op4_winnowing(spark, sf_dir).columns[:2] == ["doc_id", "n_chars"]
+
+
+def test_odd_documents(odd_docs):
+    check(odd_docs)
+    assert fingerprint_documents(odd_docs).count() == odd_docs.count()
+
+
+@pytest.mark.parametrize("n", [0, 1, 2])
+def test_few_documents(spark, n):
+    check(spark.createDataFrame([(5 * i, "some words " * (i + 1)) for i in range(n)], "doc_id long, text string"))
