@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableflow.llm.common import table
+from tableflow.llm.common import LOWER, UPPER, table
 
 #: Labelled documents the space is fitted on and votes come from, at most.
 SAMPLE = 4096
@@ -23,21 +24,44 @@ NEIGHBOURS = 32
 THRESHOLD = 0.3
 _BLOCK = 512
 
+#: Steps of each measure of a text's shape; a step is a term of its own.
+STEPS = 8
+_MEASURES = 5
 _HASH = (np.arange(1 << 16, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(53)).astype(np.uint16)
+# Which of four kinds a byte is: a symbol, a capital A-Z, a small a-z, an exclamation mark.
+_KINDS = [np.isin(np.arange(256), list(chars)) for chars in (b"#$%&*+/<=>@[\\]^_{|}~", UPPER.encode(), LOWER.encode(), b"!")]
 
 
 def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _shape(raw: np.ndarray, words: list[bytes]) -> list[float]:
+    """Shares between 0 and 1: words equal to the one before, repeated words, symbols, capitals, exclamation marks."""
+    seen = np.bincount(raw, minlength=256)
+    symbols, upper, lower, shouts = (int(seen[kind].sum()) for kind in _KINDS)
+    n = max(1, len(words))
+    return [
+        sum(map(eq, words, words[1:])) / n,
+        1 - len(set(words)) / n,
+        min(1.0, symbols / n),
+        upper / max(1, upper + lower),
+        min(1.0, shouts / n),
+    ]
+
+
 def term_counts(texts: pa.Array) -> np.ndarray:
-    """Rows of damped counts of each text's hashed byte bigrams, over the whole text."""
-    out = np.zeros((len(texts), TERMS), np.float32)
+    """A row for each whole text: damped counts of its hashed byte bigrams, then a 1 at the step of each measure."""
+    out = np.zeros((len(texts), TERMS + _MEASURES * STEPS), np.float32)
     for i, text in enumerate(texts):
-        raw = np.frombuffer((text.as_py() or "").encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint16)
+        encoded = (text.as_py() or "").encode("utf-8", "surrogatepass")
+        raw = np.frombuffer(encoded, np.uint8)
         if len(raw) > 1:
-            out[i] = np.bincount(_HASH[raw[:-1] << 8 | raw[1:]], minlength=TERMS)
-    return np.log1p(out)
+            wide = raw.astype(np.uint16)
+            out[i, :TERMS] = np.log1p(np.bincount(_HASH[wide[:-1] << 8 | wide[1:]], minlength=TERMS))
+            for k, share in enumerate(_shape(raw, encoded.split())):
+                out[i, TERMS + k * STEPS + min(STEPS - 1, int(STEPS * share))] = 1
+    return out
 
 
 @dataclass(frozen=True)
@@ -51,8 +75,7 @@ class LatentSpace:
 
     def project(self, counts: np.ndarray) -> np.ndarray:
         """Unit vectors; a text without terms is the zero vector."""
-        vectors = _unit(counts * self.weights) @ self.projection
-        return _unit(vectors)
+        return _unit(_weighed(counts, self.weights) @ self.projection)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         """Votes of the nearest labelled vectors, weighted by similarity; exact products, a block at a time.
@@ -77,13 +100,19 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return (rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
+def _weighed(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Bigrams and measures each as a unit vector, so that a text's length does not decide what counts."""
+    rows = counts * weights
+    return np.hstack([_unit(rows[:, :TERMS]), _unit(rows[:, TERMS:])])
+
+
 def fit_space(counts: np.ndarray, labels: np.ndarray) -> LatentSpace:
     """Inverse document frequencies and the leading right singular vectors (randomised subspace iteration)."""
     n = len(counts)
     weights = np.log((1 + n) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
-    weighed = _unit(counts * weights)
-    rank = min(RANK, n, TERMS)
-    basis = np.random.default_rng(0).standard_normal((TERMS, min(rank + 16, TERMS))).astype(np.float32)
+    weighed = _weighed(counts, weights)
+    rank = min(RANK, n)
+    basis = np.random.default_rng(0).standard_normal((counts.shape[1], rank + 16)).astype(np.float32)
     for _ in range(4 if n else 0):
         basis = np.linalg.qr(weighed.T @ (weighed @ basis))[0]
     if n:
@@ -123,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LatentSpa
         .orderBy("doc_id")
         .collect()
     )
-    counts = np.frombuffer(b"".join(bytes(r.counts) for r in rows), np.float32).reshape(-1, TERMS)
+    counts = np.frombuffer(b"".join(bytes(r.counts) for r in rows), np.float32).reshape(-1, TERMS + _MEASURES * STEPS)
     return fit_space(counts, np.array([r.label for r in rows], np.float64))
 
 

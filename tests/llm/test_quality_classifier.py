@@ -14,7 +14,7 @@ def test_held_out_accuracy(spark):
     assert rows.score.between(0, 1).all()
     assert (rows.predicted == (rows.score >= THRESHOLD)).all()
     held = rows[rows.held_out]
-    assert (held.predicted == held.quality).mean() > 0.9
+    assert (held.predicted == held.quality).mean() > 0.97
 
 
 def test_votes_by_definition():
