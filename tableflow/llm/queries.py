@@ -1,6 +1,17 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from tableflow.llm import chat, html, mixing, packing, quality_classifier, quality_rules, simhash, token_store, winnow
+from tableflow.llm import (
+    chat,
+    html,
+    lm_scoring,
+    mixing,
+    packing,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    token_store,
+    winnow,
+)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -12,6 +23,7 @@ QUERIES = {
     "op7_simhash": simhash.op7_simhash,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_token_store": token_store.op9_token_store,
+    "op10_lm_scoring": lm_scoring.op10_lm_scoring,
 }
 
 ORACLES = {

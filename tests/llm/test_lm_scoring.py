@@ -1,0 +1,83 @@
+import math
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from tableflow.llm.common import table
+from tableflow.llm.lm_scoring import CLASSES, classes_of, features, lm_scores, op10_lm_scoring, tokens_of, train
+
+
+def plain_tokens(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", lowered), "\n"]
+
+
+def held_out(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
+
+
+def check_base(docs):
+    rows = [(r.doc_id, plain_tokens(r.text)) for r in docs.select("doc_id", "text").collect()]
+    counts = {}
+    for doc_id, tokens in rows:
+        if not held_out(doc_id):
+            for t in tokens:
+                counts[t] = counts.get(t, 0) + 1
+    n, v = sum(counts.values()), len(counts)
+    want = [
+        (str(d), held_out(d), len(ts), sum(t in counts for t in ts), n, sum(math.log10((counts.get(t, 0) + 1) / (n + v + 1)) for t in ts))
+        for d, ts in rows
+    ]
+    got = lm_scores(docs).collect()
+    got_base = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got)
+    for a, b in zip(got_base, sorted(want), strict=True):
+        assert a[:5] == b[:5]
+        assert a[5] == pytest.approx(b[5], rel=1e-9, abs=1e-9)
+    assert all(r.score <= 1e-6 and math.isfinite(r.score) for r in got)
+    return got
+
+
+def test_held_out_scores_beat_the_base(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    rows = op10_lm_scoring(spark, sf_dir).where("held_out").toPandas()
+    assert rows.score.sum() > rows.base_score.sum()
+    assert (rows.score > rows.base_score).mean() > 0.9
+
+
+def test_given_documents(spark, sf_dir):
+    check_base(table(spark, sf_dir, "documents"))
+
+
+def test_odd_documents(odd_docs, no_docs):
+    check_base(odd_docs)
+    assert lm_scores(no_docs).count() == 0
+
+
+def test_chances_sum_to_one(spark, sf_dir):
+    """Over every known word, the end, and the unseen words of each class, after any context."""
+    model, vocabulary = train(table(spark, sf_dir, "documents"))
+    words = vocabulary.toPandas()
+    share = np.zeros(CLASSES)
+    import pyarrow as pa
+
+    found = classes_of(pa.array(words["word"].tolist()), model.own)
+    np.add.at(share, found, (words["c"].to_numpy() + 1) / model.class_mass[found])
+    unseen = np.where(np.arange(CLASSES) > len(model.own), 1 / model.class_mass, 0)
+    used = np.bincount(found, minlength=CLASSES) > 0
+    own_or_end = np.arange(CLASSES) <= len(model.own)
+    assert share[used & own_or_end] == pytest.approx(1.0)
+    assert (share + unseen)[~own_or_end & (np.arange(CLASSES) > 31)] == pytest.approx(1.0)
+
+
+def test_features_look_back_only(odd_texts):
+    import pyarrow as pa
+
+    texts = [t for t in odd_texts if t and len(t) < 5000]
+    whole = tokens_of(pa.array(texts))
+    rows = features(whole)
+    for i, text in enumerate(texts):
+        alone = tokens_of(pa.array([text]))
+        assert [alone.words[c].as_py() for c in alone.code] == plain_tokens(text)
+        assert (features(alone) == rows[whole.starts[i] : whole.starts[i + 1]]).all()
