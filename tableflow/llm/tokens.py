@@ -16,9 +16,9 @@ import pyarrow.compute as pc
 from tableflow.llm.common import worker_memory
 
 #: Parts remembered by a worker process, about 250 bytes each.
-MEMO_ENTRIES = 300_000
-_CHUNK = 20_000
-_ROWS = 2000
+MEMO_ENTRIES = 200_000
+_CHUNK = 2_000
+_ROWS = 1000
 
 #: White space other than single spaces and newlines inside the text, or the mark used below: such texts are
 #: encoded whole by the byte-level tokenizer.
@@ -102,7 +102,11 @@ class TokenEncoder:
         code = coded.indices.to_numpy()
         each = size[code]
         end = np.concatenate([[0], np.cumsum(each)])
-        ids = flat[np.repeat(start[code] - end[:-1], each) + np.arange(end[-1])]
+        # Positions in the row of ids, in the narrowest type that holds them.
+        wide = np.int32 if max(end[-1], len(flat)) < 1 << 31 else np.int64
+        at = np.repeat((start[code] - end[:-1]).astype(wide), each)
+        at += np.arange(end[-1], dtype=wide)
+        ids = flat[at]
         ends = end[first - first[0]]
         if not whole.any():
             return ids, ends
