@@ -29,6 +29,8 @@ KINDS = 4
 ROWS = KINDS * BUCKETS + 1
 #: Training documents are dealt over so many rounds; the weights are averaged after each.
 ROUNDS = 3
+#: Tokens that a task trains on in a round, at least, once every core has a task.
+TASK_TOKENS = 8_000_000
 RATE = 0.1
 _STEP = 8192
 _SLICE = 4000
@@ -100,20 +102,31 @@ def features(tokens: Tokens) -> np.ndarray:
     return out
 
 
-def _log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    logits = np.broadcast_to(weights[-1], (len(rows), CLASSES)).copy()
-    for kind in range(KINDS):
-        logits += weights[rows[:, kind]]
+def _logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The weight of each class for each token, the largest 0."""
+    logits = weights.take(rows[:, 0], axis=0)
+    for kind in range(1, KINDS):
+        logits += weights.take(rows[:, kind], axis=0)
+    logits += weights[-1]
     logits -= logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    return logits
+
+
+def log_chances(weights: np.ndarray, rows: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The natural logarithm of the softmax at each token's own class."""
+    logits = _logits(weights, rows)
+    own = logits[np.arange(len(rows)), target]
+    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
 
 
 def _update(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     """One step of AdaGrad over the gradient of a few tokens."""
-    gradient = np.exp(_log_softmax(weights, rows))
+    gradient = _logits(weights, rows)
+    np.exp(gradient, out=gradient)
+    gradient /= gradient.sum(axis=1, keepdims=True)
     gradient[np.arange(len(rows)), target] -= 1
     for kind in range(KINDS):
-        order = np.argsort(rows[:, kind], kind="stable")
+        order = np.argsort((rows[:, kind] - kind * BUCKETS).astype(np.uint16), kind="stable")
         sorted_rows = rows[order, kind]
         first = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
         total = np.add.reduceat(gradient[order], first, axis=0)
@@ -179,6 +192,19 @@ class Model:
     n_words: int
 
 
+def _least_count(words: DataFrame) -> int:
+    """The least count for which no more than ``FREQUENT`` words have it, to an eighth of an octave."""
+    step = F.floor(8 * F.log2("c"))
+    left = FREQUENT
+    least = None
+    for r in words.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c")).orderBy(F.desc("step")).collect():
+        left -= r.n
+        if left < 0:
+            break
+        least = r.c
+    return 1 << 62 if least is None else least
+
+
 def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     """Fit on the documents not held out; with the model, the counts of all their words as a staged table.
 
@@ -191,7 +217,7 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     vocabulary = staged(counted, "lm_words")
     total = vocabulary.agg(F.sum("c"), F.count(F.lit(1))).first()
     short = vocabulary.where((F.octet_length("word") <= FREQUENT_BYTES) & (F.col("word") != END))
-    frequent = short.orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()
+    frequent = short.where(F.col("c") >= _least_count(short)).toPandas().sort_values(["c", "word"], ascending=[False, True])
     ends = vocabulary.where(F.col("word") == END).first()
     own = frequent["word"].tolist()[:OWN_CLASSES]
 
@@ -201,9 +227,11 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
         mass[r["class"]], kinds[r["class"]] = r.c, r.n
     weights = np.zeros((ROWS, CLASSES), np.float32)
     weights[-1] = np.log((mass + 1) / (mass.sum() + CLASSES))
+    # What a task sends is as large for a few texts as for many, so tasks take many.
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(mass.sum()) // (ROUNDS * TASK_TOKENS))
     for k in range(ROUNDS):
         part = chosen.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == k)
-        changes = part.select("text").mapInArrow(
+        changes = part.select("text").coalesce(tasks).mapInArrow(
             _train(weights, own), "row long, " + ", ".join(f"w{k} double" for k in range(CLASSES))
         )
         mean = changes.groupBy("row").agg(*[F.avg(f"w{k}").alias(f"w{k}") for k in range(CLASSES)]).toPandas()
@@ -238,7 +266,7 @@ def _scan(model: Model):
             rows, chance = features(tokens), np.empty(len(target))
             for at in range(0, len(rows), _STEP):
                 some = target[at : at + _STEP]
-                chance[at : at + _STEP] = _log_softmax(model.weights, rows[at : at + _STEP])[np.arange(len(some)), some]
+                chance[at : at + _STEP] = log_chances(model.weights, rows[at : at + _STEP], some)
             chance = chance / np.log(10) - log_mass[target]
             first = tokens.starts[:-1]
             known = count[tokens.code]
