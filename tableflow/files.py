@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import time
+from typing import NamedTuple
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
+
+# The file of a partitioned folder table that declares it; the underscore hides it from readers.
+_DECLARATION = "_declared.json"
 
 
 class Files:
@@ -23,6 +29,28 @@ class Files:
         """Bytes of every file under ``path``, as the file system itself sums them."""
         return self._fs.getContentSummary(self._path(path)).getLength()
 
+    def newest_age(self, path: str) -> float:
+        """Seconds since any file under ``path`` changed, or since the folder was made if it has none."""
+        newest = self._fs.getFileStatus(self._path(path)).getModificationTime()
+        found, times = self._fs.listFiles(self._path(path), True), []
+        while found.hasNext():
+            times.append(found.next().getModificationTime())
+        return time.time() - max(times, default=newest) / 1000
+
+    def read_text(self, path: str) -> str:
+        stream = self._fs.open(self._path(path))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def write_text(self, path: str, text: str) -> None:
+        stream = self._fs.create(self._path(path), True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
@@ -45,3 +73,22 @@ class Files:
             (status.getPath().getName(), status.getPath().toString(), now - status.getModificationTime() / 1000)
             for status in self._fs.listStatus(self._path(path))
         ]
+
+
+class DeclaredTable(NamedTuple):
+    schema: T.StructType
+    partition_by: list[str]
+
+
+def declare_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: list[str]) -> None:
+    """Keep a partitioned table's schema with it: folder names say neither types nor, without rows, the layout."""
+    said = {"schema": schema.jsonValue(), "partition_by": partition_by}
+    Files(spark, path).write_text(f"{path}/{_DECLARATION}", json.dumps(said))
+
+
+def declared_table(spark: SparkSession, path: str) -> DeclaredTable | None:
+    files, file = Files(spark, path), f"{path}/{_DECLARATION}"
+    if not files.exists(file):
+        return None
+    said = json.loads(files.read_text(file))
+    return DeclaredTable(T.StructType.fromJson(said["schema"]), said["partition_by"])

@@ -24,16 +24,23 @@ def job_stats(df: DataFrame, json_col: str, by: Sequence[str]) -> DataFrame:
     """
     require_columns([json_col, *by], df.columns, "column")
     parsed = df.select(*[col(c) for c in by], F.from_json(col(json_col), STATISTICS).alias("_s"))
-    billed = _int64("_s.query.totalBytesBilled")
-    start, end = _int64("_s.startTime"), _int64("_s.endTime")
     processed = F.coalesce(F.col("_s.totalBytesProcessed"), F.col("_s.query.totalBytesProcessed"))
-    measures = parsed.select(
+    # The numbers first, each read once; then the rules on them.
+    numbers = parsed.select(
         *[col(c) for c in by],
-        F.when(billed > 0, billed).alias("bytes_billed"),
-        F.when(end > start, end - start).alias("remote_ms"),
+        _int64("_s.query.totalBytesBilled").alias("_billed"),
+        _int64("_s.startTime").alias("_start"),
+        _int64("_s.endTime").alias("_end"),
         _int64("_s.totalSlotMs").alias("slot_ms"),
         _int64(processed).alias("bytes_processed"),
     )
+    measures = numbers.select(
+        *[col(c) for c in by],
+        F.when(F.col("_billed") > 0, F.col("_billed")).alias("bytes_billed"),
+        F.when(F.col("_end") > F.col("_start"), F.col("_end") - F.col("_start")).alias("remote_ms"),
+        "slot_ms",
+        "bytes_processed",
+    )
     names = ("bytes_billed", "remote_ms", "slot_ms", "bytes_processed")
     return measures.groupBy(*[col(c) for c in by]).agg(
         F.count(F.lit(1)).alias("jobs"), *[F.sum(F.col(n).cast("decimal(20,0)")).alias(n) for n in names]

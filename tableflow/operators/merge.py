@@ -23,6 +23,7 @@ from tableflow.errors import Code, TableflowError
 from tableflow.operators.dedup import dedup_last
 from tableflow.schema.diff import check_write
 from tableflow.schema.landing import conform
+from tableflow.session import size_shuffles
 from tableflow.sizes import broadcast_limit, estimated_bytes
 
 _ROW = "_merge_row"
@@ -56,6 +57,7 @@ def merge_rows(
     check_write(target.schema, source.select(*[col(c) for c in written]).schema, "the target")
     if not sequence_by:
         source, sequence_by = source.withColumn(_ROW, F.monotonically_increasing_id()), [_ROW]
+    size_shuffles(source.sparkSession, estimated_bytes(target) + estimated_bytes(source))
     join_hint = _JOIN_HINTS[strategy]
     small = strategy == "broadcast" or (
         strategy == "auto" and estimated_bytes(source) <= broadcast_limit(source.sparkSession)
@@ -71,6 +73,14 @@ def merge_rows(
     return updated.union(conform(inserted, target.schema))
 
 
+def in_groups_of(target: DataFrame, source: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows of ``target`` whose values in ``columns`` are together those of some row of ``source``."""
+    left = target.select("*", *_match_columns(target, columns, _TARGET))
+    typed = conform(source, T.StructType([f for f in target.schema.fields if f.name in set(columns)]))
+    right = typed.select(*_match_columns(typed, columns, _SOURCE))
+    return left.join(right, _matches(columns, _TARGET, _SOURCE), "left_semi").select(*[col(c) for c in target.columns])
+
+
 def check_keys(keys: Sequence[str], schema: T.StructType) -> None:
     if not keys:
         raise TableflowError(Code.MERGE_KEY, "a merge needs at least one key")

@@ -81,7 +81,33 @@ def ndjson_roundtrip(spark, sf_dir):
 
 
 def ndjson_multi_file(spark, sf_dir):
-    return _written_and_read(spark, table(spark, sf_dir, "lineitem"), max_records_per_file=5000)
+    """Files of about 256 KiB, whatever the size of the table."""
+    return _written_and_read(spark, table(spark, sf_dir, "lineitem"), max_bytes_per_file=256 * 1024)
+
+
+NUMBERS = """
+select l_orderkey * 100 + l_linenumber as id,
+       case l_linenumber when 1 then double('NaN') when 2 then double('Infinity') when 3 then double('-Infinity')
+            else l_extendedprice / 7 end as wide, cast(l_quantity as float) as narrow
+from lineitem"""
+
+
+def ndjson_values_roundtrip(spark, sf_dir):
+    """Doubles, NaN and infinities, floats, bytes and instants, written and read back."""
+    views(spark, sf_dir, "lineitem", "documents", "events")
+    numbers = _written_and_read(spark, read_query(spark, NUMBERS))
+    odd = F.when(F.isnan("wide") | F.col("wide").isin(float("inf"), float("-inf")), F.col("wide").cast("string"))
+    texts = _written_and_read(spark, read_query(spark, "select doc_id as id, encode(text, 'UTF-8') as raw from documents"))
+    times = _written_and_read(spark, read_query(spark, "select event_id as id, cast(ts as timestamp) as at from events"))
+    empty = F.lit(None)
+    return (
+        numbers.select(
+            F.lit("number").alias("kind"), "id", F.when(odd.isNull(), F.col("wide")).alias("wide"),
+            F.col("narrow").cast("double").alias("narrow"), odd.alias("text"), empty.cast("long").alias("micros"),
+        )
+        .union(texts.select(F.lit("bytes"), "id", empty, empty, F.md5("raw"), F.octet_length("raw").cast("long")))
+        .union(times.select(F.lit("instant"), "id", empty, empty, empty, F.unix_micros("at")))
+    )
 
 
 def ndjson_load(spark, sf_dir):
@@ -104,6 +130,7 @@ QUERIES = {
     "ndjson_nested": ndjson_nested,
     "ndjson_roundtrip": ndjson_roundtrip,
     "ndjson_multi_file": ndjson_multi_file,
+    "ndjson_values_roundtrip": ndjson_values_roundtrip,
     "ndjson_load": ndjson_load,
     "null_element_report": null_elements,
 }
@@ -118,6 +145,15 @@ ORACLES = {
                cast(l_quantity as int) as quantity, l_shipdate as shipped, cast(l_tax as decimal(9,3))::varchar as tax
         from lineitem""",
     "ndjson_multi_file": "select * from lineitem",
+    "ndjson_values_roundtrip": """
+        select 'number' as kind, l_orderkey * 100 + l_linenumber as id,
+               case when l_linenumber > 3 then l_extendedprice / 7 end as wide,
+               cast(cast(l_quantity as float) as double) as narrow,
+               case l_linenumber when 1 then 'NaN' when 2 then 'Infinity' when 3 then '-Infinity' end as text,
+               null::bigint as micros
+        from lineitem
+        union all select 'bytes', doc_id, null, null, md5(text), strlen(text) from documents
+        union all select 'instant', event_id, null, null, null, epoch_us(ts) from events""",
     "ndjson_load": "select * from orders",
     "null_element_report": """
         select 'flags' as path, count(*) filter (where l_linestatus = 'O') as bad_rows from lineitem

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tableflow.operators.append import append_rows
+from tableflow.operators.dedup import dedup_last
 from tableflow.plans.common import LOADED_TO, OVERLAP_FROM, loaded_orders, order_increment, scratch, table
 from tableflow.sinks.write import WriteSession, write_table
 from tableflow.sources.tables import read_table
@@ -12,6 +13,7 @@ from tableflow.sources.tables import read_table
 TARGET = "out.target"
 _ORDER = ["o_orderkey", "o_orderstatus", "o_totalprice"]
 _LOADED = f"o_orderdate <= timestamp '{LOADED_TO}'"
+_DIAGONAL = "(o_orderpriority < '2' and o_orderstatus = 'F') or (o_orderpriority > '5' and o_orderstatus = 'O')"
 _LATER = f"o_orderdate > timestamp '{LOADED_TO}'"
 
 
@@ -132,6 +134,34 @@ def merge_partitioned(spark, sf_dir):
     return read_table(spark, TARGET, datasets=out)
 
 
+def merge_partitioned_two_columns(spark, sf_dir):
+    """Both partition columns are keys: exactly the pairs that the increment names are rewritten."""
+    out = scratch(spark)
+    columns = [*_ORDER, "o_orderpriority"]
+    where = {"datasets": out, "partition_by": ["o_orderpriority", "o_orderstatus"]}
+    write_table(table(spark, sf_dir, "orders", columns=columns), TARGET, "append", **where)
+    diagonal = order_increment(spark, sf_dir, after=OVERLAP_FROM, columns=columns, predicate=_DIAGONAL)
+    doubled = diagonal.withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    write_table(doubled, TARGET, "merge", keys=["o_orderpriority", "o_orderstatus", "o_orderkey"], **where)
+    return read_table(spark, TARGET, datasets=out)
+
+
+def partitioned_types_remerge(spark, sf_dir):
+    """A zero-padded text as partition column: merging the table into itself changes nothing."""
+    out = scratch(spark)
+    lines = dedup_last(
+        table(spark, sf_dir, "lineitem").select(
+            F.lpad(F.col("l_linenumber").cast("string"), 3, "0").alias("line"), "l_orderkey", "l_quantity", "l_partkey"
+        ),
+        ["line", "l_orderkey"],
+        ["l_partkey", "l_quantity"],
+    ).drop("l_partkey")
+    where = {"datasets": out, "partition_by": ["line"]}
+    write_table(lines, TARGET, "append", **where)
+    write_table(read_table(spark, TARGET, datasets=out), TARGET, "merge", keys=["line", "l_orderkey"], **where)
+    return read_table(spark, TARGET, datasets=out)
+
+
 QUERIES = {
     "append_create": append_create,
     "append_existing": append_existing,
@@ -147,6 +177,8 @@ QUERIES = {
     "merge_existing": merge_existing,
     "merge_two_batches": merge_two_batches,
     "merge_partitioned": merge_partitioned,
+    "merge_partitioned_two_columns": merge_partitioned_two_columns,
+    "partitioned_types_remerge": partitioned_types_remerge,
 }
 
 _ALL = "select o_orderkey, o_orderstatus, o_totalprice from orders"
@@ -185,4 +217,14 @@ ORACLES = {
                case when o_orderdate > timestamp '{OVERLAP_FROM}' and o_orderpriority < '3-MEDIUM' then 'U'
                     else o_orderstatus end as o_orderstatus
         from orders""",
+    "merge_partitioned_two_columns": f"""
+        select o_orderkey, o_orderstatus, o_orderpriority,
+               case when o_orderdate > timestamp '{OVERLAP_FROM}' and ({_DIAGONAL}) then o_totalprice * 2
+                    else o_totalprice end as o_totalprice
+        from orders""",
+    "partitioned_types_remerge": """
+        select line, l_orderkey, l_quantity from (
+          select lpad(l_linenumber::varchar, 3, '0') as line, l_orderkey, l_quantity,
+                 row_number() over (partition by l_linenumber, l_orderkey order by l_partkey desc, l_quantity desc) as n
+          from lineitem) where n = 1""",
 }

@@ -99,6 +99,8 @@ def _landed_array(value, data_type, path, where, wire):
 
 def _landed_map(value, data_type, path, where, wire):
     value_type, value_path = data_type.valueType, f"{path}.{MAP_VALUE}"
+    if wire and not needs_landing(data_type.keyType, wire) and not needs_landing(value_type, wire):
+        return F.coalesce(F.map_entries(value), F.array())
     if wire:
         entries = F.transform(
             F.map_entries(value),

@@ -19,7 +19,7 @@ SETTINGS = {
 }
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000
+_MOST_PARTITIONS = 2**31 - 1
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -32,11 +32,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Let shuffles start with partitions of about ``SHUFFLE_PARTITION_BYTES`` of the input.
 
-    AQE coalesces what turns out small, so the number is a start and not a cost. Returns it.
+    AQE coalesces what turns out small, so the number is a start and not a cost. It only grows, as a plan sized
+    earlier may run later. An estimate beyond what the setting can count is Spark's word for an unknown size, and
+    changes nothing. Returns the number.
     """
-    wanted = min(-(-input_bytes // SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS)
-    number = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(number))
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
+    if wanted > _MOST_PARTITIONS:
+        wanted = 0
+    number = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(key, None) or 0))
+    spark.conf.set(key, str(number))
     return number
 
 

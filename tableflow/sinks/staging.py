@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
+from collections.abc import Iterable
 from datetime import timedelta
 
 from pyspark.sql import SparkSession
@@ -17,18 +19,39 @@ log = logging.getLogger(__name__)
 PREFIXES = ("query_", "load_")
 ORPHAN_AGE = timedelta(hours=6)
 
+# What a commit keeps next to a table while it lasts.
+_NEW, _OLD, _JOURNAL = "_new_", "_old_", "_swap_"
+
 
 def expire_staging(
-    spark: SparkSession, staging_dir: str | None = None, older_than: timedelta = ORPHAN_AGE
+    spark: SparkSession,
+    staging_dir: str | None = None,
+    older_than: timedelta = ORPHAN_AGE,
+    datasets: Iterable[str] = (),
 ) -> list[str]:
-    """Drop staged folders left by sessions that never closed; returns what was dropped."""
-    root = staging_root(spark, staging_dir)
+    """Drop staged folders left by sessions that never closed; returns what was dropped.
+
+    The age of a folder is that of the newest file anywhere in it, so a session that still
+    writes is never swept. ``datasets`` are folders of tables, to sweep the copies that a
+    dead commit left next to them; a commit that stopped half-way is undone first.
+    """
+    root, limit = staging_root(spark, staging_dir), older_than.total_seconds()
     files = Files(spark, root)
     stale = [
         path
-        for name, path, age in files.children(root)
-        if name.startswith(PREFIXES) and age >= older_than.total_seconds()
+        for name, path, _ in files.children(root)
+        if name.startswith(PREFIXES) and files.newest_age(path) >= limit
     ]
+    for folder in datasets:
+        files = Files(spark, folder)
+        for name, path, age in files.children(folder):
+            if name.startswith(_JOURNAL) and age >= limit:
+                undo_swap(spark, path)
+        stale += [
+            path
+            for name, path, _ in files.children(folder)
+            if name.startswith((_NEW, _OLD)) and files.newest_age(path) >= limit
+        ]
     return [path for path in stale if drop_quietly(spark, path)]
 
 
@@ -42,34 +65,64 @@ def drop_quietly(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def swap_folders(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
-    """Move each new folder onto its live path; on failure put every old one back.
+def swap_folders(spark: SparkSession, table: str, pairs: list[tuple[str, str]]) -> None:
+    """Move each new folder of ``table`` onto its live path; on failure put every old one back.
 
-    Readers of a path see the old or the new folder, apart from the moment between two
-    renames. On a store without an atomic rename, use a catalog that has one.
+    The moves are written next to the table first, so that after a dead driver the next
+    writer that opens the table undoes them. Readers of a path see the old or the new
+    folder, apart from the moment between two renames. On a store without an atomic
+    rename, use a catalog that has one.
     """
     if not pairs:
         return
-    files = Files(spark, pairs[0][1])
-    retired: list[tuple[str, str]] = []
-    placed: list[str] = []
+    files = Files(spark, table)
+    moves = []
+    for new, live in pairs:
+        # A leading underscore keeps the retired folder out of table listings.
+        folder, _, name = live.rpartition("/")
+        old = f"{folder}/{_OLD}{uuid.uuid4().hex}_{name.replace('=', '_')}"
+        moves.append([new, live, old if files.exists(live) else None])
+    journal = _journal(table, uuid.uuid4().hex)
+    files.write_text(journal, json.dumps(moves))
     try:
-        for new, live in pairs:
-            if files.exists(live):
-                # A leading underscore keeps the retired folder out of table listings.
-                folder, _, name = live.rpartition("/")
-                old = f"{folder}/_old_{uuid.uuid4().hex}_{name.replace('=', '_')}"
-                files.rename(live, old)
-                retired.append((old, live))
-            else:
+        for new, live, old in moves:
+            if old is None:
                 files.make_parent(live)
+            else:
+                files.rename(live, old)
             files.rename(new, live)
-            placed.append(live)
     except BaseException:
-        for live in placed:
-            drop_quietly(spark, live)
-        for old, live in reversed(retired):
-            files.rename(old, live)
+        undo_swap(spark, journal)
         raise
-    for old, _ in retired:
-        drop_quietly(spark, old)
+    # From here the commit holds: an empty list undoes nothing, even if it cannot be removed.
+    files.write_text(journal, "[]")
+    drop_quietly(spark, journal)
+    for _, _, old in moves:
+        if old is not None:
+            drop_quietly(spark, old)
+
+
+def _journal(table: str, mark: str) -> str:
+    folder, _, name = table.rpartition("/")
+    return f"{folder}/{_JOURNAL}{mark}_{name}.json"
+
+
+def undo_swap(spark: SparkSession, journal: str) -> None:
+    """Bring the folders of a commit that stopped half-way back to where they were."""
+    files = Files(spark, journal)
+    for new, live, old in reversed(json.loads(files.read_text(journal) or "[]")):
+        if files.exists(new) and (old is None or not files.exists(old)):
+            continue
+        if not files.exists(new) and files.exists(live):
+            files.rename(live, new)
+        if old is not None and files.exists(old):
+            files.rename(old, live)
+    files.delete(journal)
+
+
+def recover_table(spark: SparkSession, table: str) -> None:
+    """Undo the commit to ``table`` that a dead driver left half-way, if there is one."""
+    folder, _, name = table.rpartition("/")
+    for found, path, _ in Files(spark, folder).children(folder):
+        if found.startswith(_JOURNAL) and found[len(_JOURNAL) + 33 :] == f"{name}.json":
+            undo_swap(spark, path)

@@ -7,16 +7,15 @@ import uuid
 from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tableflow.columns import col
 from tableflow.errors import Code, TableflowError
-from tableflow.files import Files
-from tableflow.sinks.staging import drop_quietly, swap_folders
+from tableflow.files import Files, declare_table, declared_table
+from tableflow.sinks.staging import drop_quietly, recover_table, swap_folders
 from tableflow.sources.names import TableName
-from tableflow.sources.tables import resolve_name
+from tableflow.sources.tables import read_folder, resolve_name
 
 log = logging.getLogger(__name__)
 
@@ -36,17 +35,18 @@ class FolderTarget:
 
     def open(self, schema: T.StructType, mode: str) -> DataFrame | None:
         """The existing table, or None. An existing layout holds for every mode but replace."""
+        recover_table(self.spark, self.name)
         files = Files(self.spark, self.name)
         if not files.exists(self.name):
             return None
-        layout = self._layout(files)
-        existing = self.spark.read.parquet(self.name)
-        # Folder names carry no types: a partition column has the type of the write.
-        typed = [schema[f.name] if f.name in layout and f.name in schema.names else f for f in existing.schema]
-        if [f.dataType for f in typed] != [f.dataType for f in existing.schema]:
-            existing = self.spark.read.schema(T.StructType(typed)).parquet(self.name)
-        if self.partition_by and not layout and existing.isEmpty():
-            layout = self.partition_by
+        declared = declared_table(self.spark, self.name)
+        existing = read_folder(self.spark, self.name)
+        layout = self._layout(files) if declared is None else declared.partition_by
+        if declared is None:
+            # Another writer's folders carry no types: a partition column has the type of the write.
+            typed = [schema[f.name] if f.name in layout and f.name in schema.names else f for f in existing.schema]
+            if [f.dataType for f in typed] != [f.dataType for f in existing.schema]:
+                existing = self.spark.read.schema(T.StructType(typed)).parquet(self.name)
         self.partition_by = settled_layout(self.name, layout, self.partition_by, schema, mode)
         return existing
 
@@ -77,15 +77,22 @@ class FolderTarget:
         if not Files(self.spark, self.name).holds(folder):
             return False
         self._keep_schema(folder, schema)
-        swap_folders(self.spark, [(folder, self.name)])
+        swap_folders(self.spark, self.name, [(folder, self.name)])
         self.spark.catalog.refreshByPath(self.name)
         return True
 
     def _keep_schema(self, folder: str, schema: T.StructType) -> None:
+        if not self.partition_by:
+            return
         # A partitioned write without rows leaves no file; an empty one holds the schema.
         names = [name for name, _, _ in Files(self.spark, folder).children(folder)]
-        if self.partition_by and not any("=" in name for name in names):
+        if not any("=" in name for name in names):
             self.spark.createDataFrame([], schema).write.mode("append").parquet(folder)
+        # In the order Spark reads a partitioned folder in.
+        inner = [f for f in schema.fields if f.name not in self.partition_by]
+        fields = [*inner, *[schema[name] for name in self.partition_by]]
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+        declare_table(self.spark, folder, nullable, self.partition_by)
 
     def _swap_in(self, rows: DataFrame, whole: bool) -> None:
         folder, _, table = self.name.rpartition("/")
@@ -94,7 +101,7 @@ class FolderTarget:
             rows.write.partitionBy(*self.partition_by).parquet(new)
             if whole:
                 self._keep_schema(new, rows.schema)
-            swap_folders(self.spark, [(new, self.name)] if whole else self._partition_moves(new))
+            swap_folders(self.spark, self.name, [(new, self.name)] if whole else self._partition_moves(new))
         finally:
             drop_quietly(self.spark, new)
         self.spark.catalog.refreshByPath(self.name)
@@ -145,7 +152,7 @@ class CatalogTarget:
         replacing = self.spark.catalog.tableExists(self.table.sql)
         try:
             # Created empty first: a failed write then leaves a table to drop, not a stray folder.
-            self._create_empty(new, rows.schema)
+            self._create_empty(new, rows.schema, like=self.table.sql if replacing and self._fits(rows) else None)
             filled = self.spark.table(new)
             rows.select(*[col(c) for c in filled.columns]).write.insertInto(new)
             if replacing:
@@ -165,7 +172,9 @@ class CatalogTarget:
 
     def put_partitions(self, rows: DataFrame) -> None:
         # In dynamic mode Spark writes aside, and replaces only partitions it has written
-        # when the job succeeds; so the plan may read the table it writes.
+        # when the job succeeds; so the plan may read the table it writes. An insert into a
+        # table takes the mode from the session alone, so no other thread of this session
+        # may overwrite partitions meanwhile.
         conf, key = self.spark.conf, "spark.sql.sources.partitionOverwriteMode"
         before = conf.get(key)
         conf.set(key, "dynamic")
@@ -174,7 +183,26 @@ class CatalogTarget:
         finally:
             conf.set(key, before)
 
-    def _create_empty(self, name: str, schema: T.StructType) -> None:
+    def _fits(self, rows: DataFrame) -> bool:
+        """Whether the table can take ``rows`` as it is defined."""
+        columns = self.spark.catalog.listColumns(self.table.sql)
+        layout = [c.name for c in columns if c.isPartition]
+        return {c.name for c in columns} == set(rows.columns) and layout == list(self.partition_by)
+
+    def _create_empty(self, name: str, schema: T.StructType, like: str | None = None) -> None:
+        if like is not None:
+            # Format, declared types and comments come along, properties have to be carried.
+            # The session catalog takes names of at most two parts here.
+            self.spark.sql(f"create table {name.split('.', 1)[1]} like {like.split('.', 1)[1]}")
+            comment = self.spark.catalog.getTable(like).description
+            if comment is not None:
+                said = comment.replace("\\", "\\\\").replace("'", "\\'")
+                self.spark.sql(f"comment on table {name} is '{said}'")
+            kept = {r.key: r.value for r in self.spark.sql(f"show tblproperties {like}").collect()}
+            for key, value in kept.items():
+                pair = [text.replace("\\", "\\\\").replace("'", "\\'") for text in (key, value)]
+                self.spark.sql(f"alter table {name} set tblproperties ('{pair[0]}' = '{pair[1]}')")
+            return
         writer = self.spark.createDataFrame([], schema).write.format("parquet")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
@@ -203,13 +231,3 @@ def settled_layout(
     if missing:
         raise TableflowError(Code.UNKNOWN_COLUMN, f"{name} is partitioned by {', '.join(missing)}, not in the write")
     return layout
-
-
-def partition_filter(rows: list, columns: Sequence[str]) -> Column:
-    """Every partition value in ``rows``, column by column: a prunable superset of the rows."""
-    condition = F.lit(True)
-    for name in columns:
-        values = {row[name] for row in rows}
-        term = col(name).isin([v for v in values if v is not None])
-        condition &= (term | col(name).isNull()) if None in values else term
-    return condition

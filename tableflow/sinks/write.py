@@ -13,13 +13,13 @@ from pyspark.sql import types as T
 from tableflow.columns import col, require_columns
 from tableflow.errors import Code, TableflowError
 from tableflow.operators.dedup import dedup_last
-from tableflow.operators.merge import check_keys, merge_rows
+from tableflow.operators.merge import check_keys, in_groups_of, merge_rows
 from tableflow.schema.diff import check_write
 from tableflow.schema.landing import conform, landed_frame
 from tableflow.schema.mapping import SEQUENCE_COLUMN, same_type, schema_map
 from tableflow.session import staging_root
 from tableflow.sinks.staging import drop_quietly
-from tableflow.sinks.targets import CatalogTarget, FolderTarget, partition_filter, resolve_target
+from tableflow.sinks.targets import CatalogTarget, FolderTarget, resolve_target
 from tableflow.sizes import broadcast_limit, row_bytes
 
 MODES = ("append", "replace", "merge")
@@ -27,10 +27,6 @@ SCHEMA_POLICIES = ("fail_on_change",)
 
 _BATCH = "_batch_no"
 
-# A merge that touches more partitions than this rewrites the whole table, so the list
-# of touched partitions on the driver stays short.
-_MAX_TOUCHED_PARTITIONS = 10_000
-
 
 @dataclass(frozen=True)
 class WriteResult:
@@ -99,6 +95,10 @@ class WriteSession:
         self._require_open()
         self._accept(df.schema)
         rows = landed_frame(df, self._keys)
+        if self._batches == 0:
+            existing = self._target.open(rows.schema, self._mode)
+            if existing is not None:
+                check_write(existing.schema, rows.schema, self._target.name)
         layout = []
         measures = [F.count(F.lit(1)).alias("rows")]
         if self._mode == "merge":
@@ -106,9 +106,7 @@ class WriteSession:
             rows = rows.withColumn(SEQUENCE_COLUMN, F.monotonically_increasing_id())
             measures.append(F.coalesce(F.sum(row_bytes(rows.schema)), F.lit(0)).alias("bytes"))
         else:
-            if self._batches == 0:
-                # Staged as the target stores rows, so that the folder itself can become the target.
-                self._target.open(rows.schema, self._mode)
+            # Staged as the target stores rows, so that the folder itself can become the target.
             layout = self._target.partition_by
         count = Observation(f"batch_{self._batches}")
         staged = _clustered(rows, layout).observe(count, *measures)
@@ -246,11 +244,12 @@ def _merge_into(
     # With the partition columns among the keys, a row never changes partition, so only
     # the partitions the source names need reading and writing.
     if layout and set(layout) <= set(keys):
-        touched = rows.select(*[col(c) for c in layout]).distinct().limit(_MAX_TOUCHED_PARTITIONS + 1).collect()
-        if len(touched) <= _MAX_TOUCHED_PARTITIONS:
-            pruned = existing.where(partition_filter(touched, layout))
-            target.put_partitions(_clustered(merge_rows(pruned, rows, keys, order, strategy=strategy), layout))
-            return
+        # The filter drops nothing. It marks the partition values as a selection, without which Spark
+        # does not prune the scan of the target by them at run time.
+        named = rows.where(F.col(_BATCH) >= 0).select(*[col(c) for c in layout]).distinct()
+        touched = in_groups_of(existing, named, layout)
+        target.put_partitions(_clustered(merge_rows(touched, rows, keys, order, strategy=strategy), layout))
+        return
     target.put(_clustered(merge_rows(existing, rows, keys, order, strategy=strategy), layout))
 
 

@@ -23,11 +23,23 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def row_bytes(schema: T.StructType) -> Column:
-    """The size of a row in memory: its words, its text and bytes, its nested values as JSON."""
-    size = F.lit(_WORD * len(schema.fields))
-    for field in schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.VarcharType, T.CharType, T.BinaryType)):
-            size += F.coalesce(F.octet_length(col(field.name)), F.lit(0))
-        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            size += F.coalesce(F.octet_length(F.to_json(F.struct(col(field.name)))), F.lit(0))
-    return size.cast("long")
+    """The size of a row in memory: its words, its text and bytes, and those of its nested values."""
+    return sum((_value_bytes(col(f.name), f.dataType) for f in schema.fields), F.lit(0)).cast("long")
+
+
+def _value_bytes(value: Column, data_type: T.DataType) -> Column:
+    if isinstance(data_type, (T.StringType, T.VarcharType, T.CharType, T.BinaryType)):
+        return F.lit(_WORD) + F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(data_type, T.StructType):
+        return sum((_value_bytes(value.getField(f.name), f.dataType) for f in data_type.fields), F.lit(_WORD))
+    if isinstance(data_type, T.MapType):
+        keys = _value_bytes(F.map_keys(value), T.ArrayType(data_type.keyType))
+        return keys + _value_bytes(F.map_values(value), T.ArrayType(data_type.valueType))
+    if not isinstance(data_type, T.ArrayType):
+        return F.lit(_WORD)
+    element = data_type.elementType
+    if isinstance(element, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        inner = F.size(value) * _WORD
+    else:
+        inner = F.aggregate(value, F.lit(0).cast("long"), lambda sum_, x: sum_ + _value_bytes(x, element))
+    return F.lit(_WORD) + F.coalesce(inner, F.lit(0))

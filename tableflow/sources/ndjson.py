@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableflow.functions.ndjson import JSON_OPTIONS
@@ -10,14 +11,46 @@ from tableflow.schema.landing import conform
 from tableflow.schema.mapping import element_type, schema_map
 
 
-def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_ndjson(
+    spark: SparkSession, path: str, schema: T.StructType, *, ignore_unknown: bool = False, check_unread: bool = False
+) -> DataFrame:
     """The files as ``schema``; a row that does not fit fails the load.
 
-    Spark's default would turn a bad cell into NULL.
+    Spark's default would turn a bad cell into NULL, and drop a member the schema does not
+    name; here both are refused, at any depth. ``ignore_unknown`` drops such members after
+    all. A query that uses some columns parses and checks only those; with ``check_unread``
+    every cell of every row is checked whatever is used, at the price of parsing twice.
     """
     schema_map(schema)
-    reader = spark.read.schema(_wire_type(schema)).option("mode", "FAILFAST").options(**JSON_OPTIONS)
-    return conform(reader.json(path), schema)
+    wire = _wire_type(schema)
+    options = {"mode": "FAILFAST", **JSON_OPTIONS}
+    if ignore_unknown and not check_unread:
+        return conform(spark.read.schema(wire).options(**options).json(path), schema)
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    if not ignore_unknown:
+        refused = F.raise_error(F.concat(F.lit("a member the table has no column for: "), F.substring("value", 1, 500)))
+        lines = lines.where(F.when(_has_unknown(F.col("value"), wire), refused).otherwise(F.lit(True)))
+    row = F.from_json("value", wire, options)
+    if check_unread:
+        lines = lines.where(row.isNotNull())
+    rows = lines.select(row.alias("_row")).select(*[F.col("_row").getField(f.name).alias(f.name) for f in wire.fields])
+    return conform(rows, schema)
+
+
+def _has_unknown(text: Column, data_type: T.DataType) -> Column:
+    """Whether JSON text holds a member that ``data_type`` does not name, at any depth."""
+    if isinstance(data_type, T.StructType):
+        names = F.array(*[F.lit(f.name) for f in data_type.fields])
+        found = F.size(F.array_except(F.json_object_keys(text), names)) > 0
+        members = F.from_json(text, "map<string,string>")
+        for field in data_type.fields:
+            if isinstance(field.dataType, (T.StructType, T.ArrayType)):
+                found = F.coalesce(found, F.lit(False)) | _has_unknown(members[field.name], field.dataType)
+        return F.coalesce(found, F.lit(False))
+    if isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, (T.StructType, T.ArrayType)):
+        elements = F.from_json(text, "array<string>")
+        return F.coalesce(F.exists(elements, lambda x: _has_unknown(x, data_type.elementType)), F.lit(False))
+    return F.lit(False)
 
 
 def _wire_type(data_type: T.DataType) -> T.DataType:

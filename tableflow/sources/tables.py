@@ -10,14 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tableflow.columns import col, require_columns
 from tableflow.errors import Code, TableflowError
+from tableflow.files import declared_table
 from tableflow.schema.mapping import field_mode, flat_fields
 from tableflow.sources.cursor import cursor_condition
 from tableflow.sources.names import TableName, parse_table_name
 
-# The range of the partition ceiling a read may ask for.
-MIN_PARTITIONS = 1
-MAX_PARTITIONS = 64
-
 _QUOTED_IDENTIFIERS = "spark.sql.ansi.doubleQuotedIdentifiers"
 _ANSI = "spark.sql.ansi.enabled"
 _quoted_lock = threading.Lock()
@@ -37,7 +34,7 @@ def open_table(
     parsed, path = resolve_name(spark, name, datasets)
     try:
         if path is not None:
-            return spark.read.parquet(path)
+            return read_folder(spark, path)
         if not allow_views and spark.catalog.getTable(parsed.sql).tableType in ("VIEW", "TEMPORARY"):
             raise TableflowError(
                 Code.TABLE_IS_VIEW, f"{parsed} is a view; read it as a query: select * from {parsed.sql}"
@@ -49,6 +46,12 @@ def open_table(
         raise
 
 
+def read_folder(spark: SparkSession, path: str) -> DataFrame:
+    """A folder of Parquet files, partition columns in the types the table was declared with, where it says so."""
+    declared = declared_table(spark, path)
+    return spark.read.parquet(path) if declared is None else spark.read.schema(declared.schema).parquet(path)
+
+
 def read_table(
     spark: SparkSession,
     name: str,
@@ -120,9 +123,6 @@ def _partition_ceiling(value: int | float | None) -> int | None:
     if value is None:
         return None
     whole = isinstance(value, (int, float)) and not isinstance(value, bool) and value == value // 1
-    if not whole or not MIN_PARTITIONS <= value <= MAX_PARTITIONS:
-        raise TableflowError(
-            Code.BAD_OPTION,
-            f"max_partitions must be a whole number from {MIN_PARTITIONS} to {MAX_PARTITIONS}, not {value!r}",
-        )
+    if not whole or value < 1:
+        raise TableflowError(Code.BAD_OPTION, f"max_partitions must be a whole number of 1 or more, not {value!r}")
     return int(value)

@@ -138,6 +138,54 @@ def test_round_trip_over_several_files(spark, tmp_path):
     assert sorted(map(str, back.collect())) == sorted(map(str, many.collect()))
 
 
+def test_files_roll_by_bytes(spark, tmp_path):
+    df = spark.range(0, 2000, 1, 1).selectExpr("id", "repeat('x', 100) as pad")
+    write_ndjson(df, str(tmp_path / "out"), max_bytes_per_file=50_000)
+    sizes = [os.path.getsize(tmp_path / "out" / n) for n in os.listdir(tmp_path / "out") if n.endswith(".txt")]
+    assert len(sizes) == 5 and max(sizes) < 52_000
+    assert read_ndjson(spark, str(tmp_path / "out"), df.schema).count() == 2000
+    write_ndjson(df, str(tmp_path / "one"))
+    assert len([n for n in os.listdir(tmp_path / "one") if n.endswith(".txt")]) == 1
+
+
+UNKNOWN = "i int, rec struct<n:int,inner:struct<z:int>>, items array<struct<k:string>>, m map<string,int>"
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        '{"i":1,"more":2}', '{"rec":{"n":1,"more":2}}', '{"rec":{"inner":{"z":1,"more":null}}}',
+        '{"items":[{"k":"a"},{"k":"b","more":1}]}', '{"m":[{"key":"a","value":1,"more":1}]}',
+    ],
+)
+def test_unknown_members_fail_the_load(spark, tmp_path, line):
+    fine = '{"i":1,"rec":{"n":1,"inner":{"z":2}},"items":[{"k":"a"}],"m":[{"key":"a","value":1}]}'
+    (tmp_path / "in.json").write_text(f"{fine}\n\n{line}\n")
+    schema = T._parse_datatype_string(UNKNOWN)
+    for action in ("count", "collect"):
+        with pytest.raises(Exception, match="has no column for"):
+            getattr(read_ndjson(spark, str(tmp_path / "in.json"), schema), action)()
+    assert read_ndjson(spark, str(tmp_path / "in.json"), schema, ignore_unknown=True).count() == 2
+    (tmp_path / "fine.json").write_text(fine)
+    assert read_ndjson(spark, str(tmp_path / "fine.json"), schema).first().m == {"a": 1}
+
+
+def test_a_load_refuses_unknown_members_unless_told(spark, tmp_path, datasets):
+    write_table(spark.sql("select 1 i"), "wh.t", datasets=datasets)
+    (tmp_path / "in.json").write_text('{"i":2,"more":3}\n')
+    with pytest.raises(Exception, match="has no column for"):
+        load_ndjson(spark, str(tmp_path / "in.json"), "wh.t", datasets=datasets)
+    load_ndjson(spark, str(tmp_path / "in.json"), "wh.t", datasets=datasets, ignore_unknown=True)
+    assert sorted(r.i for r in read_table(spark, "wh.t", datasets=datasets).collect()) == [1, 2]
+
+
+def test_unread_columns_are_checked_on_demand(spark, tmp_path):
+    (tmp_path / "in.json").write_text('{"i":1,"s":"a"}\n{"i":"x","s":"b"}\n')
+    schema = T._parse_datatype_string("i int, s string")
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING|FAILFAST"):
+        read_ndjson(spark, str(tmp_path / "in.json"), schema, check_unread=True).count()
+
+
 def test_write_does_not_overwrite(spark, tmp_path):
     write_ndjson(spark.range(1), str(tmp_path / "out"))
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):

@@ -224,7 +224,7 @@ def test_no_bounds_no_condition():
     assert cursor_condition(T.StructType(), "c") is None
 
 
-@pytest.mark.parametrize("ceiling", [1, 8, 64, 1.0, 8.0])
+@pytest.mark.parametrize("ceiling", [1, 8, 64, 65, 100_000, 1.0, 8.0])
 def test_partition_ceiling(spark, small, ceiling):
     df = read_table(spark, "wh.small", datasets=small, max_partitions=ceiling)
     used = df.select(F.spark_partition_id().alias("p"), "id").collect()
@@ -233,7 +233,7 @@ def test_partition_ceiling(spark, small, ceiling):
     assert "Exchange" not in plan(df)
 
 
-@pytest.mark.parametrize("ceiling", [0, 65, "4", 1.5, -1, True, float("nan"), float("inf")])
+@pytest.mark.parametrize("ceiling", [0, "4", 1.5, -1, True, float("nan"), float("inf")])
 def test_bad_partition_ceiling(spark, small, ceiling):
     refused(Code.BAD_OPTION, read_table, spark, "wh.small", datasets=small, max_partitions=ceiling)
 

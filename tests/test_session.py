@@ -12,12 +12,15 @@ def test_settings_hold(spark):
 
 
 def test_shuffles_grow_with_the_input(spark):
+    spark.conf.unset(_INITIAL)
     try:
         assert size_shuffles(spark, 10) == int(spark.conf.get("spark.sql.shuffle.partitions"))
         assert size_shuffles(spark, 10 * 2**30) == 80
         assert size_shuffles(spark, 10 * 2**30 + 1) == 81
-        assert size_shuffles(spark, 100 * 2**40) == 50_000
-        assert spark.conf.get(_INITIAL) == "50000"
+        assert size_shuffles(spark, 10) == 81
+        assert size_shuffles(spark, 100 * 2**40) == 819_200
+        assert size_shuffles(spark, 2**63 - 1) == 819_200
+        assert spark.conf.get(_INITIAL) == "819200"
     finally:
         spark.conf.unset(_INITIAL)
 

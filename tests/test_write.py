@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 import tableflow.sinks.staging
 import tableflow.sinks.targets
 from tableflow import Code, TableflowError, WriteSession, expire_staging, read_table, write_table
+from tableflow.operators.merge import in_groups_of
 
 ID_NAME = "id bigint, name string"
 
@@ -171,11 +172,10 @@ def test_one_commit_only(spark, place):
     assert content(spark, place) == [(1, "a")]
 
 
-def test_a_refused_commit_drops_its_staging(spark, place):
+def test_a_refused_write_leaves_no_staging(spark, place):
     write_table(frame(spark, [(1, 1)], "id bigint, name int"), "wh.t", **place)
     with WriteSession(spark, "wh.t", "append", **place) as session:
-        session.write(frame(spark, [(1, "a")]))
-        refused(Code.SCHEMA_MISMATCH, session.commit)
+        refused(Code.SCHEMA_MISMATCH, session.write, frame(spark, [(1, "a")]))
     assert staged(place) == [] and content(spark, place) == [(1, 1)]
 
 
@@ -342,13 +342,14 @@ def test_external_tables_are_not_replaced(spark, tmp_path):
 
 def test_type_matrix(spark, place):
     df = spark.sql(
-        "select 42L i, 2.5D f, cast('12.345' as decimal(38,9)) num, cast('123.4567891234' as decimal(38,10)) bignum,"
-        " 'hello world' s, true flag, date'2026-01-02' d, timestamp_ntz'2026-01-02 03:04:05.000006' dt,"
-        " timestamp'2026-01-02 03:04:05.000006 UTC' ts, time'03:04:05.000006' t, time'03:04:05' t0, X'6869' b"
+        "select -7L i, 0.125D f, cast('8.25' as decimal(38,9)) num, cast('77.0000000031' as decimal(38,10)) bignum,"
+        " 'grüße' s, false flag, date'1999-12-31' d, timestamp_ntz'2001-05-06 23:59:58.700000' dt,"
+        " timestamp'2001-05-06 23:59:58.7 UTC' ts, time'21:00:09.25' t, time'00:00:01' t0, X'00ff' b"
     )
     expected = (
-        42, 2.5, Decimal("12.345000000"), Decimal("123.4567891234"), "hello world", True, date(2026, 1, 2),
-        datetime(2026, 1, 2, 3, 4, 5, 6), datetime(2026, 1, 2, 3, 4, 5, 6), "03:04:05.000006", "03:04:05.000000", b"hi",
+        -7, 0.125, Decimal("8.250000000"), Decimal("77.0000000031"), "grüße", False, date(1999, 12, 31),
+        datetime(2001, 5, 6, 23, 59, 58, 700000), datetime(2001, 5, 6, 23, 59, 58, 700000), "21:00:09.250000",
+        "00:00:01.000000", b"\x00\xff",
     )
     for mode in ("append", "append", "replace", "merge"):
         write_table(df, "wh.t", mode, keys=["i"] if mode == "merge" else (), **place)
@@ -470,6 +471,111 @@ def test_a_merge_whose_keys_lack_the_partition_rewrites_all(spark, tmp_path):
     assert table(spark, place).where("day = '2026-01-01'").count() == 1
 
 
+def test_a_two_column_merge_rewrites_the_named_pairs_alone(spark, tmp_path):
+    place = day_place(tmp_path) | {"partition_by": ["p", "q"]}
+    schema = "p int, q string, id bigint, v string"
+    write_table(frame(spark, [(p, q, 1, "old") for p in (1, 2) for q in ("x", "y", None)], schema), "wh.t", **place)
+    root = tmp_path / "wh" / "t.parquet"
+    files = lambda: {str(f.relative_to(root)) for f in root.rglob("*.parquet")}
+    before = files()
+    write_table(frame(spark, [(1, "x", 1, "new"), (2, None, 1, "new")], schema), "wh.t", "merge", keys=["p", "q", "id"], **place)
+    changed = {f.rsplit("/", 1)[0] for f in before ^ files()}
+    assert changed == {"p=1/q=x", "p=2/q=__HIVE_DEFAULT_PARTITION__"}
+    assert {(r.p, r.q) for r in table(spark, place).where("v = 'new'").collect()} == {(1, "x"), (2, None)}
+    assert table(spark, place).count() == 6
+
+
+def test_the_scan_of_a_partitioned_merge_is_pruned_at_run_time(spark, tmp_path):
+    place = day_place(tmp_path)
+    target = frame(spark, [(date(2026, 1, 1 + i), i) for i in range(9)], "day date, id bigint")
+    write_table(target, "wh.t", **place)
+    named = frame(spark, [(date(2026, 1, 2), 0)], "day date, _batch_no int")
+    named.write.parquet(str(tmp_path / "named"))
+    named = spark.read.parquet(str(tmp_path / "named")).where("_batch_no >= 0").select("day").distinct()
+    touched = in_groups_of(table(spark, place), named, ["day"])
+    assert "dynamicpruning" in touched._jdf.queryExecution().executedPlan().toString()
+    assert [r.id for r in touched.collect()] == [1]
+
+
+@pytest.mark.parametrize(
+    "kind,values",
+    [("string", ["007", "010", "2026-01-02", "x"]), ("bigint", [1, 2**40]), ("date", [date(2026, 1, 2)]), ("timestamp", [datetime(2026, 1, 2, 3, 4, 5)])],
+)
+def test_partition_columns_keep_their_type(spark, tmp_path, kind, values):
+    place = day_place(tmp_path) | {"partition_by": ["p"]}
+    rows = frame(spark, [(i, v) for i, v in enumerate([*values, None])], f"id bigint, p {kind}")
+    write_table(rows, "wh.t", **place)
+    back = table(spark, place)
+    assert dict(back.dtypes)["p"] == kind and {r.p for r in back.collect()} == {*values, None}
+    for _ in range(2):
+        write_table(table(spark, place), "wh.t", "merge", keys=["p", "id"], **place)
+    assert sorted(r.id for r in table(spark, place).collect()) == list(range(len(values) + 1))
+    other = frame(spark, [(1, True)], "id bigint, p boolean")
+    refused(Code.SCHEMA_MISMATCH, write_table, other, "wh.t", "append", **place)
+    with WriteSession(spark, "wh.t", "merge", keys=["p", "id"], **place) as session:
+        refused(Code.SCHEMA_MISMATCH, session.write, other)
+        assert staged(place) == []
+
+
+def test_a_catalog_table_stays_as_it_is_defined(spark, tmp_path):
+    spark.sql("create database if not exists wh")
+    spark.sql("drop table if exists wh.own")
+    spark.sql(
+        "create table wh.own (id bigint comment 'the key', name varchar(5)) using orc comment 'kept' tblproperties ('team' = 'o''k', 'x' = '1')"
+    )
+    place = {"staging_dir": str(tmp_path / "st")}
+    told = lambda: spark.sql("show create table wh.own").first()[0]
+    before = told()
+    rows = frame(spark, [(1, "a"), (2, "b")], "id bigint, name string")
+    write_table(rows, "wh.own", "merge", keys=["id"], **place)
+    write_table(rows.where("id = 2"), "wh.own", "replace", **place)
+    write_table(rows, "wh.own", "merge", keys=["id"], **place)
+    assert told() == before and "orc" in before.lower() and "VARCHAR(5)" in before
+    assert sorted(r.id for r in spark.table("wh.own").collect()) == [1, 2]
+    spark.sql("drop table wh.own")
+
+
+def test_a_session_that_still_writes_is_not_swept(spark, tmp_path):
+    place = {"datasets": {"wh": str(tmp_path / "wh")}, "staging_dir": str(tmp_path / "st")}
+    with WriteSession(spark, "wh.t", "append", **place) as session:
+        session.write(frame(spark, [(1, "a")]))
+        for folder in (tmp_path / "st").iterdir():
+            os.utime(folder, (0, 0))
+        assert expire_staging(spark, place["staging_dir"]) == []
+        session.write(frame(spark, [(2, "b")]))
+        session.commit()
+    assert content(spark, place) == [(1, "a"), (2, "b")]
+
+
+@pytest.mark.parametrize("moves", [1, 2, 3])
+def test_a_commit_that_a_dead_driver_left_half_way_is_undone(spark, tmp_path, monkeypatch, moves):
+    place = day_place(tmp_path)
+    schema = "day date, id bigint, v string"
+    d1, d2 = (date(2026, 1, i) for i in (1, 2))
+    write_table(frame(spark, [(d1, 1, "a"), (d2, 1, "c")], schema), "wh.t", **place)
+    real, done = tableflow.sinks.staging.Files.rename, []
+
+    class Dead(BaseException):
+        pass
+
+    def die_later(self, source, target):
+        done.append(source)
+        if len(done) > moves:
+            raise Dead
+        real(self, source, target)
+
+    monkeypatch.setattr(tableflow.sinks.staging.Files, "rename", die_later)
+    monkeypatch.setattr(tableflow.sinks.staging, "undo_swap", lambda *a: None)
+    monkeypatch.setattr(tableflow.sinks.targets, "drop_quietly", lambda *a: None)
+    with pytest.raises(Dead):
+        write_table(frame(spark, [(d1, 1, "A"), (d2, 1, "C")], schema), "wh.t", "merge", keys=["day", "id"], **place)
+    monkeypatch.undo()
+    write_table(frame(spark, [(d1, 2, "b")], schema), "wh.t", "append", **place)
+    assert sorted((r.day, r.v) for r in table(spark, place).collect()) == [(d1, "a"), (d1, "b"), (d2, "c")]
+    expire_staging(spark, place["staging_dir"], timedelta(0), datasets=[str(tmp_path / "wh")])
+    assert os.listdir(tmp_path / "wh") == ["t.parquet"]
+
+
 def test_an_empty_partitioned_merge_changes_nothing(spark, tmp_path):
     place = day_place(tmp_path)
     write_table(frame(spark, [(date(2026, 1, 1), 1)], "day date, id bigint"), "wh.t", **place)
