@@ -57,7 +57,8 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id, fp`` of every row; ``fp`` holds the 64 bits as a signed long. Null texts have no words."""
-    return docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id long, fp long")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(_fingerprints, f"doc_id {kind}, fp long")
 
 
 def _postings(fp) -> list:
@@ -158,7 +159,7 @@ def simhash_links(prints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row of ``docs``.
+    """``doc_id, fingerprint, component_id`` of every row of ``docs``; ids may be of any type with an order.
 
     Documents link when their fingerprints differ in at most ``MAX_BITS`` bits; ``component_id`` is the smallest
     ``doc_id`` reachable over links. Only distinct fingerprints are compared, so copies cost nothing, and no document
@@ -180,12 +181,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def first_of_each(docs: DataFrame) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest ``doc_id``.
 
-    All columns of ``docs`` come back. Of several rows with that ``doc_id`` one stays; rows without an id form groups
-    only with each other and all stay, as nothing tells them apart.
+    All columns of ``docs`` come back. Rows that share an id are told apart by their text; of equal ones one stays. A
+    row without an id stays only where its group has none with an id.
     """
-    found = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    marks = {"_no_id": F.col("doc_id").isNull(), "_id": F.col("doc_id"), "_text": F.xxhash64(F.coalesce("text", F.lit("")))}
+    marked = docs.select(F.struct(*[c.alias(name) for name, c in marks.items()]).alias("doc_id"), "text")
+    first = near_duplicates(marked).where("doc_id = component_id").select("component_id.*").distinct()
+    same = F.col("_id").eqNullSafe(F.col("_first_id")) & (F.col("_text") == F.col("_first_text"))
+    first = first.select(F.col("_id").alias("_first_id"), F.col("_text").alias("_first_text"))
+    kept = docs.withColumns({k: marks[k] for k in ("_id", "_text")}).join(first, same, "left_semi")
+    return kept.dropDuplicates(["_id", "_text"]).drop("_id", "_text")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

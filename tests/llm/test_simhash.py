@@ -58,8 +58,10 @@ def test_odd_documents(odd_docs):
     check(odd_docs)
     kept = first_of_each(odd_docs)
     assert kept.columns == odd_docs.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert len(ids) == len(set(ids)) and None in ids
+    group = plain_groups([plain_print(r.text) for r in odd_docs.collect()])
+    groups = [group[plain_print(r.text)] for r in kept.collect()]
+    assert sorted(groups) == sorted(set(group.values()))
+    assert {(r.doc_id, r.text) for r in kept.collect()} <= {(r.doc_id, r.text) for r in odd_docs.collect()}
 
 
 def test_empty(no_docs):
