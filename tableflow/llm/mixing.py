@@ -15,9 +15,11 @@ MAX_EPOCHS = 3
 GOLDEN = 0.6180339887498949
 #: The schedule has a slot for each document, and at least so many for each source.
 SLOTS_PER_SOURCE = 1000
-#: Documents whose running totals one task computes, about.
-_BUCKET_DOCS = 8192
-_CHUNK = 1 << 14
+
+
+def _half_bits(n: int) -> int:
+    """Bits of about the square root: running totals go over so many groups, and within groups of as many."""
+    return n.bit_length() // 2
 
 
 def _hash(doc_id: Column) -> Column:
@@ -91,7 +93,7 @@ def mix_sources(
     block = max(1, -(-all_size // max(n_docs, SLOTS_PER_SOURCE * n_sources, 1)))
 
     # Where each document begins in its source's shuffled words.
-    shift = 60 - max(0, (n_docs // _BUCKET_DOCS).bit_length())
+    shift = 60 - _half_bits(n_docs)
     known = sources.withColumnRenamed("source", "_source").drop("n_docs")
     named = sized.join(
         F.broadcast(known) if n_sources <= 10_000 else known, F.col("source").eqNullSafe(F.col("_source"))
@@ -146,7 +148,7 @@ def _schedule(spark: SparkSession, sources: DataFrame, block: int, n_sources: in
         points.withColumn("cell", F.floor(F.col("x") * cells))
         .join(met, "cell")
         .where("x >= low and (x < high or last)")
-        .select("slot", "sid", "n_blocks", F.shiftright("slot", _CHUNK.bit_length() - 1).alias("chunk"))
+        .select("slot", "sid", "n_blocks", F.shiftright("slot", _half_bits(n_slots)).alias("chunk"))
     )
     per_chunk = drawn.groupBy("sid", "chunk").agg(F.count(F.lit(1)).alias("n"))
     before = per_chunk.select(
