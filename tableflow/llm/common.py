@@ -36,9 +36,12 @@ def n_words_of(text: Column) -> Column:
 
 
 def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors."""
+    """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors.
+
+    The staging sweep of the library removes what nobody dropped, by its prefix and age.
+    """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/llm_{name}_{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/load_llm_{name}_{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     again = spark.read.schema(df.schema).parquet(path)
     again.staged_path = path
