@@ -50,15 +50,12 @@ def canonical_type(name: str | None) -> str:
     return _SPELLING.get(name, name or "")
 
 
-def schema_map(schema: T.StructType, with_sequence: bool = False) -> list[MappedColumn]:
+def schema_map(schema: T.StructType) -> list[MappedColumn]:
     """Every column of a write, nested ones under their dotted path, in schema order.
 
     Raises for a type that has no place in the target, naming its path.
     """
-    mapped = [row for field in schema.fields for row in map_column(field.name, field.dataType)]
-    if with_sequence:
-        mapped.append(MappedColumn(SEQUENCE_COLUMN, "INTEGER", "NULLABLE", None, None))
-    return mapped
+    return [row for field in schema.fields for row in map_column(field.name, field.dataType)]
 
 
 def map_column(path: str, data_type: T.DataType) -> list[MappedColumn]:

@@ -43,18 +43,6 @@ def parse_table_name(name: str, default_project: str) -> TableName:
     return TableName(*parts)
 
 
-def parse_dataset_name(name: str, default_project: str) -> tuple[str, str]:
-    """``dataset`` or ``project.dataset`` as ``(project, dataset)``."""
-    parts = _split(name)
-    if len(parts) == 1:
-        parts = [default_project, *parts]
-    if len(parts) != 2:
-        raise TableflowError(Code.BAD_NAME, f"'{name}' must be dataset or project.dataset")
-    for label, value in zip(("project", "dataset"), parts):
-        _check(name, label, value)
-    return parts[0], parts[1]
-
-
 def _split(name: str) -> list[str]:
     if "`" in name:
         raise TableflowError(Code.BAD_NAME, f"{name}: a name is written without backticks")

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import Row
 
-from tableflow import Code, TableflowError, parse_dataset_name, parse_table_name, parse_table_names
+from tableflow import Code, TableflowError, parse_table_name, parse_table_names
 
 
 @pytest.mark.parametrize(
@@ -28,14 +28,6 @@ def test_bad_names(name):
     assert error.value.code is Code.BAD_NAME
 
 
-def test_dataset_names():
-    assert parse_dataset_name("staging", "my-proj") == ("my-proj", "staging")
-    assert parse_dataset_name("other.staging", "my-proj") == ("other", "staging")
-    for bad in ("`d`", "a.b.c", "bad name"):
-        with pytest.raises(TableflowError):
-            parse_dataset_name(bad, "my-proj")
-
-
 def test_quoted_name_doubles_a_backtick():
     from tableflow import TableName
 

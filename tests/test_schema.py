@@ -56,10 +56,6 @@ def test_not_null_columns_map_to_nullable():
     assert row.mode == "NULLABLE"
 
 
-def test_the_sequence_column_comes_last():
-    assert [r.path for r in schema_map(struct(c=T.LongType()), with_sequence=True)] == ["c", "_row_seq"]
-
-
 @pytest.mark.parametrize(
     "data_type, path",
     [
