@@ -57,6 +57,9 @@ def _is_boilerplate(tag: str, attrs: list[tuple[str, str | None]], in_article: b
     names = _names(f"{given.get('class', '')} {given.get('id', '')}")
     if tag == "article":
         return bool(names & _ARTICLE_BUT)
+    if in_article:
+        # The head of an article is its title, not the page's header.
+        names -= {"header"}
     return given.get("role", "") in _ROLES or bool(names & _BOILERPLATE)
 
 

@@ -37,6 +37,7 @@ def test_given_pages(spark, sf_dir):
         (f"<div class=menu><a>Home</a></div><div><p>{LONG}<p>Short.</div>", f"{LONG.strip()}\nShort."),
         (f"<article><h1>T</h1><p>{LONG}</p><div class='ad'>Buy</div><p>a\n &lt;b&gt;&nbsp; c</p></article>", f"T\n{LONG.strip()}\na <b> c"),
         (f"<body class='has-sidebar'><p>{LONG}</p><div id='sidebar'><p>{LONG}</p></div></body>", LONG.strip()),
+        (f"<article><div class='entry-header'><h1>T</h1></div><p>{LONG}</article><div class='header'>x</div>", f"T\n{LONG.strip()}"),
         (f"<main><p>{LONG}<section class=comments><p>{LONG}</section></main><footer>f</footer>", LONG.strip()),
         (f"<header><h1>Site</h1></header><p>{LONG}</p><p class='cookie-notice'>We use cookies<p>End.", f"{LONG.strip()}\nEnd."),
         (f"<p>{LONG}</p><script>if (a < b) document.write('<p>no</p>')</script><style>p{{}}</style><!-- <p>no</p> -->", LONG.strip()),
