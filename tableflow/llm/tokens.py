@@ -7,6 +7,7 @@ not change its pre-tokens, each different part be encoded once, and the ids be j
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,14 +46,15 @@ class TokenEncoder:
             tokenizer = Tokenizer.from_file(path)
             tokenizer.encode_special_tokens = True
             wide = tokenizer.get_vocab_size() > 1 << 16
-            state.update(tokenizer=tokenizer, memo={}, dtype=np.dtype("<u4" if wide else "<u2"))
-        self._tokenizer, self._memo, self.dtype = state["tokenizer"], state["memo"], state["dtype"]
+            state.update(tokenizer=tokenizer, memo={}, code="I" if wide else "H")
+        self._tokenizer, self._memo, self._code = state["tokenizer"], state["memo"], state["code"]
+        self.dtype = np.dtype(self._code)
         self._split = split
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), _CHUNK):
             for one in self._tokenizer.encode_batch_fast(texts[i : i + _CHUNK], add_special_tokens=False):
-                yield np.array(one.ids, dtype=self.dtype).tobytes()
+                yield array(self._code, one.ids).tobytes()
 
     def _ids_of(self, parts: list[str]) -> list[bytes]:
         memo = self._memo
