@@ -17,6 +17,10 @@ END_ID = 2
 #: Ids in a block, about; a longer document makes a longer block of its own.
 BLOCK_IDS = 1 << 18
 
+#: Parts remembered and rows encoded at a time: byte-level parts are more, and this task does nothing else.
+MEMO_ENTRIES = 500_000
+ROWS = 4000
+
 BLOCK_SCHEMA = "pos long, n_ids long, doc_ids array<long>, lengths array<long>, control binary, data binary"
 
 
@@ -49,7 +53,7 @@ def unpack_ids(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TokenEncoder(path, "bytes")
+        encoder = TokenEncoder(path, "bytes", MEMO_ENTRIES, ROWS)
         for doc_ids, ids, ends in encoder.encode_batches(batches):
             n = len(ends) - 1
             # The end id goes behind each document.

@@ -18,8 +18,9 @@ from tableflow.llm.common import worker_memory
 
 #: Parts remembered by a worker process, about 250 bytes each.
 MEMO_ENTRIES = 200_000
+#: Rows encoded at a time; a part met twice among them is encoded once.
+ROWS = 1000
 _CHUNK = 2_000
-_ROWS = 1000
 
 #: White space other than single spaces and newlines inside the text, or the mark used below: such texts are
 #: encoded whole by the byte-level tokenizer.
@@ -37,7 +38,7 @@ class TokenEncoder:
     before it, or a newline. Strings of special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str, split: str):
+    def __init__(self, path: str, split: str, memo_entries: int = MEMO_ENTRIES, rows: int = ROWS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -49,7 +50,7 @@ class TokenEncoder:
             state.update(tokenizer=tokenizer, memo={}, code="I" if wide else "H")
         self._tokenizer, self._memo, self._code = state["tokenizer"], state["memo"], state["code"]
         self.dtype = np.dtype(self._code)
-        self._split = split
+        self._split, self._entries, self._rows = split, memo_entries, rows
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), _CHUNK):
@@ -63,7 +64,7 @@ class TokenEncoder:
         texts = [self._text_of(parts[i]) for i in missing]
         for i, ids in zip(missing, self._encode(texts)):
             found[i] = ids
-            if len(memo) < MEMO_ENTRIES:
+            if len(memo) < self._entries:
                 memo[parts[i]] = ids
         return found
 
@@ -81,8 +82,8 @@ class TokenEncoder:
     def encode_batches(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
         """From batches of an id and a text column: the first, and what ``encode`` gives, for a few rows at a time."""
         for batch in batches:
-            for at in range(0, batch.num_rows, _ROWS):
-                some = batch.slice(at, _ROWS)
+            for at in range(0, batch.num_rows, self._rows):
+                some = batch.slice(at, self._rows)
                 yield some.column(0), *self.encode(some.column(1))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
