@@ -19,7 +19,7 @@ BLOCK_IDS = 1 << 18
 
 #: Parts remembered and rows encoded at a time: byte-level parts are more, and this task does nothing else.
 MEMO_ENTRIES = 500_000
-ROWS = 4000
+ROWS = 8000
 
 BLOCK_SCHEMA = "pos long, n_ids long, doc_ids array<long>, lengths array<long>, control binary, data binary"
 
