@@ -1,4 +1,7 @@
-"""Language-model scores: a hashed maximum-entropy model with a class-factored softmax, beside a unigram base."""
+"""Language-model scores: a hashed maximum-entropy model with a class-factored softmax, beside a unigram base.
+
+The first factor is a softmax over classes; the second, the words of a class, is in ``lm_words``.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableflow.llm import lm_words
 from tableflow.llm.common import staged, table
 
 #: The end of a text as a token; no word contains white space.
@@ -84,8 +88,8 @@ def classes_of(words: pa.Array, own: list[str]) -> np.ndarray:
     return np.array([known[w] if w in known else ending(w) for w in words.to_pylist()], np.int64)
 
 
-def features(tokens: Tokens) -> np.ndarray:
-    """A row of weight rows for each token: the word before, the ones skipped to before that, and the pair before."""
+def contexts(tokens: Tokens) -> np.ndarray:
+    """A value for each token and kind: the word before, the ones skipped to before that, and the pair before."""
     hashed = _hashes(tokens.words)[tokens.code].astype(np.uint64)
     at = np.arange(len(hashed)) - np.repeat(tokens.starts[:-1], tokens.sizes)
     back = []
@@ -94,9 +98,15 @@ def features(tokens: Tokens) -> np.ndarray:
         before[k:] = hashed[:-k]
         before[at < k] = k
         back.append(before)
-    out = np.empty((len(hashed), KINDS), np.int32)
     mixed = [back[0], back[1], back[2], back[0] * np.uint64(31) + (back[1] << np.uint64(20))]
-    for kind, value in enumerate(mixed):
+    return np.stack(mixed, axis=1)
+
+
+def features(tokens: Tokens, before: np.ndarray | None = None) -> np.ndarray:
+    """A row of weight rows for each token, one of each kind; ``before`` are its contexts if at hand."""
+    before = contexts(tokens) if before is None else before
+    out = np.empty((len(tokens.code), KINDS), np.int32)
+    for kind, value in enumerate(before.T):
         spread = (value + np.uint64(kind)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
         out[:, kind] = (spread % np.uint64(BUCKETS)).astype(np.int32) + kind * BUCKETS
     return out
@@ -251,23 +261,26 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     return model, vocabulary
 
 
-_SCANNED = "doc_id long, n_tokens long, n_known long, log_counts double, log_classes double, rare array<string>"
+_SCANNED = (
+    "doc_id long, n_tokens long, n_known long, log_counts double, log_classes double, rare array<string>, "
+    "parts array<struct<class int, data binary>>"
+)
 
 
 def _scan(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log_mass = np.log10(model.class_mass)
         for batch in _slices(batches):
             tokens = tokens_of(batch.column(1))
             place = pc.index_in(tokens.words, value_set=model.words)
             found = pc.fill_null(place, -1).to_numpy().astype(np.int64)
             count = np.where(found >= 0, model.counts[found], 0)
             target = classes_of(tokens.words, model.own)[tokens.code]
-            rows, chance = features(tokens), np.empty(len(target))
+            before = contexts(tokens)
+            rows, chance = features(tokens, before), np.empty(len(target))
             for at in range(0, len(rows), _STEP):
                 some = target[at : at + _STEP]
                 chance[at : at + _STEP] = log_chances(model.weights, rows[at : at + _STEP], some)
-            chance = chance / np.log(10) - log_mass[target]
+            chance = chance / np.log(10)
             first = tokens.starts[:-1]
             known = count[tokens.code]
 
@@ -279,6 +292,11 @@ def _scan(model: Model):
             rare = pa.ListArray.from_arrays(
                 pa.array(ends, pa.int32()), tokens.words.take(pa.array(tokens.code[is_rare]))
             )
+            shared = np.flatnonzero(target > OWN_CLASSES)
+            ids = lm_words.ids_of(tokens.words)[tokens.code[shared]]
+            doc = np.repeat(np.arange(batch.num_rows), tokens.sizes)[shared]
+            held = batch.column(2).to_numpy(zero_copy_only=False)
+            parts = lm_words.parts_of(target[shared], ids, before[shared], doc, held[doc])
             yield pa.record_batch(
                 [
                     batch.column(0),
@@ -287,8 +305,10 @@ def _scan(model: Model):
                     pa.array(of_each(np.log10(known + 1.0))),
                     pa.array(of_each(chance)),
                     rare,
+                    # With the first document, the tokens of all documents of the slice.
+                    pa.array([parts, *[None] * (batch.num_rows - 1)][: batch.num_rows], lm_words.PARTS),
                 ],
-                names=["doc_id", "n_tokens", "n_known", "log_counts", "log_classes", "rare"],
+                names=["doc_id", "n_tokens", "n_known", "log_counts", "log_classes", "rare", "parts"],
             )
 
     return run
@@ -297,30 +317,34 @@ def _scan(model: Model):
 def lm_scores(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``.
 
-    A word's chance is that of its class in its context, from the softmax, times its share ``(c + 1) / mass`` of the
-    class. Counts of frequent words are at hand in each task; the other words of each document are joined with the
-    counts of the whole vocabulary, so no word is cut off and no hot word is shuffled. Null, empty and blank texts are
+    A word's chance is that of its class in its context, from the softmax, times its own chance among the words of the
+    class in that context, from ``lm_words``. For the base score, counts of frequent words are at hand in each task; the
+    other words of each document are joined with the counts of the whole vocabulary, so no word is cut off and no hot
+    word is shuffled. Null, empty and blank texts are
     one end. A null ``doc_id`` is never held out. Rows that share an id are documents of their own. Without training
     documents, all counts are 0 and classes are equally likely.
     """
     docs = docs.select("doc_id", "text")
     model, vocabulary = train(docs)
     scanned = staged(
-        docs.mapInArrow(_scan(model), _SCANNED).withColumn("row", F.monotonically_increasing_id()), "lm_scan"
+        docs.withColumn("held_out", is_held_out(F.col("doc_id")))
+        .mapInArrow(_scan(model), _SCANNED)
+        .withColumn("row", F.monotonically_increasing_id()), "lm_scan"
     )
     rare = scanned.select("row", F.explode("rare").alias("word")).join(vocabulary, "word")
     rest = rare.groupBy("row").agg(
         F.count(F.lit(1)).alias("more_known"), F.sum(F.log10(F.col("c") + F.lit(1.0))).alias("more_counts")
     )
+    log_words = lm_words.log_chances(scanned, vocabulary, model.own, classes_of)
     counts = F.col("log_counts") + F.coalesce("more_counts", F.lit(0.0))
-    return scanned.drop("rare").join(rest, "row", "left").select(
+    return scanned.drop("rare", "parts").join(rest, "row", "left").join(log_words, "row", "left").select(
         "doc_id",
         is_held_out(F.col("doc_id")).alias("held_out"),
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
         (counts - F.col("n_tokens") * F.lit(float(np.log10(model.n_tokens + model.n_words + 1)))).alias("base_score"),
-        (counts + F.col("log_classes")).alias("score"),
+        (F.col("log_classes") + F.coalesce("log_words", F.lit(0.0))).alias("score"),
     )
 
 

@@ -1,0 +1,230 @@
+"""The second factor of language-model scores: the words of a class, from the context, by a tree of binary softmaxes."""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+PARTS = pa.list_(pa.struct([("class", pa.int32()), ("data", pa.binary())]))
+#: Words counted less often share one leaf of their class, and parts of it by their counts.
+LEAST_COUNT = 5
+RATE = 0.1
+_STEP = 2048
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+# A token of a class as it is sent to the class: places of its word and of the words before in what is listed once.
+_TOKEN = np.dtype([("word", "<u4"), ("context", "<u4", 3), ("doc", "<u2"), ("held", "?")])
+
+
+def ids_of(words: pa.Array) -> np.ndarray:
+    """64 bits that tell words apart."""
+    joined = b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in words.cast(pa.binary()).to_pylist())
+    return np.frombuffer(joined, "<u8")
+
+
+def _pack(values: np.ndarray) -> bytes:
+    # Bytes of one place of all values next to each other compress best.
+    raw = values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpack(data: bytes, kind: np.dtype) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    raw = pa.decompress(data[8:], size, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(kind.itemsize, -1).T).view(kind)[:, 0]
+
+
+def _pack_tokens(ids: np.ndarray, context: np.ndarray, doc: np.ndarray, held: np.ndarray) -> bytes:
+    listed, word = np.unique(ids, return_inverse=True)
+    before, places = np.unique(context, return_inverse=True)
+    tokens = np.empty(len(ids), _TOKEN)
+    tokens["word"], tokens["context"], tokens["doc"], tokens["held"] = word, places.reshape(context.shape), doc, held
+    packed = [_pack(listed), _pack(np.diff(before, prepend=before[:1])), _pack(before[:1]), _pack(tokens)]
+    return b"".join(len(p).to_bytes(8, "little") + p for p in packed)
+
+
+def _unpack_tokens(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    packed, at = [], 0
+    while at < len(data):
+        size = int.from_bytes(data[at : at + 8], "little")
+        packed.append(data[at + 8 : at + 8 + size])
+        at += 8 + size
+    listed, steps, first = _unpack(packed[0], np.dtype("<u8")), _unpack(packed[1], np.dtype("<u4")), _unpack(packed[2], np.dtype("<u4"))
+    before, tokens = first[0] + np.cumsum(steps, dtype=np.uint32), _unpack(packed[3], _TOKEN)
+    return listed[tokens["word"]], before[tokens["context"]], tokens["doc"], tokens["held"]
+
+
+def parts_of(target: np.ndarray, ids: np.ndarray, contexts: np.ndarray, doc: np.ndarray, held: np.ndarray) -> list[dict]:
+    """The tokens of each class, packed, in the order of the documents."""
+    # The pair follows from the two words before.
+    context = contexts[:, :3].astype(np.uint32)
+    order = np.argsort(target, kind="stable")
+    cuts = np.flatnonzero(np.diff(target[order])) + 1
+    return [
+        {"class": int(target[at[0]]), "data": _pack_tokens(ids[at], context[at], doc[at], held[at])}
+        for at in np.split(order, cuts)
+        if len(at)
+    ]
+
+
+class Words:
+    """The words of one class as leaves of a Huffman tree by counts; each node is a softmax over its two sides.
+
+    The hashed features of the context are weighed for each node apart. With all weights 0 a word's chance is its share
+    of the counts. The table of weights has about as many places as the class has training tokens. Leaf 0 stands for
+    the rare words, which share it by ``c + 1``, and for one word never seen.
+    """
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
+        order = np.argsort(ids)
+        self.ids, self.counts = ids[order], counts[order]
+        often = np.flatnonzero(self.counts >= LEAST_COUNT)
+        often = often[np.argsort(self.counts[often], kind="stable")]
+        self.leaf = np.zeros(len(ids), np.int64)
+        self.leaf[often] = np.arange(1, len(often) + 1)
+        rare = self.counts < LEAST_COUNT
+        self.rare_mass = float((self.counts[rare] + 1).sum() + 1)
+        self._build(np.r_[self.rare_mass, self.counts[often] + 1.0])
+        bits = max(12, int(counts.sum()).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.weights, self.squares, self.change = (np.zeros(1 << bits, np.float32) for _ in range(3))
+
+    def _build(self, leaves: np.ndarray) -> None:
+        n = len(leaves)
+        queue = np.argsort(leaves, kind="stable").tolist()
+        weight = leaves.tolist()
+        self.parent, self.side = np.full(2 * n - 1, -1, np.int64), np.zeros(2 * n - 1, np.float32)
+        at, made = 0, n
+
+        def least() -> int:
+            nonlocal at, made
+            if at < n and (made == len(weight) or weight[queue[at]] <= weight[made]):
+                at += 1
+                return queue[at - 1]
+            made += 1
+            return made - 1
+
+        prior = np.zeros(2 * n - 1, np.float32)
+        for node in range(n, 2 * n - 1):
+            left, right = least(), least()
+            self.parent[left] = self.parent[right] = node
+            self.side[right] = 1
+            weight.append(weight[left] + weight[right])
+            prior[node] = np.log(weight[right] / weight[left])
+        self.prior = prior
+
+    def _paths(self, leaf: np.ndarray, context: np.ndarray):
+        """For each node above each token's leaf: the token, the side taken, the node's log odds and its weights."""
+        tokens, sides, nodes = [], [], []
+        token, now = np.arange(len(leaf)), leaf
+        while True:
+            more = self.parent[now] >= 0
+            token, now = token[more], now[more]
+            if not len(token):
+                break
+            tokens.append(token)
+            sides.append(self.side[now])
+            now = self.parent[now]
+            nodes.append(now)
+        if not tokens:
+            return np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, np.float32), np.zeros((0, 4), np.int64)
+        token, side, node = np.concatenate(tokens), np.concatenate(sides), np.concatenate(nodes)
+        one, two, three = context.astype(np.uint64).T
+        kinds = np.stack([one, two, three, one * np.uint64(31) + (two << np.uint64(20))], axis=1)
+        kinds = (kinds * np.uint64(4) + np.arange(4, dtype=np.uint64)) * _GOLDEN
+        kinds ^= kinds >> np.uint64(29)
+        mixed = kinds[token] + (node.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))[:, None]
+        place = ((mixed * _GOLDEN) >> self.shift).astype(np.int64)
+        return token, side, self.prior[node] + self.weights[place].sum(axis=1), place
+
+    def _find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The leaf and the count of each word; those of words never seen are 0."""
+        if not len(self.ids):
+            return np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+        known = self.ids[at] == ids
+        return np.where(known, self.leaf[at], 0), np.where(known, self.counts[at], 0)
+
+    def train(self, ids: np.ndarray, context: np.ndarray) -> None:
+        """AdaGrad over the gradient of a few tokens at a time."""
+        leaf = self._find(ids)[0]
+        for at in range(0, len(ids), _STEP):
+            _, side, odds, place = self._paths(leaf[at : at + _STEP], context[at : at + _STEP])
+            gradient = 1 / (1 + np.exp(-odds)) - side
+            place = place.ravel()
+            np.add.at(self.change, place, np.repeat(gradient, 4))
+            # A place that occurs more than once is given the same value each time.
+            total = self.change[place]
+            squares = self.squares[place] + total * total
+            self.squares[place] = squares
+            self.weights[place] -= np.float32(RATE) * total / np.sqrt(squares + 1)
+            self.change[place] = 0
+
+    def log10(self, ids: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """The chance of each word in its context, given its class."""
+        leaf, count = self._find(ids)
+        out = np.where(leaf == 0, np.log10((count + 1.0) / self.rare_mass), 0.0)
+        for at in range(0, len(ids), _STEP):
+            token, side, odds, _ = self._paths(leaf[at : at + _STEP], context[at : at + _STEP])
+            log = -np.logaddexp(0.0, np.where(side > 0, -odds, odds).astype(np.float64)) / np.log(10)
+            out[at : at + _STEP] += np.bincount(token, log, minlength=len(out[at : at + _STEP]))
+        return out
+
+
+_WORD = np.dtype([("id", "<u8"), ("count", "<i8")])
+
+
+def _counted(own: list[str], classes_of: Callable):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = classes_of(batch.column(0), own)
+            words = np.empty(len(found), _WORD)
+            words["id"], words["count"] = ids_of(batch.column(0)), batch.column(1).to_numpy()
+            kinds = np.unique(found[found > 0])
+            data = [_pack(words[found == k]) for k in kinds]
+            columns = [pa.array(np.zeros(len(kinds), np.int64)), pa.array(kinds, pa.int32()), pa.array(data, pa.binary())]
+            yield pa.record_batch(columns, names=["row", "class", "data"])
+
+    return run
+
+
+def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each class in turn: its words, then the tokens to train on, then those to score."""
+    of, words, listed = None, None, []
+    for batch in batches:
+        for row, kind, data, phase in zip(*[c.to_pylist() for c in batch.columns]):
+            if kind != of:
+                of, words, listed = kind, None, []
+            if phase == 0:
+                listed.append(_unpack(data, _WORD))
+                continue
+            if words is None:
+                known = np.concatenate([np.zeros(0, _WORD), *listed])
+                words, listed = Words(known["id"], known["count"]), []
+            ids, context, doc, held = _unpack_tokens(data)
+            if phase == 1:
+                words.train(ids[~held], context[~held])
+            else:
+                logs = words.log10(ids, context)
+                docs, first = np.unique(doc, return_index=True)
+                sums = np.add.reduceat(logs, first)
+                yield pa.record_batch([pa.array(docs.astype(np.int64) + row), pa.array(sums)], names=["row", "log_words"])
+
+
+def log_chances(scanned: DataFrame, vocabulary: DataFrame, own: list[str], classes_of: Callable) -> DataFrame:
+    """``row, log_words``: of each document, the logarithm of its words' chances given their classes.
+
+    Classes are learned apart, each from its own tokens alone, where it holds its words and weights; a class streams
+    its tokens twice, to learn and to score. Only classes of more than one word are sent.
+    """
+    sent = scanned.where("parts is not null").select("row", F.inline("parts"), F.array(F.lit(1), F.lit(2)).alias("phases"))
+    counted = vocabulary.mapInArrow(_counted(own, classes_of), "row long, class int, data binary")
+    many = counted.where(F.col("class") > len(own)).withColumn("phases", F.array(F.lit(0)))
+    # Tokens are shuffled once, and doubled behind the shuffle.
+    dealt = many.union(sent).repartition("class").select("row", "class", "data", F.explode("phases").alias("phase"))
+    learned = dealt.sortWithinPartitions("class", "phase", "row").mapInArrow(_learn, "row long, log_words double")
+    return learned.groupBy("row").agg(F.sum("log_words").alias("log_words"))

@@ -81,3 +81,42 @@ def test_features_look_back_only(odd_texts):
         alone = tokens_of(pa.array([text]))
         assert [alone.words[c].as_py() for c in alone.code] == plain_tokens(text)
         assert (features(alone) == rows[whole.starts[i] : whole.starts[i + 1]]).all()
+
+
+def test_words_of_a_class_follow_the_context():
+    """Words of one ending, as frequent as each other, that the word before tells apart."""
+    import pyarrow as pa
+
+    from tableflow.llm.lm_words import Words, ids_of
+
+    rng = np.random.default_rng(1)
+    names = [f"w{k:03d}ing" for k in range(40)]
+    ids = ids_of(pa.array(names))
+    words = Words(ids, np.full(40, 250))
+    drawn = rng.integers(0, 40, 10_000)
+    context = np.stack([drawn * 7 + 1, np.full(10_000, 3), np.full(10_000, 5)], axis=1).astype(np.uint32)
+    plain = words.log10(ids[drawn], context).mean()
+    assert plain == pytest.approx(math.log10(251 / (40 * 251 + 1)), abs=0.01)
+    for _ in range(10):
+        words.train(ids[drawn], context)
+    assert words.log10(ids[drawn], context).mean() > plain / 2
+    # Over all words and the unseen one, after any context.
+    for k in range(3):
+        every = np.r_[ids, np.uint64(12345)]
+        assert (10 ** words.log10(every, np.repeat(context[k : k + 1], 41, axis=0))).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_scores_follow_the_context_within_a_class(spark):
+    """Texts of the same words, each word as frequent: only the order of two words of one class differs."""
+    from pyspark.sql import functions as F
+
+    ids = spark.range(4000).select(F.col("id").alias("doc_id"))
+    odd = F.pmod(F.col("doc_id"), F.lit(2)) == 1
+    usual = ids.select("doc_id", F.when(odd, "k1 aaxing " * 20).otherwise("k2 bbxing " * 20).alias("text"))
+    filler = spark.range(4000, 4100).select(
+        F.col("id").alias("doc_id"), F.expr("array_join(transform(sequence(1, 40), i -> concat('own', i)), ' ')").alias("text")
+    ).withColumn("text", F.repeat(F.concat("text", F.lit(" ")), 2000))
+    held = [k for k in range(5000, 6000) if held_out(k)][:2]
+    asked = spark.createDataFrame([(held[0], "k1 aaxing"), (held[1], "k1 bbxing")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm_scores(usual.union(filler).union(asked)).where(F.col("doc_id").isin(held)).collect()}
+    assert got[held[0]] > got[held[1]] + 0.5
