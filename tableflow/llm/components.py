@@ -23,6 +23,11 @@ def _small_star(links: DataFrame) -> DataFrame:
     return joined.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _state(links: DataFrame) -> DataFrame:
+    """The number of links and a sum over them that tells two rounds apart; a sum of longs could overflow."""
+    return links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` of every node with a link; ``root`` is the smallest node of its component.
 
@@ -33,7 +38,7 @@ def components(links: DataFrame) -> DataFrame:
     now = staged(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
     before = None
     while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first()
+        state = _state(now).first()
         if state == before or state[0] == 0:
             break
         before = state

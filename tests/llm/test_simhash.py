@@ -4,8 +4,9 @@ import pytest
 import xxhash
 
 from tableflow.llm.common import table
-from tableflow.llm.components import components
+from tableflow.llm.components import _state, components
 from tableflow.llm.simhash import BLOCK, first_of_each, near_duplicates, op7_simhash, simhash_links
+from tableflow.session import configure
 
 
 def plain_print(text):
@@ -87,3 +88,12 @@ def test_long_chain(spark):
     links = spark.range(150).selectExpr("id as a", "id + 1 as b")
     assert {r.root for r in components(links).collect()} == {0}
     assert components(links).count() == 151
+
+
+def test_state_of_many_links_does_not_overflow(spark):
+    """More links than 2^24, whose 40-bit hashes no longer sum up to a long."""
+    configure(spark)
+    links = spark.range(1 << 25).selectExpr("id as a", "id + 1 as b")
+    count, total = _state(links).first()
+    assert count == 1 << 25
+    assert (count, total) != tuple(_state(links.where("a > 0")).first())
