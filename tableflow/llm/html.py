@@ -34,6 +34,9 @@ _BOILERPLATE = set(
     "search toolbar copyright skip hidden toc teaser".split()
 )
 _ARTICLE_BUT = set("comment comments reply replies related recommended teaser ad ads advert promo sponsored".split())
+# Of these, words that also name sections of an article: in one, they count only where the text is sparse too.
+_SECTIONS = set("related discussion commentary search notice notices toc".split())
+_HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -46,7 +49,8 @@ def _names(value: str) -> set[str]:
     return found
 
 
-def _is_boilerplate(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+def _is_boilerplate(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool | None:
+    """Whether an element is named or known as boilerplate; None if its text has to tell."""
     if tag in _NEVER_TEXT or (tag == "header" and not in_article):
         return True
     if not attrs or tag in ("html", "body", "main"):
@@ -54,13 +58,18 @@ def _is_boilerplate(tag: str, attrs: list[tuple[str, str | None]], in_article: b
     given = {name: value or "" for name, value in attrs}
     if "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", ""):
         return True
-    names = _names(f"{given.get('class', '')} {given.get('id', '')}")
+    # The id of an article's heading is commonly made of its text.
+    named = "" if in_article and tag in _HEADINGS else given.get("id", "")
+    names = _names(f"{given.get('class', '')} {named}")
     if tag == "article":
         return bool(names & _ARTICLE_BUT)
     if in_article:
         # The head of an article is its title, not the page's header.
         names -= {"header"}
-    return given.get("role", "") in _ROLES or bool(names & _BOILERPLATE)
+    found = names & _BOILERPLATE
+    if given.get("role", "") in _ROLES or (found and not (in_article and found <= _SECTIONS)):
+        return True
+    return None if found else False
 
 
 class _Lines(HTMLParser):
@@ -70,7 +79,9 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int, bool]] = [("", 0, False)]
         self.parent, self.tag = [0], [""]
-        self.lines: list[tuple[int, bool, str, int]] = []
+        self.doubted = [False]
+        self.lines: list[tuple[int, bool, str, int, bool]] = []
+        self.heading = False
         self.text: list[str] = []
         self.tags = 0
         self.in_article = 0
@@ -79,7 +90,7 @@ class _Lines(HTMLParser):
     def break_line(self) -> None:
         if self.text or self.tags:
             _, container, bad = self.stack[-1]
-            self.lines.append((container, bad, " ".join("".join(self.text).split()), self.tags))
+            self.lines.append((container, bad, " ".join("".join(self.text).split()), self.tags, self.heading))
             self.text, self.tags = [], 0
 
     def close_from(self, at: int) -> None:
@@ -96,19 +107,21 @@ class _Lines(HTMLParser):
             top = self.stack[-1][0]
             if top == "p" or (top == tag and tag in ("li", "dt", "dd", "tr", "td", "th")):
                 self.close_from(len(self.stack) - 1)
+            self.heading = tag in _HEADINGS
         self.tags += 1
         if tag == "br":
             self.text.append(" ")
         if tag in _VOID:
             return
         bad = _is_boilerplate(tag, attrs, self.in_article > 0)
-        if bad or tag in _CONTAINERS:
-            if bad and tag not in _BLOCKS:
+        if bad or bad is None or tag in _CONTAINERS:
+            if bad is not False and tag not in _BLOCKS:
                 self.break_line()
             _, container, above = self.stack[-1]
             self.parent.append(container)
             self.tag.append(tag)
-            self.stack.append((tag, len(self.parent) - 1, bad or above))
+            self.doubted.append(bad is None)
+            self.stack.append((tag, len(self.parent) - 1, bool(bad) or above))
             self.in_article += tag in ("article", "main")
             self.open[tag] = self.open.get(tag, 0) + 1
 
@@ -127,6 +140,8 @@ class _Lines(HTMLParser):
             self.close_from(at)
         elif tag in _BLOCKS:
             self.break_line()
+        if tag in _HEADINGS:
+            self.heading = False
 
     def handle_data(self, data):
         self.text.append(data)
@@ -141,25 +156,27 @@ def _content_lines(parser: _Lines) -> list[str]:
     lines = [line for line in parser.lines if not line[1] and line[2]]
     if not lines:
         return []
-    ratio = np.array([len(text) / max(1, tags) for _, _, text, tags in lines])
+    ratio = np.array([len(text) / max(1, tags) for _, _, text, tags, _ in lines])
     smooth = np.convolve(np.pad(ratio, 2, mode="edge"), _KERNEL, mode="valid")
     # Two clusters, parted at the deviation of the smoothed ratios; a page without any contrast is one cluster.
     high = smooth >= min(smooth.std(), smooth.max())
 
     # Characters of the lines in the high cluster under each container; children come after their parents.
-    weight = np.zeros(len(parser.parent))
-    for (container, _, text, _), is_high in zip(lines, high):
+    weight, whole = np.zeros(len(parser.parent)), np.zeros(len(parser.parent))
+    for (container, _, text, _, _), is_high in zip(lines, high):
         weight[container] += len(text) * is_high
+        whole[container] += len(text)
     for child in range(len(weight) - 1, 0, -1):
         weight[parser.parent[child]] += weight[child]
+        whole[parser.parent[child]] += whole[child]
+    sparse = np.array(parser.doubted) & (2 * weight < whole)
 
     regions: set[int] = set()
     direct = -1
     for kind in ("article", "main"):
         named = [i for i, tag in enumerate(parser.tag) if tag == kind and weight[i] > 0]
         if named:
-            most = max(weight[i] for i in named)
-            regions = {i for i in named if 2 * weight[i] >= most}
+            regions = set(named)
             break
     else:
         # The deepest container that holds nearly all of it: its own lines, and the parts below it that hold any.
@@ -169,10 +186,16 @@ def _content_lines(parser: _Lines) -> list[str]:
             direct = heavy[direct]
         regions = {i for i in range(1, len(weight)) if parser.parent[i] == direct and weight[i] > 0}
 
-    inside = np.zeros(len(weight), bool)
+    inside, in_main = np.zeros(len(weight), bool), np.zeros(len(weight), bool)
     for i, parent in enumerate(parser.parent):
         inside[i] = i in regions or (i > 0 and inside[parent])
-    return [text for container, _, text, _ in lines if inside[container] or container == direct]
+        in_main[i] = parser.tag[i] == "main" or (i > 0 and in_main[parent])
+        sparse[i] |= i > 0 and sparse[parent]
+    return [
+        text
+        for container, _, text, _, heading in lines
+        if not sparse[container] and (inside[container] or container == direct or (heading and in_main[container]))
+    ]
 
 
 def main_text(html: str | None) -> str:
@@ -200,7 +223,10 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     Navigation, forms, scripts and parts named as boilerplate go with their whole subtree. The remaining lines get the
     ratio of their characters to their tags; ratios are smoothed over neighbours and parted in two clusters; the
-    containers that hold the high cluster are the content regions, and every line in them is kept, short ones too.
+    containers that hold the high cluster are the content regions, and every line in them is kept, short ones too. Where
+    articles are the regions, the headings of ``main`` around them are kept as well. Words that also name sections of an
+    article (``related``, ``discussion``) are boilerplate there only where most of the text is in the low cluster, and
+    ids of its headings never are.
     A null or empty page has an empty text. Repeated rows give repeated results; other columns are ignored.
     """
     return pages.select("page_id", "url", "html").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -50,6 +50,24 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<article><p>{LONG}</p><h2 id='related-work'>Related work</h2><p>{LONG}</p></article>", f"{LONG.strip()}\nRelated work\n{LONG.strip()}"),
+        (f"<article><h2 id='search-results'>Search</h2><p>{LONG}</p></article>", f"Search\n{LONG.strip()}"),
+        (f"<article><p>{LONG}</p><section id='discussion'><h2>D</h2><p>{LONG}</p></section></article>", f"{LONG.strip()}\nD\n{LONG.strip()}"),
+        (f"<article><p>{LONG}</p><p class='notice-text'>{LONG}</p></article>", f"{LONG.strip()}\n{LONG.strip()}"),
+        (f"<article><p>{LONG}</p>" + "<p>Some more words.</p>" * 3 + "<ul class='related'>" + "<li><a href='x'>a</a>" * 9 + "</ul></article>",
+         f"{LONG.strip()}\n" + "\n".join(["Some more words."] * 3)),
+        (f"<main><h1>Title</h1><article><p>{LONG}</p></article><div><a>x</a></div></main>", f"Title\n{LONG.strip()}"),
+        (f"<article><p>{LONG * 9}</p></article><article><p>{LONG}</p></article>", f"{(LONG * 9).strip()}\n{LONG.strip()}"),
+        (f"<article><p>{LONG}</p></article><article class='teaser'><p>{LONG}</p></article>", LONG.strip()),
+    ],
+)
+def test_parts_of_articles_are_kept(page, text):
+    assert main_text(page) == text
+
+
 def test_odd_pages(spark):
     long = "<article>" + f"<p>{LONG}</p>" * 5000 + "</article>"
     deep = "<div>" * 3000 + LONG + "</div>" * 3000
