@@ -185,6 +185,15 @@ def _content_lines(parser: _Lines) -> list[str]:
         while direct in heavy:
             direct = heavy[direct]
         regions = {i for i in range(1, len(weight)) if parser.parent[i] == direct and weight[i] > 0}
+        # A part of short lines between two that stay belongs to the text.
+        part = list(range(len(weight)))
+        for i in range(1, len(weight)):
+            if parser.parent[i] != direct:
+                part[i] = part[parser.parent[i]]
+        tops = [part[line[0]] if line[0] != direct else direct for line in lines]
+        kept = [at for at, (top, is_high) in enumerate(zip(tops, high)) if top in regions or (top == direct and is_high)]
+        if kept:
+            regions.update(top for top in tops[kept[0] : kept[-1]] if parser.parent[top] == direct and top != direct)
 
     inside, in_main = np.zeros(len(weight), bool), np.zeros(len(weight), bool)
     for i, parent in enumerate(parser.parent):

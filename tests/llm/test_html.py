@@ -68,6 +68,21 @@ def test_parts_of_articles_are_kept(page, text):
     assert main_text(page) == text
 
 
+def test_short_parts_between_long_ones_are_kept():
+    items = [f"item {k}" for k in range(30)]
+    # Only the first and the last list have lines whose smoothed ratio is high.
+    lists = ["".join(f"<li><b>{t}</b></li>" for t in items[k : k + 6]) for k in range(0, 30, 6)]
+    listed = "".join(f"<ul>{t}</ul>" for t in lists)
+    page = f"<div><div><p>{LONG}</p></div>{listed}<div><p>{LONG}</p></div></div>"
+    assert main_text(page) == "\n".join([LONG.strip(), *items, LONG.strip()])
+    # What lies outside stays out.
+    around = f"<div><div><a>x</a></div><div><a>y</a></div><div><a>z</a></div><div><p>{LONG}</p></div>{listed}<div><p>{LONG}</p></div></div>"
+    assert not {"x", "y"} & set(main_text(around).split("\n"))
+    assert main_text(around).endswith(main_text(page))
+    apart = f"<div><div><p>{LONG}</p></div><div><h2>T</h2>{listed}<p>w</p></div><div><p>{LONG}</p></div></div>"
+    assert main_text(apart) == "\n".join([LONG.strip(), "T", *items, "w", LONG.strip()])
+
+
 def test_odd_pages(spark):
     long = "<article>" + f"<p>{LONG}</p>" * 5000 + "</article>"
     deep = "<div>" * 3000 + LONG + "</div>" * 3000
