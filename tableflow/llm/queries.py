@@ -2,6 +2,7 @@
 
 from tableflow.llm import (
     chat,
+    exact_dedup,
     html,
     lm_scoring,
     mixing,
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_token_store": token_store.op9_token_store,
     "op10_lm_scoring": lm_scoring.op10_lm_scoring,
+    "op12_exact_dedup": exact_dedup.op12_exact_dedup,
 }
 
 ORACLES = {
     "op1_quality_rules": quality_rules.OP1_SQL,
     "op3_mixing": mixing.OP3_SQL,
+    "op12_exact_dedup": exact_dedup.OP12_SQL,
 }
