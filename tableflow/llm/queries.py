@@ -2,6 +2,7 @@
 
 from tableflow.llm import (
     chat,
+    collocations,
     exact_dedup,
     html,
     lm_scoring,
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_token_store": token_store.op9_token_store,
     "op10_lm_scoring": lm_scoring.op10_lm_scoring,
     "op12_exact_dedup": exact_dedup.op12_exact_dedup,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLES = {
     "op1_quality_rules": quality_rules.OP1_SQL,
     "op3_mixing": mixing.OP3_SQL,
     "op12_exact_dedup": exact_dedup.OP12_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }
