@@ -8,6 +8,7 @@ from tableflow.llm import (
     lm_scoring,
     mixing,
     packing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     simhash,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_token_store": token_store.op9_token_store,
     "op10_lm_scoring": lm_scoring.op10_lm_scoring,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_exact_dedup": exact_dedup.op12_exact_dedup,
     "op13_collocations": collocations.op13_collocations,
 }
@@ -33,6 +35,7 @@ QUERIES = {
 ORACLES = {
     "op1_quality_rules": quality_rules.OP1_SQL,
     "op3_mixing": mixing.OP3_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
     "op12_exact_dedup": exact_dedup.OP12_SQL,
     "op13_collocations": collocations.OP13_SQL,
 }
