@@ -25,6 +25,8 @@ class Code(str, Enum):
     SCHEMA_MISMATCH = "schema_mismatch"
     TARGET_KIND = "target_kind"
     SESSION_STATE = "session_state"
+    COMMIT_IN_PROGRESS = "commit_in_progress"
+    COMMIT_LOST = "commit_lost"
 
 
 class TableflowError(Exception):

@@ -6,6 +6,7 @@ import json
 import time
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -51,6 +52,25 @@ class Files:
         finally:
             stream.close()
 
+    def create_new(self, path: str, text: str) -> bool:
+        """Write a file that must not exist yet; whether it did not."""
+        stream = None
+        try:
+            stream = self._fs.create(self._path(path), False)
+            stream.write(bytearray(text.encode()))
+        except Py4JJavaError as error:
+            if stream is None and self.exists(path):
+                return False
+            raise error
+        finally:
+            if stream is not None:
+                stream.close()
+        return True
+
+    def age(self, path: str) -> float:
+        """Seconds since a file was written last."""
+        return time.time() - self._fs.getFileStatus(self._path(path)).getModificationTime() / 1000
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,8 @@ from pyspark.sql import types as T
 from tableflow.columns import col
 from tableflow.errors import Code, TableflowError
 from tableflow.files import Files, declare_table, declared_table
-from tableflow.sinks.staging import drop_quietly, recover_table, swap_folders
+from tableflow.leases import TableLock
+from tableflow.sinks.staging import drop_quietly, locked_table, recover_table, swap_folders
 from tableflow.sources.names import TableName
 from tableflow.sources.tables import read_folder, resolve_name
 
@@ -32,10 +34,21 @@ def resolve_target(
 class FolderTarget:
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str]):
         self.spark, self.name, self.partition_by = spark, path, list(partition_by)
+        self._lock: TableLock | None = None
+
+    @contextmanager
+    def locked(self) -> Iterator[None]:
+        """From the reading of the table to the end of the commit, no other writer may change it."""
+        with locked_table(self.spark, self.name) as self._lock:
+            try:
+                yield
+            finally:
+                self._lock = None
 
     def open(self, schema: T.StructType, mode: str) -> DataFrame | None:
         """The existing table, or None. An existing layout holds for every mode but replace."""
-        recover_table(self.spark, self.name)
+        if self._lock is None:
+            recover_table(self.spark, self.name)
         files = Files(self.spark, self.name)
         if not files.exists(self.name):
             return None
@@ -66,18 +79,33 @@ class FolderTarget:
 
     def put(self, rows: DataFrame) -> None:
         """Make ``rows`` the table: write them next to it, then swap."""
-        self._swap_in(rows, whole=True)
+        folder, _, table = self.name.rpartition("/")
+        new = f"{folder}/_new_{uuid.uuid4().hex}_{table}"
+        try:
+            rows.write.partitionBy(*self.partition_by).parquet(new)
+            self._keep_schema(new, rows.schema)
+            swap_folders(self.spark, self.name, [(new, self.name)], self._lock)
+        finally:
+            drop_quietly(self.spark, new)
+        self.spark.catalog.refreshByPath(self.name)
 
     def put_partitions(self, rows: DataFrame) -> None:
-        """Make ``rows`` the content of the partitions they belong to, leaving the others."""
-        self._swap_in(rows, whole=False)
+        """Make ``rows`` the content of the partitions they belong to, leaving the others.
+
+        Spark writes aside, and its committer replaces the partitions it has written when the
+        job succeeds; so the plan may read the table it writes.
+        """
+        self._lock.check()
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*self.partition_by).parquet(self.name)
+        self.spark.catalog.refreshByPath(self.name)
 
     def adopt(self, folder: str, schema: T.StructType) -> bool:
         """Make a folder already written in this layout the table, if a rename can."""
         if not Files(self.spark, self.name).holds(folder):
             return False
         self._keep_schema(folder, schema)
-        swap_folders(self.spark, self.name, [(folder, self.name)])
+        swap_folders(self.spark, self.name, [(folder, self.name)], self._lock)
         self.spark.catalog.refreshByPath(self.name)
         return True
 
@@ -94,30 +122,6 @@ class FolderTarget:
         nullable = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
         declare_table(self.spark, folder, nullable, self.partition_by)
 
-    def _swap_in(self, rows: DataFrame, whole: bool) -> None:
-        folder, _, table = self.name.rpartition("/")
-        new = f"{folder}/_new_{uuid.uuid4().hex}_{table}"
-        try:
-            rows.write.partitionBy(*self.partition_by).parquet(new)
-            if whole:
-                self._keep_schema(new, rows.schema)
-            swap_folders(self.spark, self.name, [(new, self.name)] if whole else self._partition_moves(new))
-        finally:
-            drop_quietly(self.spark, new)
-        self.spark.catalog.refreshByPath(self.name)
-
-    def _partition_moves(self, new: str) -> list[tuple[str, str]]:
-        files = Files(self.spark, new)
-        folders = [("", new)]
-        for _ in self.partition_by:
-            folders = [
-                (f"{relative}/{name}", path)
-                for relative, parent in folders
-                for name, path, _ in files.children(parent)
-                if "=" in name
-            ]
-        return [(path, self.name + relative) for relative, path in folders]
-
 
 class CatalogTarget:
     """A table in the session catalog. Replaced whole by renaming a new table over it."""
@@ -127,6 +131,11 @@ class CatalogTarget:
         self.name = str(name)
         self._managed = True
 
+    @contextmanager
+    def locked(self) -> Iterator[None]:
+        """The catalog itself settles renames of two writers."""
+        yield
+
     def open(self, schema: T.StructType, mode: str) -> DataFrame | None:
         if not self.spark.catalog.tableExists(self.table.sql):
             return None

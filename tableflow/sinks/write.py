@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tableflow.columns import col, require_columns
 from tableflow.errors import Code, TableflowError
+from tableflow.leases import FolderLease
 from tableflow.operators.dedup import dedup_last
 from tableflow.operators.merge import check_keys, in_groups_of, merge_rows
 from tableflow.schema.diff import check_write
@@ -81,6 +82,7 @@ class WriteSession:
         if schema is not None:
             self._accept(schema)
         self._staging = f"{staging_root(spark, staging_dir)}/load_{uuid.uuid4().hex}"
+        self._lease: FolderLease | None = None
         self._rows = self._bytes = self._batches = 0
         self._state = "open"
 
@@ -109,6 +111,9 @@ class WriteSession:
             # Staged as the target stores rows, so that the folder itself can become the target.
             layout = self._target.partition_by
         count = Observation(f"batch_{self._batches}")
+        if self._lease is None:
+            self._lease = FolderLease(self._spark, self)
+            self._lease.add(self._staging)
         staged = _clustered(rows, layout).observe(count, *measures)
         staged.write.mode("append").partitionBy(*layout).parquet(self._staged_rows)
         self._batches += 1
@@ -126,12 +131,17 @@ class WriteSession:
             folder = self._staged_rows if self._batches and self._mode != "merge" else None
             _land(self._target, self._mode, self._staged(), self._schema, self._keys, self._order(), strategy, folder)
         finally:
-            drop_quietly(self._spark, self._staging)
+            self._drop_staging()
         return WriteResult(self._rows, self._batches)
 
     def abort(self) -> None:
         self._require_open()
         self._state = "aborted"
+        self._drop_staging()
+
+    def _drop_staging(self) -> None:
+        if self._lease is not None:
+            self._lease.close()
         drop_quietly(self._spark, self._staging)
 
     def _accept(self, schema: T.StructType) -> None:
@@ -213,6 +223,11 @@ def _land(
 
     ``folder`` is where ``rows`` are staged, when they are staged as the target stores them.
     """
+    with target.locked():
+        _land_locked(target, mode, rows, schema, keys, order, strategy, folder, count)
+
+
+def _land_locked(target, mode, rows, schema, keys, order, strategy, folder, count) -> None:
     existing = target.open(rows.schema, mode)
     columns = [field.name for field in schema.fields]
     if existing is not None:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tableflow.errors import Code, TableflowError
 from tableflow.files import Files
+from tableflow.leases import FolderLease
 from tableflow.session import staging_root
 from tableflow.sources.tables import apply_hints
 
@@ -39,6 +40,7 @@ class ReadSession:
         self._lock = threading.Lock()
         self._landed: dict[str, Future[DataFrame]] = {}
         self._created: list[str] = []
+        self._lease: FolderLease | None = None
         self._closed = False
 
     def __enter__(self) -> ReadSession:
@@ -55,6 +57,8 @@ class ReadSession:
         with self._lock:
             self._closed = True
             created, self._created = self._created, []
+        if self._lease is not None:
+            self._lease.close()
         for path in created:
             try:
                 Files(self._spark, path).delete(path)
@@ -83,7 +87,11 @@ class ReadSession:
         path = f"{self._root}/query_{uuid.uuid4().hex}"
         with self._lock:
             self._created.append(path)
-        result.write.parquet(path)
+            if self._lease is None:
+                self._lease = FolderLease(self._spark, self)
+            self._lease.add(path)
+        # The folder is there already, for its lease.
+        result.write.mode("append").parquet(path)
         return self._spark.read.schema(result.schema).parquet(path)
 
 

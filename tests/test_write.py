@@ -1,4 +1,6 @@
+import gc
 import os
+import time
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -6,9 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import tableflow.leases
 import tableflow.sinks.staging
 import tableflow.sinks.targets
-from tableflow import Code, TableflowError, WriteSession, expire_staging, read_table, write_table
+from tableflow import Code, ReadSession, TableflowError, WriteSession, expire_staging, read_table, write_table
+from tableflow.files import Files
+from tableflow.leases import TableLock
 from tableflow.operators.merge import in_groups_of
 
 ID_NAME = "id bigint, name string"
@@ -89,15 +94,15 @@ def test_replace_is_checked_like_any_write(spark, place):
 
 
 def test_merge_into_a_missing_then_an_existing_target(spark, place):
-    for expected in ([(0, "second"), (1, "new")], [(0, "second"), (1, "new")]):
+    for _ in range(2):
         with WriteSession(spark, "wh.t", "merge", keys=["id"], **place) as session:
-            session.write(frame(spark, [(0, "first")]))
-            session.write(frame(spark, [(0, "second"), (1, "new")]))
+            session.write(frame(spark, [(40, "draft"), (41, "pear")]))
+            session.write(frame(spark, [(40, "final")]))
             result = session.commit()
         assert (result.rows, result.batches) == (3, 2)
-        assert content(spark, place) == expected
-    write_table(frame(spark, [(1, "updated"), (7, "g")]), "wh.t", "merge", keys=["id"], **place)
-    assert content(spark, place) == [(0, "second"), (1, "updated"), (7, "g")]
+        assert content(spark, place) == [(40, "final"), (41, "pear")]
+    write_table(frame(spark, [(3, "fig"), (41, "plum")]), "wh.t", "merge", keys=["id"], **place)
+    assert content(spark, place) == [(3, "fig"), (40, "final"), (41, "plum")]
     assert staged(place) == [] and leftovers(spark, place) == []
 
 
@@ -356,19 +361,21 @@ def test_type_matrix(spark, place):
     assert [tuple(r) for r in table(spark, place).collect()] == [expected]
 
 
-NESTED = "id bigint, rec struct<n:int,tags:array<string>>, xs array<bigint>, m map<string,int>, items array<struct<k:string,v:double>>"
+NESTED = "id bigint, box struct<size:int,marks:array<string>>, hits array<bigint>, stock map<string,int>, legs array<struct<port:string,miles:double>>"
 
 
 def nested(spark):
-    return frame(spark, [(1, (7, ["a"]), [1, 2], {"k1": 1, "k2": None}, [("x", 1.5)]), (2, None, [], None, None)], NESTED)
+    full = (8, (20, ["red", "blue"]), [], {"bolts": None, "nuts": 60}, [("Oslo", 310.25), ("Bergen", 0.5)])
+    return frame(spark, [full, (9, None, [4], None, None)], NESTED)
 
 
 def test_null_arrays_are_stored_empty(spark, place):
     for mode in ("append", "merge"):
         write_table(nested(spark), "wh.t", mode, keys=["id"] if mode == "merge" else (), **place)
-    one, two = table(spark, place).orderBy("id").collect()
-    assert (one.rec.n, one.rec.tags, one.xs, one.m, one["items"][0].v) == (7, ["a"], [1, 2], {"k1": 1, "k2": None}, 1.5)
-    assert (two.rec, two.xs, two.m, two["items"]) == (None, [], {}, [])
+    full, bare = table(spark, place).orderBy("id").collect()
+    assert (full.box.size, full.box.marks, full.hits, full.stock) == (20, ["red", "blue"], [], {"bolts": None, "nuts": 60})
+    assert [tuple(leg) for leg in full.legs] == [("Oslo", 310.25), ("Bergen", 0.5)]
+    assert (bare.box, bare.hits, bare.stock, bare.legs) == (None, [4], {}, [])
 
 
 def test_a_map_lands_in_a_repeated_record(spark, place):
@@ -380,8 +387,8 @@ def test_a_map_lands_in_a_repeated_record(spark, place):
 
 
 def test_nested_into_scalar_is_refused(spark, place):
-    write_table(frame(spark, [(1, "r")], "id bigint, rec string"), "wh.t", **place)
-    assert "rec" in refused(Code.SCHEMA_MISMATCH, write_table, nested(spark).select("id", "rec"), "wh.t", **place)
+    write_table(frame(spark, [(1, "r")], "id bigint, box string"), "wh.t", **place)
+    assert "box" in refused(Code.SCHEMA_MISMATCH, write_table, nested(spark).select("id", "box"), "wh.t", **place)
 
 
 @pytest.mark.parametrize("mode", ["append", "replace", "merge"])
@@ -438,25 +445,34 @@ def test_a_partitioned_catalog_merge_rewrites_only_touched_partitions(spark, tmp
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"
 
 
-def test_a_failed_partition_swap_puts_every_partition_back(spark, tmp_path, monkeypatch):
+def test_a_partitioned_merge_that_fails_leaves_every_partition(spark, tmp_path):
     place = day_place(tmp_path)
     schema = "day date, id bigint, v string"
     d1, d2 = (date(2026, 1, i) for i in (1, 2))
     write_table(frame(spark, [(d1, 1, "a"), (d2, 1, "c")], schema), "wh.t", **place)
-    real, moved = tableflow.sinks.staging.Files.rename, []
+    # A check of the target's own rows, so that the merge fails in the job that writes its partitions.
+    folder = tmp_path / "wh" / "t.parquet" / "day=2026-01-02"
+    for name in os.listdir(folder):
+        (folder / name).write_bytes(b"no longer a table")
+    before = {d: day_files(tmp_path, d) for d in ("2026-01-01", "2026-01-02")}
+    with pytest.raises(Exception, match="(?i)parquet|checksum"):
+        write_table(frame(spark, [(d1, 1, "A"), (d2, 1, "C")], schema), "wh.t", "merge", keys=["day", "id"], **place)
+    assert {d: day_files(tmp_path, d) for d in before} == before
+    assert sorted(os.listdir(tmp_path / "wh")) == ["t.parquet"] and staged(place) == []
 
-    def fail_later(self, source, target):
-        if "_new_" in source:
-            moved.append(source)
-            if len(moved) == 2:
-                raise OSError("store went away")
-        real(self, source, target)
 
-    monkeypatch.setattr(tableflow.sinks.staging.Files, "rename", fail_later)
-    with pytest.raises(OSError, match="went away"):
-        write_table(frame(spark, [(d1, 1, "A"), (d2, 1, "C")], schema), "wh.t", "merge", keys=["day", "id"], **place)
+def test_a_partitioned_merge_leaves_the_settings_of_the_session(spark, tmp_path, monkeypatch):
+    place = day_place(tmp_path)
+    schema = "day date, id bigint, v string"
+    d1, d2 = (date(2026, 1, i) for i in (1, 2))
+    write_table(frame(spark, [(d1, 1, "a"), (d2, 1, "c")], schema), "wh.t", **place)
+    asked = []
+    monkeypatch.setattr(type(spark.conf), "set", lambda self, key, value: asked.append(key))
+    monkeypatch.setattr(tableflow.sinks.staging.Files, "rename", None)
+    write_table(frame(spark, [(d1, 1, "A")], schema), "wh.t", "merge", keys=["day", "id"], **place)
     monkeypatch.undo()
-    assert sorted((r.day, r.v) for r in table(spark, place).collect()) == [(d1, "a"), (d2, "c")]
+    assert "spark.sql.sources.partitionOverwriteMode" not in asked
+    assert sorted((r.day, r.v) for r in table(spark, place).collect()) == [(d1, "A"), (d2, "c")]
 
 
 def test_a_merge_whose_keys_lack_the_partition_rewrites_all(spark, tmp_path):
@@ -547,35 +563,119 @@ def test_a_session_that_still_writes_is_not_swept(spark, tmp_path):
     assert content(spark, place) == [(1, "a"), (2, "b")]
 
 
-@pytest.mark.parametrize("moves", [1, 2, 3])
+@pytest.mark.parametrize("moves", [0, 1, 2])
 def test_a_commit_that_a_dead_driver_left_half_way_is_undone(spark, tmp_path, monkeypatch, moves):
-    place = day_place(tmp_path)
-    schema = "day date, id bigint, v string"
-    d1, d2 = (date(2026, 1, i) for i in (1, 2))
-    write_table(frame(spark, [(d1, 1, "a"), (d2, 1, "c")], schema), "wh.t", **place)
+    place = folder_place(tmp_path)
+    write_table(frame(spark, [(1, "a")]), "wh.t", **place)
     real, done = tableflow.sinks.staging.Files.rename, []
 
     class Dead(BaseException):
         pass
 
     def die_later(self, source, target):
-        done.append(source)
-        if len(done) > moves:
+        if len(done) == moves:
             raise Dead
+        done.append(source)
         real(self, source, target)
+        if len(done) == moves:
+            raise Dead
 
     monkeypatch.setattr(tableflow.sinks.staging.Files, "rename", die_later)
     monkeypatch.setattr(tableflow.sinks.staging, "undo_swap", lambda *a: None)
     monkeypatch.setattr(tableflow.sinks.targets, "drop_quietly", lambda *a: None)
+    monkeypatch.setattr(TableLock, "release", lambda self: self._heartbeat.stop())
     with pytest.raises(Dead):
-        write_table(frame(spark, [(d1, 1, "A"), (d2, 1, "C")], schema), "wh.t", "merge", keys=["day", "id"], **place)
+        write_table(frame(spark, [(2, "b")]), "wh.t", "replace", **place)
     monkeypatch.undo()
-    write_table(frame(spark, [(d1, 2, "b")], schema), "wh.t", "append", **place)
-    assert sorted((r.day, r.v) for r in table(spark, place).collect()) == [(d1, "a"), (d1, "b"), (d2, "c")]
+    # Nothing tells a dead owner from a live one until its lock has not been renewed for a while.
+    refused(Code.COMMIT_IN_PROGRESS, write_table, frame(spark, [(3, "c")]), "wh.t", **place)
+    expire_staging(spark, place["staging_dir"], timedelta(0), datasets=[str(tmp_path / "wh")])
+    outdate(tmp_path / "wh" / "_lock_t.parquet")
+    write_table(frame(spark, [(3, "c")]), "wh.t", **place)
+    assert content(spark, place) == [(1, "a"), (3, "c")]
     expire_staging(spark, place["staging_dir"], timedelta(0), datasets=[str(tmp_path / "wh")])
     assert os.listdir(tmp_path / "wh") == ["t.parquet"]
 
 
+def folder_place(tmp_path):
+    return {"datasets": {"wh": str(tmp_path / "wh")}, "staging_dir": str(tmp_path / "st")}
+
+
+def outdate(path):
+    os.utime(path, (0, 0))
+
+
+@pytest.mark.parametrize("mode", ["append", "replace", "merge"])
+def test_a_second_writer_is_refused_while_a_commit_moves_folders(spark, tmp_path, monkeypatch, mode):
+    place = folder_place(tmp_path)
+    write_table(frame(spark, [(1, "a")]), "wh.t", **place)
+    real, met = tableflow.sinks.staging.Files.rename, []
+
+    def second_writer(self, source, target):
+        real(self, source, target)
+        if not met:
+            met.append(source)
+            keys = ["id"] if mode == "merge" else ()
+            refused(Code.COMMIT_IN_PROGRESS, write_table, frame(spark, [(9, "z")]), "wh.t", mode, keys=keys, **place)
+
+    monkeypatch.setattr(tableflow.sinks.staging.Files, "rename", second_writer)
+    write_table(frame(spark, [(2, "b")]), "wh.t", "replace", **place)
+    assert met and content(spark, place) == [(2, "b")]
+    write_table(frame(spark, [(3, "c")]), "wh.t", **place)
+    assert content(spark, place) == [(2, "b"), (3, "c")]
+    assert os.listdir(tmp_path / "wh") == ["t.parquet"] and staged(place) == []
+
+
+def test_a_writer_that_lost_its_lock_stops(spark, tmp_path, monkeypatch):
+    place = folder_place(tmp_path)
+    write_table(frame(spark, [(1, "a")]), "wh.t", **place)
+    real = tableflow.sinks.targets.swap_folders
+
+    def taken_over(*args):
+        Files(spark, str(tmp_path)).write_text(str(tmp_path / "wh" / "_lock_t.parquet"), "somebody else")
+        real(*args)
+
+    monkeypatch.setattr(tableflow.sinks.targets, "swap_folders", taken_over)
+    refused(Code.COMMIT_LOST, write_table, frame(spark, [(2, "b")]), "wh.t", "replace", **place)
+    monkeypatch.undo()
+    assert content(spark, place) == [(1, "a")]
+
+
+def test_a_long_commit_renews_its_lock(spark, tmp_path, monkeypatch):
+    place = folder_place(tmp_path)
+    write_table(frame(spark, [(1, "a")]), "wh.t", **place)
+    monkeypatch.setattr(tableflow.leases, "RENEWAL", timedelta(seconds=0.25))
+    real = tableflow.sinks.targets.swap_folders
+
+    def slow(*args):
+        time.sleep(2)
+        refused(Code.COMMIT_IN_PROGRESS, write_table, frame(spark, [(9, "z")]), "wh.t", **place)
+        real(*args)
+
+    monkeypatch.setattr(tableflow.sinks.targets, "swap_folders", slow)
+    write_table(frame(spark, [(2, "b")]), "wh.t", "replace", **place)
+    assert content(spark, place) == [(2, "b")]
+
+
+def test_an_idle_session_is_not_swept_and_an_abandoned_one_is(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tableflow.leases, "RENEWAL", timedelta(seconds=0.25))
+    place = folder_place(tmp_path)
+    session = WriteSession(spark, "wh.t", "append", **place)
+    session.write(frame(spark, [(1, "a")]))
+    reads = ReadSession(spark, place["staging_dir"])
+    rows = reads.read_query("select 5 as x")
+    for folder, _, names in os.walk(tmp_path / "st"):
+        for name in [".", *names]:
+            outdate(os.path.join(folder, name))
+    time.sleep(1.5)
+    assert expire_staging(spark, place["staging_dir"], timedelta(0)) == []
+    assert rows.first().x == 5 and len(staged(place)) == 2
+    del session, reads
+    gc.collect()
+    time.sleep(1.5)
+    assert len(expire_staging(spark, place["staging_dir"], timedelta(0))) == 2
+
+
 def test_an_empty_partitioned_merge_changes_nothing(spark, tmp_path):
     place = day_place(tmp_path)
     write_table(frame(spark, [(date(2026, 1, 1), 1)], "day date, id bigint"), "wh.t", **place)
