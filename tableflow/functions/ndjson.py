@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,21 +39,52 @@ def to_ndjson(df: DataFrame, key: Sequence[str] = ()) -> DataFrame:
     return df.select(ndjson_column(df.schema, key).alias("value"))
 
 
-def null_element_report(df: DataFrame) -> DataFrame:
+def null_element_report(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """``(path, bad_rows)`` for every array at any depth: rows with a NULL element there.
 
-    One pass with partial aggregation, however many arrays there are.
+    One pass with partial aggregation, however many arrays there are. With ``order_by``, columns that order the rows
+    totally, also ``first_bad_row``: the number, from 1, of the first such row in that order, NULL where there is none.
+    Then rows are sorted in ranges by the key and the marks alone, and numbered by the counts of the ranges before.
     """
+    require_columns(order_by, df.columns, "key column")
     checks = [(path, bad(col(f.name))) for f in df.schema.fields for path, bad in _null_checks(f.dataType, f.name)]
+    fields = ["bad_rows", "first_bad_row"] if order_by else ["bad_rows"]
     if not checks:
-        return df.sparkSession.createDataFrame([], "path string, bad_rows long")
-    counts = df.agg(*[F.count_if(F.coalesce(bad, F.lit(False))).alias(f"_c{i}") for i, (_, bad) in enumerate(checks)])
+        return df.sparkSession.createDataFrame([], "path string, " + ", ".join(f"{f} long" for f in fields))
+    marks = [F.coalesce(bad, F.lit(False)) for _, bad in checks]
+    if order_by:
+        counts = _numbered(df, marks, order_by)
+    else:
+        counts = df.agg(*[F.count_if(mark).alias(f"bad_rows{i}") for i, mark in enumerate(marks)])
     rows = F.array(
-        *[F.struct(F.lit(path).alias("path"), F.col(f"_c{i}").alias("bad_rows")) for i, (path, _) in enumerate(checks)]
+        *[
+            F.struct(F.lit(path).alias("path"), *[F.col(f"{f}{i}").alias(f) for f in fields])
+            for i, (path, _) in enumerate(checks)
+        ]
     )
     return counts.select(F.inline(rows))
 
 
+def _numbered(df: DataFrame, marks: Sequence[Column], order_by: Sequence[str]) -> DataFrame:
+    """``bad_rows<i>`` and ``first_bad_row<i>`` of each mark, with one row for each range before they are added up."""
+    keys = [f"_k{i}" for i in range(len(order_by))]
+    narrow = df.select(*[col(c).alias(k) for c, k in zip(order_by, keys)], *[m.alias(f"_m{i}") for i, m in enumerate(marks)])
+    ordered = narrow.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # The id of a row: its range in the upper bits, its place in the range in the lower 33.
+    placed = ordered.withColumn("_id", F.monotonically_increasing_id())
+    place = F.col("_id").bitwiseAND((1 << 33) - 1)
+    ranges = placed.groupBy(F.shiftright("_id", 33).alias("_range")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(f"_m{i}").alias(f"_c{i}") for i in range(len(marks))],
+        *[F.min(F.when(F.col(f"_m{i}"), place)).alias(f"_f{i}") for i in range(len(marks))],
+    )
+    before = F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")
+    return ranges.withColumn("_before", before).agg(
+        *[F.coalesce(F.sum(f"_c{i}"), F.lit(0)).alias(f"bad_rows{i}") for i in range(len(marks))],
+        *[F.min(F.col("_before") + F.col(f"_f{i}") + 1).alias(f"first_bad_row{i}") for i in range(len(marks))],
+    )
+
+
 _Check = Callable[[Column], Column]
 
 

@@ -42,13 +42,62 @@ _SHAPES = [
 def redacted(text: Column, secrets: Iterable[str] = ()) -> Column:
     """``text`` with literal secrets masked, longest first, then the credential shapes."""
     literals = dict.fromkeys(s for s in secrets if len(s) >= MIN_SECRET_LENGTH)
-    for secret in sorted(literals, key=len, reverse=True):
-        text = F.replace(text, F.lit(secret), F.lit(MASK))
+    if literals:
+        text = _masked(text, sorted(literals, key=len, reverse=True))
     for pattern, replacement in _SHAPES:
         text = F.regexp_replace(text, pattern, replacement)
     return text
 
 
+def _masked(text: Column, secrets: Sequence[str]) -> Column:
+    """What masking secret by secret in the order given gives, with a plan that does not grow with their number.
+
+    Scanning once for the longest secret at each place gives the same, as long as no secret starts inside another and
+    none holds characters of the mask. Only texts where that is so in fact are masked secret by secret.
+    """
+    pattern = _pattern(_trie(secrets))
+    one_by_one = F.aggregate(F.array(*[F.lit(s) for s in secrets]), text, lambda t, s: F.replace(t, s, F.lit(MASK)))
+    if any(MASK[0] in secret for secret in secrets):
+        masked = one_by_one
+    else:
+        apart = F.regexp_count(text, F.lit(f"(?={pattern})")) == F.regexp_count(text, F.lit(pattern))
+        masked = F.when(apart, F.regexp_replace(text, pattern, MASK)).otherwise(one_by_one)
+    return F.when(text.rlike(pattern), masked).otherwise(text)
+
+
+# A trie of secrets is a dict from a character to the trie behind it; this key marks the end of a secret.
+_END = ""
+
+
+def _trie(secrets: Iterable[str]) -> dict:
+    trie: dict = {}
+    for secret in secrets:
+        node = trie
+        for character in secret:
+            node = node.setdefault(character, {})
+        node[_END] = {}
+    return trie
+
+
+def _pattern(trie: dict) -> str:
+    """The trie as a regular expression that matches its longest secret at a place."""
+    out = []
+    while True:
+        branches = [(character, node) for character, node in trie.items() if character != _END]
+        if len(branches) != 1 or _END in trie:
+            break
+        out.append(_literal(branches[0][0]))
+        trie = branches[0][1]
+    if branches:
+        inner = "|".join(_literal(character) + _pattern(node) for character, node in branches)
+        out.append(f"(?:{inner}){'?' if _END in trie else ''}")
+    return "".join(out)
+
+
+def _literal(character: str) -> str:
+    return character if character.isascii() and character.isalnum() else f"\\x{{{ord(character):x}}}"
+
+
 def redact_text(df: DataFrame, columns: Sequence[str], secrets: Iterable[str] = ()) -> DataFrame:
     """``df`` with the named text columns masked. NULL stays NULL."""
     require_columns(columns, df.columns, "text column")

@@ -125,6 +125,14 @@ def null_elements(spark, sf_dir):
     return null_element_report(read_query(spark, HOLED))
 
 
+def null_element_first_rows(spark, sf_dir):
+    """The first line item with a NULL element, in order of the key; the other columns settle equal keys."""
+    views(spark, sf_dir, "lineitem")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+    rows = read_query(spark, HOLED.replace("select ", f"select {', '.join(order)}, ", 1))
+    return null_element_report(rows, order_by=order)
+
+
 QUERIES = {
     "ndjson_encode": ndjson_encode,
     "ndjson_nested": ndjson_nested,
@@ -133,6 +141,7 @@ QUERIES = {
     "ndjson_values_roundtrip": ndjson_values_roundtrip,
     "ndjson_load": ndjson_load,
     "null_element_report": null_elements,
+    "null_element_first_rows": null_element_first_rows,
 }
 
 ORACLES = {
@@ -163,3 +172,11 @@ ORACLES = {
         union all select 'whole', 0 from lineitem""",
 }
 ORACLES["null_element_report"] = f"select path, max(bad_rows) as bad_rows from ({ORACLES['null_element_report']}) group by path"
+ORACLES["null_element_first_rows"] = """
+    with numbered as (
+        select *, row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) as n
+        from lineitem)
+    select path, coalesce(sum(bad::int), 0)::bigint as bad_rows, min(case when bad then n end) as first_bad_row
+    from (select unnest(['flags', 'rec.parts', 'items', 'items.xs', 'whole']) as path,
+                 unnest([l_linestatus = 'O', l_suppkey = 3, false, l_discount = 0, false]) as bad, n from numbered)
+    group by path"""

@@ -10,6 +10,8 @@ from tableflow.functions.ndjson import JSON_OPTIONS
 from tableflow.schema.landing import conform
 from tableflow.schema.mapping import element_type, schema_map
 
+_ROW = "_row"
+
 
 def read_ndjson(
     spark: SparkSession, path: str, schema: T.StructType, *, ignore_unknown: bool = False, check_unread: bool = False
@@ -18,39 +20,103 @@ def read_ndjson(
 
     Spark's default would turn a bad cell into NULL, and drop a member the schema does not
     name; here both are refused, at any depth. ``ignore_unknown`` drops such members after
-    all. A query that uses some columns parses and checks only those; with ``check_unread``
-    every cell of every row is checked whatever is used, at the price of parsing twice.
+    all. A row is parsed once, by the reader, into a variant; members are looked for and
+    cells are cast from that. A query that uses some columns casts and checks only those;
+    with ``check_unread`` every cell of every row is checked whatever is used.
     """
     schema_map(schema)
     wire = _wire_type(schema)
     options = {"mode": "FAILFAST", **JSON_OPTIONS}
     if ignore_unknown and not check_unread:
         return conform(spark.read.schema(wire).options(**options).json(path), schema)
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    rows = spark.read.options(**options).option("singleVariantColumn", _ROW).json(path)
+    row = F.col(_ROW)
+    checked = F.when(F.try_variant_get(row, "$", "map<string,variant>").isNull(), _refusal("a row that is no object", row))
     if not ignore_unknown:
-        refused = F.raise_error(F.concat(F.lit("a member the table has no column for: "), F.substring("value", 1, 500)))
-        lines = lines.where(F.when(_has_unknown(F.col("value"), wire), refused).otherwise(F.lit(True)))
-    row = F.from_json("value", wire, options)
+        checked = checked.when(_has_unknown(row, wire), _refusal("a member the table has no column for", row))
+    rows = rows.where(checked.otherwise(F.lit(True)))
+    cells = [_cell(_member(row, f.name), f.dataType, f.name).alias(f.name) for f in wire.fields]
     if check_unread:
-        lines = lines.where(row.isNotNull())
-    rows = lines.select(row.alias("_row")).select(*[F.col("_row").getField(f.name).alias(f.name) for f in wire.fields])
-    return conform(rows, schema)
+        # A condition that always holds and that no optimiser sees through.
+        rows = rows.where(F.hash(*cells).bitwiseAND(1) < 2)
+    return conform(rows.select(*cells), schema)
+
+
+def _refusal(what: str, value: Column) -> Column:
+    text = F.substring(F.coalesce(value.cast("string"), F.lit("null")), 1, 500)
+    return F.raise_error(F.concat(F.lit(f"{what} [MALFORMED_RECORD_IN_PARSING]: "), text))
+
 
+def _member(value: Column, name: str) -> Column:
+    quoted = f"['{name}']" if "'" not in name else f'["{name}"]'
+    return F.try_variant_get(value, f"${quoted}", "variant")
 
-def _has_unknown(text: Column, data_type: T.DataType) -> Column:
-    """Whether JSON text holds a member that ``data_type`` does not name, at any depth."""
+
+def _has_unknown(value: Column, data_type: T.DataType) -> Column:
+    """Whether a variant holds a member that ``data_type`` does not name, at any depth.
+
+    NULL, and a value of another shape than its column's, count as known: the cast refuses the latter.
+    """
     if isinstance(data_type, T.StructType):
         names = F.array(*[F.lit(f.name) for f in data_type.fields])
-        found = F.size(F.array_except(F.json_object_keys(text), names)) > 0
-        members = F.from_json(text, "map<string,string>")
+        members = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+        found = F.coalesce(F.size(F.array_except(members, names)) > 0, F.lit(False))
         for field in data_type.fields:
-            if isinstance(field.dataType, (T.StructType, T.ArrayType)):
-                found = F.coalesce(found, F.lit(False)) | _has_unknown(members[field.name], field.dataType)
-        return F.coalesce(found, F.lit(False))
-    if isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, (T.StructType, T.ArrayType)):
-        elements = F.from_json(text, "array<string>")
-        return F.coalesce(F.exists(elements, lambda x: _has_unknown(x, data_type.elementType)), F.lit(False))
-    return F.lit(False)
+            if _holds_objects(field.dataType):
+                found = found | _has_unknown(_member(value, field.name), field.dataType)
+        return found
+    if not _holds_objects(data_type):
+        return F.lit(False)
+    elements = F.try_variant_get(value, "$", "array<variant>")
+    return F.coalesce(F.exists(elements, lambda x: _has_unknown(x, data_type.elementType)), F.lit(False))
+
+
+def _holds_objects(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.ArrayType):
+        return _holds_objects(data_type.elementType)
+    return isinstance(data_type, T.StructType)
+
+
+def _cell(value: Column, data_type: T.DataType, path: str) -> Column:
+    """A variant as a column's type; NULL for a missing or null one, a refusal for one that does not fit."""
+    if isinstance(data_type, T.StructType):
+        fits = F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+        cell = F.struct(*[_cell(_member(value, f.name), f.dataType, f"{path}.{f.name}").alias(f.name) for f in data_type.fields])
+    elif isinstance(data_type, T.ArrayType):
+        elements = F.try_variant_get(value, "$", "array<variant>")
+        fits = elements.isNotNull()
+        cell = F.transform(elements, lambda x: _cell(x, data_type.elementType, path))
+    else:
+        cell = _scalar(value, data_type)
+        fits = cell.isNotNull()
+    # A member that is missing is NULL, one that is null a variant that says so.
+    there = value.isNotNull() & ~F.is_variant_null(value)
+    return F.when(there, F.when(fits, cell).otherwise(_refusal(f"a value that does not fit {path}", value)))
+
+
+# The spellings of instants that ``JSON_OPTIONS`` names, with as many digits of the second as there are.
+_DATE_TIME = r"^\d{4,6}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{1,6})?"
+
+
+def _scalar(value: Column, data_type: T.DataType) -> Column:
+    """A variant as a type without parts, NULL where it does not fit."""
+    kind, text = F.schema_of_variant(value), F.try_variant_get(value, "$", "string")
+    cast = F.try_variant_get(value, "$", data_type.simpleString())
+    if isinstance(data_type, T.StringType):
+        return text
+    if isinstance(data_type, T.IntegralType):
+        return F.when(kind == "BIGINT", cast)
+    if isinstance(data_type, (T.DecimalType, T.FractionalType)):
+        return F.when(kind != "BOOLEAN", cast)
+    if isinstance(data_type, T.BooleanType):
+        return F.when(kind == "BOOLEAN", cast)
+    if isinstance(data_type, T.BinaryType):
+        return F.when(kind == "STRING", F.try_to_binary(text, F.lit("base64")))
+    if isinstance(data_type, T.TimestampType):
+        return F.when(text.rlike(_DATE_TIME + "Z$"), text.try_cast("timestamp"))
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.when(text.rlike(_DATE_TIME + "$"), text.try_cast("timestamp_ntz"))
+    return F.when(text.rlike(r"^\d{4,6}-\d\d-\d\d$"), text.try_cast(data_type))
 
 
 def _wire_type(data_type: T.DataType) -> T.DataType:

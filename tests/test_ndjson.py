@@ -1,5 +1,6 @@
 import json
 import os
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -104,6 +105,20 @@ def test_null_elements_are_refused_and_reported(spark, schema, good, bad, path):
     assert len(lines(df.where("id <> 12"))) == 2
 
 
+def test_the_first_bad_row_in_order_of_a_key(spark):
+    random.seed(11)
+    rows = [(k, [None] if random.random() < 0.02 else [k], ([None, 1],) if k == 4321 else None) for k in range(5000)]
+    random.shuffle(rows)
+    df = spark.createDataFrame(rows, "k int, a array<int>, r struct<b:array<int>>").repartition(7)
+    first = min(k for k, a, _ in rows if a == [None])
+    bad = sum(a == [None] for _, a, _ in rows)
+    got = {tuple(r) for r in null_element_report(df, order_by=["k"]).collect()}
+    assert got == {("a", bad, first + 1), ("r.b", 1, 4322)}
+    none = {tuple(r) for r in null_element_report(df.where("k < 0"), order_by=["k"]).collect()}
+    assert none == {("a", 0, None), ("r.b", 0, None)}
+    assert null_element_report(df.select("k"), order_by=["k"]).columns == ["path", "bad_rows", "first_bad_row"]
+
+
 def test_report_lists_every_array(spark):
     df = spark.sql("select 1 id, array(1) a, named_struct('b', array(named_struct('c', array(1)))) r, map('k', array(1)) m")
     assert sorted(r.path for r in null_element_report(df).collect()) == ["a", "m.value", "r.b", "r.b.c"]
