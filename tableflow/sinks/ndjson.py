@@ -16,6 +16,9 @@ from tableflow.sources.tables import open_table
 # Fixed value: how large a file gets before the next one begins.
 FILE_BYTES = 64 * 1024 * 1024
 
+#: One row in so many is encoded to measure the mean size.
+MEASURED = 100
+
 
 def write_ndjson(
     df: DataFrame,
@@ -27,13 +30,14 @@ def write_ndjson(
 ) -> None:
     """One file or more per partition, into a folder that must not exist yet.
 
-    A partition's file rolls at about ``max_bytes_per_file``: Spark rolls by rows, so the rows are
-    encoded once to measure their mean size. ``max_records_per_file`` gives the number of rows instead,
-    without measuring.
+    A partition's file rolls at about ``max_bytes_per_file``: Spark rolls by rows, so their mean size is
+    measured first, over about one row in ``MEASURED``, or all where that finds none. ``max_records_per_file``
+    gives the number of rows instead, without measuring.
     """
     encoded = to_ndjson(df, key)
     if max_records_per_file is None:
-        mean = encoded.agg(F.avg(F.octet_length("value") + 1)).first()[0]
+        size = F.avg(F.octet_length("value") + 1)
+        mean = to_ndjson(df.sample(1 / MEASURED, 0), key).agg(size).first()[0] or encoded.agg(size).first()[0]
         max_records_per_file = max(1, int(max_bytes_per_file / mean)) if mean else 0
     encoded.write.option("maxRecordsPerFile", max_records_per_file).text(path)
 

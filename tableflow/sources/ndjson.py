@@ -21,8 +21,8 @@ def read_ndjson(
     Spark's default would turn a bad cell into NULL, and drop a member the schema does not
     name; here both are refused, at any depth. ``ignore_unknown`` drops such members after
     all. A row is parsed once, by the reader, into a variant; members are looked for and
-    cells are cast from that. A query that uses some columns casts and checks only those;
-    with ``check_unread`` every cell of every row is checked whatever is used.
+    cells are cast from that. A query that uses some columns checks the values of only
+    those; with ``check_unread`` every cell of every row is checked whatever is used.
     """
     schema_map(schema)
     wire = _wire_type(schema)
@@ -35,13 +35,24 @@ def read_ndjson(
     if not ignore_unknown:
         checked = checked.when(_has_unknown(row, wire), _refusal("a member the table has no column for", row))
     rows = rows.where(checked.otherwise(F.lit(True)))
-    cells = [_cell(_member(row, f.name), f.dataType, f.name).alias(f.name) for f in wire.fields]
+    # Cast at once to the shape of the row, with text for every value.
+    rows = rows.select(F.variant_get(row, "$", _text_type(wire)).alias(_ROW))
+    cells = [_cell(row.getField(f.name), f.dataType, f.name).alias(f.name) for f in wire.fields]
     if check_unread:
         # A condition that always holds and that no optimiser sees through.
         rows = rows.where(F.hash(*cells).bitwiseAND(1) < 2)
     return conform(rows.select(*cells), schema)
 
 
+def _text_type(data_type: T.DataType) -> str:
+    if isinstance(data_type, T.StructType):
+        fields = ["`" + f.name.replace("`", "``") + "`:" + _text_type(f.dataType) for f in data_type.fields]
+        return f"struct<{','.join(fields)}>"
+    if isinstance(data_type, T.ArrayType):
+        return f"array<{_text_type(data_type.elementType)}>"
+    return "string"
+
+
 def _refusal(what: str, value: Column) -> Column:
     text = F.substring(F.coalesce(value.cast("string"), F.lit("null")), 1, 500)
     return F.raise_error(F.concat(F.lit(f"{what} [MALFORMED_RECORD_IN_PARSING]: "), text))
@@ -78,45 +89,36 @@ def _holds_objects(data_type: T.DataType) -> bool:
 
 
 def _cell(value: Column, data_type: T.DataType, path: str) -> Column:
-    """A variant as a column's type; NULL for a missing or null one, a refusal for one that does not fit."""
+    """A value given as text, or as a struct or array of texts, as a column's type; a refusal if it does not fit."""
+    if isinstance(data_type, T.StringType):
+        return value
     if isinstance(data_type, T.StructType):
-        fits = F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
-        cell = F.struct(*[_cell(_member(value, f.name), f.dataType, f"{path}.{f.name}").alias(f.name) for f in data_type.fields])
-    elif isinstance(data_type, T.ArrayType):
-        elements = F.try_variant_get(value, "$", "array<variant>")
-        fits = elements.isNotNull()
-        cell = F.transform(elements, lambda x: _cell(x, data_type.elementType, path))
-    else:
-        cell = _scalar(value, data_type)
-        fits = cell.isNotNull()
-    # A member that is missing is NULL, one that is null a variant that says so.
-    there = value.isNotNull() & ~F.is_variant_null(value)
-    return F.when(there, F.when(fits, cell).otherwise(_refusal(f"a value that does not fit {path}", value)))
+        fields = [_cell(value.getField(f.name), f.dataType, f"{path}.{f.name}").alias(f.name) for f in data_type.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(data_type, T.ArrayType):
+        return F.transform(value, lambda x: _cell(x, data_type.elementType, path))
+    refused = _refusal(f"a value that does not fit {path}", value)
+    return F.when(value.isNotNull(), F.coalesce(_scalar(value, data_type), refused))
 
 
 # The spellings of instants that ``JSON_OPTIONS`` names, with as many digits of the second as there are.
-_DATE_TIME = r"^\d{4,6}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{1,6})?"
+_DATE = r"^\d{4,6}-\d\d-\d\d"
+_DATE_TIME = _DATE + r"T\d\d:\d\d:\d\d(\.\d{1,6})?"
 
 
-def _scalar(value: Column, data_type: T.DataType) -> Column:
-    """A variant as a type without parts, NULL where it does not fit."""
-    kind, text = F.schema_of_variant(value), F.try_variant_get(value, "$", "string")
-    cast = F.try_variant_get(value, "$", data_type.simpleString())
-    if isinstance(data_type, T.StringType):
-        return text
-    if isinstance(data_type, T.IntegralType):
-        return F.when(kind == "BIGINT", cast)
-    if isinstance(data_type, (T.DecimalType, T.FractionalType)):
-        return F.when(kind != "BOOLEAN", cast)
+def _scalar(text: Column, data_type: T.DataType) -> Column:
+    """Text as a type without parts, NULL where it does not fit."""
     if isinstance(data_type, T.BooleanType):
-        return F.when(kind == "BOOLEAN", cast)
+        return F.when(text.isin("true", "false"), text == "true")
     if isinstance(data_type, T.BinaryType):
-        return F.when(kind == "STRING", F.try_to_binary(text, F.lit("base64")))
+        return F.try_to_binary(text, F.lit("base64"))
     if isinstance(data_type, T.TimestampType):
-        return F.when(text.rlike(_DATE_TIME + "Z$"), text.try_cast("timestamp"))
+        return F.when(text.rlike(_DATE_TIME + "Z$"), text.try_cast(data_type))
     if isinstance(data_type, T.TimestampNTZType):
-        return F.when(text.rlike(_DATE_TIME + "$"), text.try_cast("timestamp_ntz"))
-    return F.when(text.rlike(r"^\d{4,6}-\d\d-\d\d$"), text.try_cast(data_type))
+        return F.when(text.rlike(_DATE_TIME + "$"), text.try_cast(data_type))
+    if isinstance(data_type, T.DateType):
+        return F.when(text.rlike(_DATE + "$"), text.try_cast(data_type))
+    return text.try_cast(data_type)
 
 
 def _wire_type(data_type: T.DataType) -> T.DataType:
