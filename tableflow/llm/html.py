@@ -36,6 +36,8 @@ _BOILERPLATE = set(
 _ARTICLE_BUT = set("comment comments reply replies related recommended teaser ad ads advert promo sponsored".split())
 # Of these, words that also name sections of an article: in one, they count only where the text is sparse too.
 _SECTIONS = set("related discussion commentary search notice notices toc".split())
+# Next to one of the latter, words for the people who write there: then it is no section of the article.
+_PEOPLE = set("user users reader readers visitor visitors member members guest guests forum thread threads post posts".split())
 _HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -67,7 +69,7 @@ def _is_boilerplate(tag: str, attrs: list[tuple[str, str | None]], in_article: b
         # The head of an article is its title, not the page's header.
         names -= {"header"}
     found = names & _BOILERPLATE
-    if given.get("role", "") in _ROLES or (found and not (in_article and found <= _SECTIONS)):
+    if given.get("role", "") in _ROLES or (found and not (in_article and found <= _SECTIONS and not names & _PEOPLE)):
         return True
     return None if found else False
 
@@ -146,6 +148,39 @@ class _Lines(HTMLParser):
     def handle_data(self, data):
         self.text.append(data)
 
+    # What is opened and never closed reaches to the end of the page, as in a browser, and is read once. The library
+    # would take it for text, look for its end at each place it might begin, and stop at declarations it does not know.
+    def _rest(self, i: int, close: str, after: int) -> int:
+        at = self.rawdata.find(close, i + after)
+        return len(self.rawdata) if at < 0 else at + len(close)
+
+    def parse_comment(self, i, report=1):
+        # ``<!-->`` and ``<!--->`` are whole comments.
+        for short in ("<!-->", "<!--->"):
+            if self.rawdata.startswith(short, i):
+                return i + len(short)
+        return self._rest(i, "-->", 4)
+
+    def parse_html_declaration(self, i):
+        if self.rawdata.startswith("<!--", i):
+            return self.parse_comment(i)
+        if self.rawdata.startswith("<![CDATA[", i):
+            return self._rest(i, "]]>", 9)
+        return self._rest(i, ">", 2)
+
+    def parse_pi(self, i):
+        return self._rest(i, ">", 2)
+
+    def parse_endtag(self, i):
+        if self.rawdata.find(">", i + 2) < 0:
+            return len(self.rawdata)
+        return super().parse_endtag(i)
+
+    def parse_starttag(self, i):
+        if self.rawdata.find(">", i + 1) < 0 or self.check_for_whole_start_tag(i) < 0:
+            return len(self.rawdata)
+        return super().parse_starttag(i)
+
 
 #: Gaussian weights over neighbouring lines.
 _KERNEL = np.exp(-0.5 * np.arange(-2, 3) ** 2)
@@ -159,7 +194,8 @@ def _content_lines(parser: _Lines) -> list[str]:
     ratio = np.array([len(text) / max(1, tags) for _, _, text, tags, _ in lines])
     smooth = np.convolve(np.pad(ratio, 2, mode="edge"), _KERNEL, mode="valid")
     # Two clusters, parted at the deviation of the smoothed ratios; a page without any contrast is one cluster.
-    high = smooth >= min(smooth.std(), smooth.max())
+    least = min(smooth.std(), smooth.max())
+    high = smooth >= least
 
     # Characters of the lines in the high cluster under each container; children come after their parents.
     weight, whole = np.zeros(len(parser.parent)), np.zeros(len(parser.parent))
@@ -202,8 +238,8 @@ def _content_lines(parser: _Lines) -> list[str]:
         sparse[i] |= i > 0 and sparse[parent]
     return [
         text
-        for container, _, text, _, heading in lines
-        if not sparse[container] and (inside[container] or container == direct or (heading and in_main[container]))
+        for (container, _, text, _, heading), dense in zip(lines, high & (ratio >= least))
+        if not sparse[container] and (inside[container] or container == direct or ((heading or dense) and in_main[container]))
     ]
 
 
@@ -233,9 +269,10 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     Navigation, forms, scripts and parts named as boilerplate go with their whole subtree. The remaining lines get the
     ratio of their characters to their tags; ratios are smoothed over neighbours and parted in two clusters; the
     containers that hold the high cluster are the content regions, and every line in them is kept, short ones too. Where
-    articles are the regions, the headings of ``main`` around them are kept as well. Words that also name sections of an
-    article (``related``, ``discussion``) are boilerplate there only where most of the text is in the low cluster, and
-    ids of its headings never are.
+    articles are the regions, the headings and the lines of the high cluster of ``main`` around them are kept as well.
+    Words that also name sections of an article (``related``, ``discussion``) are boilerplate there only where most of the
+    text is in the low cluster or people are named with them (``user-discussion``), and ids of its headings never are.
+    What is opened and not closed (a comment, a tag) reaches to the end of the page, and any markup is read in linear time.
     A null or empty page has an empty text. Repeated rows give repeated results; other columns are ignored.
     """
     return pages.select("page_id", "url", "html").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -1,7 +1,10 @@
 import html
 import re
+import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tableflow.llm.common import table
 from tableflow.llm.html import extract_pages, main_text, op2_html_extract
@@ -83,6 +86,44 @@ def test_short_parts_between_long_ones_are_kept():
     assert main_text(apart) == "\n".join([LONG.strip(), "T", *items, "w", LONG.strip()])
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<p>{LONG}</p><![foo[bar]]><p>next", f"{LONG.strip()}\nnext"),
+        (f"<p>{LONG}</p><![if !IE]><p>next<![endif]>", f"{LONG.strip()}\nnext"),
+        (f"<p>{LONG}</p><!-- never closed <p>no", LONG.strip()),
+        (f"<p>{LONG}</p><!--><p>next<!-- a -- b --->", f"{LONG.strip()}\nnext"),
+        (f"<p>{LONG}</p><p class='never closed <p>no", LONG.strip()),
+        (f"<p>{LONG}</p><?php echo '<p>no' ?><![CDATA[ <p>no ]]>", f"{LONG.strip()}\nno' ?>"),
+        (f"<article><p>{LONG}</p><div class='user-discussion'><p>{LONG}</p></div></article>", LONG.strip()),
+        (f"<main><p>{LONG}</p><article><p>{LONG * 2}</p></article></main>", f"{LONG.strip()}\n{(LONG * 2).strip()}"),
+    ],
+)
+def test_markup_that_is_not_closed_and_leads(page, text):
+    assert main_text(page) == text
+
+
+MARKUP = ["<", ">", "</", "<!--", "-->", "<!", "<![", "]]>", "<?", "&", "&#", ";", "'", '"', "=", "p", "div", "article", "script", " ", "\n", "a", "é", "\x00"]
+
+
+@given(st.lists(st.sampled_from(MARKUP), max_size=60).map("".join))
+@settings(max_examples=1500, deadline=None)
+def test_no_markup_stops_it(page):
+    assert isinstance(main_text(page), str)
+
+
+@pytest.mark.parametrize("part", ["<p a='", "<!-- ", "<![x ", "<? ", "</p ", "<a b=\"c' ", "<script>", "&#", "<p/", "<div x=y"])
+@pytest.mark.parametrize("end", ["", ">", "'>", "\">"])
+def test_time_is_linear(part, end):
+    def seconds(n):
+        begun = time.process_time()
+        main_text(part * n + end)
+        return time.process_time() - begun
+
+    seconds(100)
+    assert seconds(40_000) < 2.5
+
+
 def test_odd_pages(spark):
     long = "<article>" + f"<p>{LONG}</p>" * 5000 + "</article>"
     deep = "<div>" * 3000 + LONG + "</div>" * 3000
