@@ -26,6 +26,8 @@ _TURN = re.compile(
     re.DOTALL,
 )
 _CONTROL = re.compile(r"(<|\[)(\\*)(/?s>|/?INST\]|<(?:/?SYS|/?ROLE)>>)")
+_CONTROL_RAW = re.compile(r"</?s>|\[/?INST\]|<</?(?:SYS|ROLE)>>")
+_ROLES = ("system", "user", "assistant")
 _ESCAPED = re.compile(r"(<|\[)\\(\\*)(/?s>|/?INST\]|<(?:/?SYS|/?ROLE)>>)")
 
 
@@ -50,25 +52,32 @@ def _render(role: str, text: str) -> tuple[str, str]:
 
 def parse(formatted: str) -> list[tuple[str, str]]:
     """The turns ``(role, text)`` of formatted text; ``ValueError`` if it is not a conversation of the grammar."""
+    turns, at = turns_of(formatted)
+    if at < len(formatted):
+        raise ValueError(f"no turn at character {at}")
+    return turns
+
+
+def turns_of(formatted: str) -> tuple[list[tuple[str, str]], int]:
+    """The whole turns that formatted text begins with, and where they end."""
     turns, at = [], 0
-    while at < len(formatted):
-        match = _TURN.match(formatted, at)
-        if match is None:
-            raise ValueError(f"no turn at character {at}")
+    while match := _TURN.match(formatted, at):
         kind = match.lastgroup
         role = unescape(match["role"]) if kind == "other" else kind
         turns.append((role, unescape(match[kind])))
         at = match.end()
-    return turns
+    return turns, at
 
 
 def render(role: str, text: str) -> tuple[str, int, int]:
     """A turn as formatted text, and where its body begins and ends.
 
-    The plain rendering is parsed; if other turns come back than went in, what conflicts is escaped and it is parsed
-    again.
+    The plain rendering is parsed; if other turns come back than went in, or the text holds a control string, what
+    conflicts is escaped and it is parsed again. So no control string of an output comes from a text.
     """
     for name, body in ((role, text), (role, escape(text)), (escape(role), escape(text))):
+        if _CONTROL_RAW.search(body) or (role not in _ROLES and _CONTROL_RAW.search(name)):
+            continue
         before, after = _render(name, body)
         formatted = before + body + after
         try:
@@ -121,10 +130,15 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     class Reader:
         def __init__(self, conv_id):
             self.conv_id, self.n, self.chars, self.loss_chars = conv_id, 0, 0, 0
+            # What has come of the joined conversation and is no whole turn yet.
+            self.held = ""
             self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
 
         def read(self, formatted, is_loss, first, last):
-            for role, text in parse(formatted):
+            self.held += formatted
+            turns, at = turns_of(self.held)
+            self.held = self.held[at:]
+            for role, text in turns:
                 self.n += 1
                 self.turns.update(f"{role}\n{text}\n".encode())
             if is_loss:
@@ -134,6 +148,8 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             self.chars += len(formatted)
 
         def row(self):
+            if self.held:
+                raise ValueError(f"conversation {self.conv_id} does not end with a turn")
             return self.conv_id, self.n, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
 
     def out(rows):
@@ -157,7 +173,10 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_chat(formatted: DataFrame) -> DataFrame:
-    """Per conversation of ``format_chat``'s rows, as they come: digests of the turns and of the text under the mask."""
+    """Per conversation of ``format_chat``'s rows, as they come: digests of the turns and of the text under the mask.
+
+    The joined conversation is parsed as a stream, turn by turn, with no regard to the rows it comes in.
+    """
     return formatted.mapInArrow(_read_back, _DIGEST)
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -26,6 +27,21 @@ def test_escape_is_undone(text):
     assert unescape(escape(text)) == text
 
 
+@given(st.sampled_from(["system", "user", "assistant", "tool", "<s>"]), texts)
+@settings(max_examples=500, deadline=None)
+def test_a_text_gives_no_control_string(role, text):
+    formatted, first, last = render(role, text)
+    found = re.findall(r"</?s>|\[/?INST\]|<</?(?:SYS|ROLE)>>", formatted)
+    plain = render(role if role != "<s>" else "tool", "plain")[0]
+    assert found == re.findall(r"</?s>|\[/?INST\]|<</?(?:SYS|ROLE)>>", plain)
+
+
+def test_control_strings_that_break_nothing_are_escaped_too():
+    text = "x [INST] y [/INST] <s>z <<SYS>>sys<</SYS>>"
+    formatted, first, last = render("assistant", text)
+    assert "[INST]" not in formatted and unescape(formatted[first:last]) == text
+
+
 def test_plain_text_is_left_alone():
     assert render("user", "a < b [x]")[0] == "<s>[INST] a < b [x] [/INST]"
 
