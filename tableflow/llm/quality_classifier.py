@@ -72,28 +72,61 @@ class LatentSpace:
     projection: np.ndarray
     vectors: np.ndarray
     labels: np.ndarray
+    #: Votes and the scores they stand for, both ascending; between them, scores are on the line.
+    votes: np.ndarray
+    scores: np.ndarray
 
     def project(self, counts: np.ndarray) -> np.ndarray:
         """Unit vectors; a text without terms is the zero vector."""
         return _unit(_weighed(counts, self.weights) @ self.projection)
 
-    def score(self, counts: np.ndarray) -> np.ndarray:
+    def vote(self, vectors: np.ndarray, own: int | None = None) -> np.ndarray:
         """Votes of the nearest labelled vectors, weighted by similarity; exact products, a block at a time.
 
-        Where nothing is similar, an empty text above all, the score is the share of label 1 among the labelled.
+        With ``own``, the vectors are the labelled ones from there on, and none votes for itself. Where nothing is
+        similar, an empty text above all, nothing speaks for label 1 and the vote is 0.
         """
-        if not len(self.labels):
-            return np.full(len(counts), 0.5)
-        scores = np.full(len(counts), float(self.labels.mean()))
-        k = min(NEIGHBOURS, len(self.labels))
-        for a in range(0, len(counts), _BLOCK):
-            cosine = self.project(counts[a : a + _BLOCK]) @ self.vectors.T
+        votes = np.zeros(len(vectors))
+        k = min(NEIGHBOURS, len(self.labels) - (own is not None))
+        if k < 1:
+            return votes
+        for a in range(0, len(vectors), _BLOCK):
+            cosine = vectors[a : a + _BLOCK] @ self.vectors.T
+            if own is not None:
+                cosine[np.arange(len(cosine)), own + a + np.arange(len(cosine))] = -2
             near = np.argpartition(cosine, -k, axis=1)[:, -k:]
             weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(np.float64) ** 4
             total = weight.sum(axis=1)
             some = total > 1e-12
-            scores[a : a + _BLOCK][some] = (weight * self.labels[near]).sum(axis=1)[some] / total[some]
-        return np.clip(scores, 0.0, 1.0)
+            votes[a : a + _BLOCK][some] = (weight * self.labels[near]).sum(axis=1)[some] / total[some]
+        return np.clip(votes, 0.0, 1.0)
+
+    def score(self, counts: np.ndarray) -> np.ndarray:
+        """The votes on the scale of chances; a hundredth of the vote itself keeps the order of what is tied there."""
+        if not len(self.labels):
+            return np.full(len(counts), 0.5)
+        votes = self.vote(self.project(counts))
+        return 0.99 * np.interp(votes, self.votes, self.scores) + 0.01 * votes
+
+
+def calibration(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The monotone map from votes to the chance of label 1 that fits best, were both labels equally frequent.
+
+    Pool adjacent violators: neighbours in order of the vote whose chances fall are merged, and each pool's mean vote
+    stands for its chance. Most labels are 1, which would otherwise lift every score.
+    """
+    of = np.array([(labels != 1).sum(), (labels == 1).sum()], np.float64)
+    if not of.all():
+        return np.array([0.0, 1.0]), np.array([0.0, 1.0])
+    pools: list[list[float]] = []
+    for i in np.argsort(votes, kind="stable"):
+        weight = 0.5 / of[int(labels[i] == 1)]
+        pools.append([votes[i] * weight, labels[i] * weight, weight])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
+            last = pools.pop()
+            pools[-1] = [x + y for x, y in zip(pools[-1], last)]
+    vote, chance, weight = np.array(pools).T
+    return vote / weight, chance / weight
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -119,8 +152,11 @@ def fit_space(counts: np.ndarray, labels: np.ndarray) -> LatentSpace:
         _, _, right = np.linalg.svd(weighed @ basis, full_matrices=False)
         basis = basis @ right[:rank].T
     projection = basis[:, :rank].astype(np.float32)
-    space = LatentSpace(weights, projection, np.zeros((0, rank), np.float32), labels.astype(np.float64))
-    return LatentSpace(weights, projection, space.project(counts), space.labels)
+    labels = labels.astype(np.float64)
+    line = np.array([0.0, 1.0])
+    vectors = LatentSpace(weights, projection, np.zeros((0, rank), np.float32), labels, line, line).project(counts)
+    space = LatentSpace(weights, projection, vectors, labels, line, line)
+    return LatentSpace(weights, projection, vectors, labels, *calibration(space.vote(vectors, own=0), labels))
 
 
 def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,8 +209,9 @@ def score_documents(docs: DataFrame, space: LatentSpace) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row of ``docs``.
 
-    Only ``text`` enters a score. Null, empty and one-byte texts have no terms and get the share of label 1 among the
-    labelled; without any labels every score is 0.5. Repeated rows get equal scores; other columns are ignored.
+    Only ``text`` enters a score. Votes become scores by a monotone map fitted to the votes on each labelled document of
+    the sample by the others. Null, empty and one-byte texts have no terms, so nothing votes for them and they get the
+    lowest score; without any labels every score is 0.5. Repeated rows get equal scores; other columns are ignored.
     """
     scored = score_documents(docs.select("doc_id", "text"), train(docs, labels, sample))
     return scored.select(

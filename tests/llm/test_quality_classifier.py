@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tableflow.llm.common import table
-from tableflow.llm.quality_classifier import THRESHOLD, classify, fit_space, good_documents, op6_quality_classifier, term_counts
+from tableflow.llm.quality_classifier import THRESHOLD, calibration, classify, fit_space, good_documents, op6_quality_classifier, term_counts
 
 
 def test_held_out_accuracy(spark):
@@ -25,15 +25,39 @@ def test_votes_by_definition():
     texts = [" ".join(rng.choice(words[2 * (i % 2) : 2 * (i % 2) + 2], 30)) for i in range(200)] + ["", "x"]
     counts = term_counts(pa.array(texts))
     space = fit_space(counts[:100], np.arange(100) % 2 == 0)
-    got = space.score(counts)
+    got = space.vote(space.project(counts))
     for i, vector in enumerate(space.project(counts)):
         cosine = space.vectors @ vector
         near = np.argsort(-cosine, kind="stable")[:32]
         weight = np.maximum(cosine[near], 0) ** 4
-        want = (weight * space.labels[near]).sum() / weight.sum() if weight.sum() > 1e-12 else space.labels.mean()
+        want = (weight * space.labels[near]).sum() / weight.sum() if weight.sum() > 1e-12 else 0
         assert got[i] == pytest.approx(want, abs=0.08)
     assert (got[:200:2] > 0.9).all() and (got[1:200:2] < 0.1).all()
-    assert got[200] == pytest.approx(0.5)
+    assert got[200] == 0 and space.score(counts)[200] < THRESHOLD
+    # Without itself, what votes for a labelled document are its nearest others.
+    others = space.vote(space.vectors, own=0)
+    for i, vector in enumerate(space.vectors):
+        cosine = space.vectors @ vector
+        cosine[i] = -2
+        near = np.argsort(-cosine, kind="stable")[:32]
+        weight = np.maximum(cosine[near], 0) ** 4
+        assert others[i] == pytest.approx((weight * space.labels[near]).sum() / weight.sum(), abs=0.08)
+
+
+def test_scores_are_chances_and_keep_the_order_of_votes():
+    rng = np.random.default_rng(2)
+    votes = rng.random(3000)
+    labels = (rng.random(3000) < 0.6 + 0.4 * votes).astype(float)
+    at, chance = calibration(votes, labels)
+    assert (np.diff(at) > 0).all() and (np.diff(chance) > 0).all()
+    # Were both labels equally frequent, so many of the documents with such a vote would have label 1.
+    weight = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (labels == 0).sum())
+    got = np.interp(votes, at, chance)
+    for low in np.arange(0, 1, 0.2):
+        part = (got >= low) & (got < low + 0.2)
+        if part.sum() > 100:
+            assert np.average(got[part], weights=weight[part]) == pytest.approx(np.average(labels[part], weights=weight[part]), abs=0.05)
+    assert [x.tolist() for x in calibration(votes, np.ones(3000))] == [[0, 1], [0, 1]]
 
 
 def test_odd_documents(spark, odd_docs, no_docs):
