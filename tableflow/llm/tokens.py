@@ -1,7 +1,9 @@
 """Token ids of whole texts, from the tokenizers library, with a bounded memo of parts met before.
 
 Byte-pair tokenizers split a text into pre-tokens and encode each on its own. So a text may be cut where a cut can
-not change its pre-tokens, each different part be encoded once, and the ids be joined again.
+not change its pre-tokens, each different part be encoded once, and the ids be joined again. Parts not met before are
+encoded many in one text, with a token between them that no part gives. Strings of special tokens are what the
+tokenizer takes them for by itself; a text that may hold one is cut at white space alone.
 """
 
 from __future__ import annotations
@@ -17,11 +19,18 @@ import pyarrow.compute as pc
 from tableflow.llm.common import worker_memory
 
 #: Parts remembered by a worker process, about 250 bytes each.
-MEMO_ENTRIES = 200_000
-#: Rows encoded at a time; a part met twice among them is encoded once.
-ROWS = 1000
+MEMO_ENTRIES = 700_000
+#: Bytes of texts encoded at a time, about; a part met twice among them is encoded once.
+SLICE_BYTES = 24 << 20
 _CHUNK = 2_000
 
+#: What every string of a special token begins with.
+_SPECIAL = "<|"
+#: Letters and digits before a mark of punctuation: a pre-token ends between them.
+_BEFORE_MARK = r"([\p{L}\p{N}])([.,;:!?])"
+#: What stands between parts encoded in one text: a word, or a newline.
+_BETWEEN = {"words": " ~ ", "bytes": "\n"}
+
 #: White space other than single spaces and newlines inside the text, or the mark used below: such texts are
 #: encoded whole by the byte-level tokenizer.
 _IRREGULAR = (
@@ -33,37 +42,59 @@ _IRREGULAR = (
 class TokenEncoder:
     """Encodes Arrow string arrays; ``split`` is ``"words"`` or ``"bytes"`` after the tokenizer's pre-tokens.
 
-    ``"words"`` is for tokenizers that drop white space: parts are what ASCII white space separates.
+    ``"words"`` is for tokenizers that drop white space and lower-case: parts are what ASCII white space separates.
     ``"bytes"`` is for byte-level ones, whose pre-tokens begin with at most one space: a part is a word with the space
-    before it, or a newline. Strings of special tokens in a text are ordinary text.
+    before it, or a newline. In both, marks of punctuation behind a letter or digit begin a part of their own.
     """
 
-    def __init__(self, path: str, split: str, memo_entries: int = MEMO_ENTRIES, rows: int = ROWS):
+    def __init__(self, path: str, split: str, memo_entries: int = MEMO_ENTRIES, slice_bytes: int = SLICE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         state = worker_memory().setdefault((path, split), {})
         if not state:
             tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
             wide = tokenizer.get_vocab_size() > 1 << 16
-            state.update(tokenizer=tokenizer, memo={}, code="I" if wide else "H")
+            between = tokenizer.encode(_BETWEEN[split].strip(" "), add_special_tokens=False).ids
+            if len(between) != 1:
+                raise ValueError(f"{path} has no token of its own for {_BETWEEN[split]!r}")
+            state.update(tokenizer=tokenizer, memo={}, code="I" if wide else "H", between=between[0])
         self._tokenizer, self._memo, self._code = state["tokenizer"], state["memo"], state["code"]
+        self._between = state["between"]
         self.dtype = np.dtype(self._code)
-        self._split, self._entries, self._rows = split, memo_entries, rows
+        self._split, self._entries, self._slice = split, memo_entries, slice_bytes
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), _CHUNK):
             for one in self._tokenizer.encode_batch_fast(texts[i : i + _CHUNK], add_special_tokens=False):
                 yield array(self._code, one.ids).tobytes()
 
+    def _encode_together(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of short texts that do not hold what stands between them."""
+        between, size = _BETWEEN[self._split], self.dtype.itemsize
+        for i in range(0, len(texts), _CHUNK):
+            some = texts[i : i + _CHUNK]
+            [one] = self._tokenizer.encode_batch_fast([between.join(some) + between], add_special_tokens=False)
+            ids = np.array(one.ids, self.dtype)
+            ends = np.flatnonzero(ids == self._between)
+            if len(ends) != len(some):
+                yield from self._encode(some)
+                continue
+            raw = ids.tobytes()
+            for a, b in zip([0, *(ends[:-1] + 1).tolist()], ends.tolist()):
+                yield raw[a * size : b * size]
+
     def _ids_of(self, parts: list[str]) -> list[bytes]:
         memo = self._memo
         found = [memo.get(part) for part in parts]
         missing = [i for i, ids in enumerate(found) if ids is None]
         texts = [self._text_of(parts[i]) for i in missing]
-        for i, ids in zip(missing, self._encode(texts)):
-            found[i] = ids
+        mark = _BETWEEN[self._split].strip(" ")
+        alone = [not t or mark in t or _SPECIAL in t for t in texts]
+        together = self._encode_together([t for t, one in zip(texts, alone) if not one])
+        apart = self._encode([t for t, one in zip(texts, alone) if one])
+        for i, one in zip(missing, alone):
+            found[i] = ids = next(apart if one else together)
             if len(memo) < self._entries:
                 memo[parts[i]] = ids
         return found
@@ -74,16 +105,21 @@ class TokenEncoder:
         return part[1:] if part[:1] == "\x01" else " " + part
 
     def _parts(self, texts: pa.Array) -> pa.Array:
+        plain = pc.invert(pc.match_substring(texts, _SPECIAL))
         if self._split == "words":
-            return pc.ascii_split_whitespace(texts)
-        marked = pc.replace_substring(pc.binary_join_element_wise("\x01", texts, ""), "\n", " \n \x01")
+            cut = pc.replace_substring_regex(pc.ascii_lower(texts), _BEFORE_MARK, r"\1 \2")
+            return pc.ascii_split_whitespace(pc.if_else(plain, cut, texts))
+        cut = pc.if_else(plain, pc.replace_substring_regex(texts, _BEFORE_MARK, "\\1 \x01\\2"), texts)
+        marked = pc.replace_substring(pc.binary_join_element_wise("\x01", cut, ""), "\n", " \n \x01")
         return pc.split_pattern(marked, " ")
 
     def encode_batches(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-        """From batches of an id and a text column: the first, and what ``encode`` gives, for a few rows at a time."""
+        """From batches of an id and a text column: the first, and what ``encode`` gives, for some rows at a time."""
         for batch in batches:
-            for at in range(0, batch.num_rows, self._rows):
-                some = batch.slice(at, self._rows)
+            size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+            cuts = np.flatnonzero(np.diff(np.cumsum(size) // self._slice)) + 1
+            for at, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                some = batch.slice(at, end - at)
                 yield some.column(0), *self.encode(some.column(1))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

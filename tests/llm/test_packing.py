@@ -41,7 +41,6 @@ def check_places(rows, capacity):
 
 def check(docs):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     want = []
     for r in docs.collect():
         ids = np.array(tokenizer.encode(r.text or "", add_special_tokens=False).ids + [1], "<u4")

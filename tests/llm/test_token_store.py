@@ -23,7 +23,6 @@ def test_codes_round_trip(values):
 
 def plain(docs):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     rows = [(r.doc_id, tokenizer.encode(r.text or "", add_special_tokens=False).ids + [2]) for r in docs.collect()]
     return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, np.array(r[1], "<u2").tobytes()))
 
