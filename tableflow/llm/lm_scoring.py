@@ -1,13 +1,16 @@
 """Language-model scores: a hashed maximum-entropy model with a class-factored softmax, beside a unigram base.
 
-The first factor is a softmax over classes; the second, the words of a class, is in ``lm_words``.
+A word is a leaf of a tree of classes: each node's children are classes of classes or of words, and a softmax over them
+is one factor of the word's chance. Classes come from the counts (a Huffman code of ``WAYS`` digits), so that a word
+costs about as many factors as its surprise, and every factor sees the features of the context.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -15,28 +18,31 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import lm_words
 from tableflow.llm.common import staged, table
 
 #: The end of a text as a token; no word contains white space.
 END = "\n"
-#: Words whose counts go to every task: the most frequent ones of at most so many bytes.
+#: Words with a leaf of their own: the most frequent ones of at most so many bytes. All others share one leaf and part
+#: it by their counts.
 FREQUENT = 200_000
 FREQUENT_BYTES = 48
-#: The most frequent words are a class each; other words share classes by the end of the word.
-OWN_CLASSES = 31
-SUFFIX_CLASSES = 32
-CLASSES = 1 + OWN_CLASSES + SUFFIX_CLASSES
-#: Buckets of each kind of feature; the last row of the weights is the bias.
-BUCKETS = 4096
+#: Children of a node, at most.
+WAYS = 16
+#: Kinds of features: the word before, the two skipped to before that, and the pair before.
 KINDS = 4
-ROWS = KINDS * BUCKETS + 1
+#: Rows of weights that features are hashed into: a power of two near ``ROWS_PER_ROOT`` times the square root of the
+#: training tokens, within these bounds; so all weights that are sent to tasks take 64 MiB at most.
+ROWS_PER_ROOT = 64
+LEAST_ROWS, MOST_ROWS = 1 << 12, 1 << 20
 #: Training documents are dealt over so many rounds; the weights are averaged after each.
 ROUNDS = 3
-#: Tokens that a task trains on in a round, at least, once every core has a task.
-TASK_TOKENS = 8_000_000
-RATE = 0.1
+#: Tokens that a task trains on in a round, about; the number of tasks follows from the documents alone.
+TASK_TOKENS = 6_000_000
+RATE = 0.15
+#: What the squares of the gradients begin with: how slowly a row that is met rarely moves.
+CAUTION = 20
 _STEP = 8192
+_PLACE_BITS = 32
 _SLICE = 4000
 
 
@@ -75,17 +81,58 @@ def _hashes(words: pa.Array) -> np.ndarray:
     return np.array([zlib.crc32(w) for w in words.cast(pa.binary()).to_pylist()], np.uint32)
 
 
-def classes_of(words: pa.Array, own: list[str]) -> np.ndarray:
-    """The class of each word: 0 is the end, then the words of ``own``, then hashed endings apart from punctuation."""
-    known = {w: i + 1 for i, w in enumerate(own)} | {END: 0}
-    first = 1 + OWN_CLASSES
+@dataclass(frozen=True)
+class Tree:
+    """A Huffman tree: leaf ``i`` is reached by ``digit[a:b]`` at the nodes ``node[a:b]``, from ``start[i]`` to the next.
 
-    def ending(word: str) -> int:
-        bare = word.rstrip(".,;:!?")
-        key = bare[-2:] + ("." if len(bare) < len(word) else "")
-        return first + zlib.crc32(key.encode("utf-8", "surrogatepass")) % SUFFIX_CLASSES
+    ``bias`` has a row for each node, the logarithms of its children's shares; children it lacks have no chance.
+    """
 
-    return np.array([known[w] if w in known else ending(w) for w in words.to_pylist()], np.int64)
+    start: np.ndarray
+    node: np.ndarray
+    digit: np.ndarray
+    bias: np.ndarray
+
+
+def tree_of(counts: np.ndarray) -> Tree:
+    """The tree of leaves with these counts; ties go to the earlier leaf."""
+    n = len(counts)
+    # Empty leaves make the last node as full as the others.
+    empty = -(n - 1) % (WAYS - 1) if n > 1 else WAYS - 1
+    heap = [(0.0, -1 - k, None) for k in range(empty)] + [(float(c) + 1, i, i) for i, c in enumerate(counts)]
+    heapq.heapify(heap)
+    children: list[list] = []
+    while True:
+        some = [heapq.heappop(heap) for _ in range(min(WAYS, len(heap)))]
+        children.append([(weight, key) for weight, _, key in some])
+        if not heap:
+            break
+        heapq.heappush(heap, (sum(w for w, _, _ in some), n + len(children), n + len(children) - 1))
+    bias = np.full((len(children), WAYS), -1e9, np.float32)
+    paths: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+    # The root comes last; from there down, each node knows its own path.
+    above: dict[int, list[tuple[int, int]]] = {len(children) - 1: []}
+    for node in range(len(children) - 1, -1, -1):
+        path, total = above.pop(node), sum(w for w, _ in children[node])
+        for digit, (weight, key) in enumerate(children[node]):
+            if key is None:
+                continue
+            bias[node, digit] = np.log(weight / total)
+            if key < n:
+                paths[key] = [*path, (node, digit)]
+            else:
+                above[key - n] = [*path, (node, digit)]
+    start = np.concatenate([[0], np.cumsum([len(p) for p in paths])])
+    flat = np.array([step for p in paths for step in p], np.int32).reshape(-1, 2)
+    return Tree(start, flat[:, 0].copy(), flat[:, 1].copy(), bias)
+
+
+def _steps(tree: Tree, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which leaf of the given ones, which node and which digit, for each step down to each of them."""
+    sizes = tree.start[leaves + 1] - tree.start[leaves]
+    ends = np.cumsum(sizes)
+    at = np.repeat(tree.start[leaves] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+    return np.repeat(np.arange(len(leaves)), sizes), tree.node[at], tree.digit[at]
 
 
 def contexts(tokens: Tokens) -> np.ndarray:
@@ -102,50 +149,55 @@ def contexts(tokens: Tokens) -> np.ndarray:
     return np.stack(mixed, axis=1)
 
 
-def features(tokens: Tokens, before: np.ndarray | None = None) -> np.ndarray:
-    """A row of weight rows for each token, one of each kind; ``before`` are its contexts if at hand."""
-    before = contexts(tokens) if before is None else before
-    out = np.empty((len(tokens.code), KINDS), np.int32)
-    for kind, value in enumerate(before.T):
-        spread = (value + np.uint64(kind)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
-        out[:, kind] = (spread % np.uint64(BUCKETS)).astype(np.int32) + kind * BUCKETS
+def weight_rows(before: np.ndarray, nodes: np.ndarray, n_nodes: int, size: int) -> np.ndarray:
+    """A row of weight rows for each step: that of its node's bias, and the hash of node and context of each kind."""
+    out = np.empty((len(nodes), 1 + KINDS), np.int32)
+    out[:, 0] = nodes
+    own = nodes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    shift = np.uint64(64 - (size.bit_length() - 1))
+    for kind in range(KINDS):
+        mixed = ((before[:, kind] + np.uint64(kind + 1)) * np.uint64(0xA0761D6478BD642F)) ^ own
+        mixed ^= mixed >> np.uint64(29)
+        out[:, 1 + kind] = (mixed * np.uint64(0x9E3779B97F4A7C15) >> shift).astype(np.int32) + n_nodes
     return out
 
 
 def _logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The weight of each class for each token, the largest 0."""
+    """The weight of each child at each step, the largest 0."""
     logits = weights.take(rows[:, 0], axis=0)
-    for kind in range(1, KINDS):
+    for kind in range(1, rows.shape[1]):
         logits += weights.take(rows[:, kind], axis=0)
-    logits += weights[-1]
     logits -= logits.max(axis=1, keepdims=True)
     return logits
 
 
-def log_chances(weights: np.ndarray, rows: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """The natural logarithm of the softmax at each token's own class."""
+def log_chances(weights: np.ndarray, rows: np.ndarray, digits: np.ndarray) -> np.ndarray:
+    """The natural logarithm of the softmax at each step's own digit."""
     logits = _logits(weights, rows)
-    own = logits[np.arange(len(rows)), target]
+    own = logits[np.arange(len(rows)), digits]
     return own - np.log(np.exp(logits, out=logits).sum(axis=1))
 
 
-def _update(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
+def _update(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, digits: np.ndarray) -> None:
     """One step of AdaGrad over the gradient of a few tokens."""
     gradient = _logits(weights, rows)
     np.exp(gradient, out=gradient)
     gradient /= gradient.sum(axis=1, keepdims=True)
-    gradient[np.arange(len(rows)), target] -= 1
-    for kind in range(KINDS):
-        order = np.argsort((rows[:, kind] - kind * BUCKETS).astype(np.uint16), kind="stable")
-        sorted_rows = rows[order, kind]
-        first = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
-        total = np.add.reduceat(gradient[order], first, axis=0)
-        touched = sorted_rows[first]
-        squares[touched] += total * total
-        weights[touched] -= RATE * total / np.sqrt(squares[touched] + 1)
-    total = gradient.sum(axis=0)
-    squares[-1] += total * total
-    weights[-1] -= RATE * total / np.sqrt(squares[-1] + 1)
+    gradient[np.arange(len(rows)), digits] -= 1
+    # The row of weights and the step in one number: sorting numbers is much faster than sorting places by them.
+    keys = np.sort((rows.T.astype(np.int64) << _PLACE_BITS | np.arange(len(rows))).ravel())
+    ordered = keys >> _PLACE_BITS
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    total = np.add.reduceat(gradient.take(keys & ((1 << _PLACE_BITS) - 1), axis=0), first, axis=0)
+    touched = ordered[first]
+    grown = squares.take(touched, axis=0)
+    grown += total * total
+    squares[touched] = grown
+    grown += CAUTION
+    np.sqrt(grown, out=grown)
+    total *= RATE
+    total /= grown
+    weights[touched] -= total
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,46 +214,61 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([tokens.words.take(pa.array(used)), pa.array(counts[used])], names=["word", "c"])
 
 
-def _class_masses(own: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = classes_of(batch.column(0), own)
-            yield pa.record_batch([pa.array(found, pa.int64()), batch.column(1)], names=["class", "c"])
+@dataclass(frozen=True)
+class Model:
+    """What scoring sends to tasks: the tree, the weights, and the words with leaves; all bounded by the constants.
 
-    return run
+    Leaf 0 is the end, then the words of ``words``, and the last is that of all other words.
+    """
+
+    tree: Tree
+    weights: np.ndarray
+    words: pa.Array
+    counts: np.ndarray
+    #: Training tokens and different words; of those without a leaf of their own, too.
+    n_tokens: int
+    n_words: int
+    rare_tokens: int
+    rare_words: int
+
+    @property
+    def size(self) -> int:
+        return len(self.weights) - len(self.tree.bias)
+
+    def leaves(self, words: pa.Array) -> np.ndarray:
+        found = pc.index_in(words, value_set=self.words)
+        return pc.fill_null(found, len(self.words)).to_numpy().astype(np.int64)
 
+    def steps(self, tokens: Tokens, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The token, the weight rows and the digit of each step, some tokens at a time."""
+        before = contexts(tokens)
+        for at in range(0, len(tokens.code), _STEP):
+            token, nodes, digits = _steps(self.tree, leaf[tokens.code[at : at + _STEP]])
+            token += at
+            yield token, weight_rows(before[token], nodes, len(self.tree.bias), self.size), digits
 
-def _train(weights: np.ndarray, own: list[str]):
+
+def _train(model: Model):
     """The changes that a pass over the task's own documents makes to the weights, row by row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine, squares = weights.copy(), np.zeros_like(weights)
+        mine, squares = model.weights.copy(), np.zeros_like(model.weights)
         for batch in _slices(batches):
             tokens = tokens_of(batch.column(0))
-            rows, target = features(tokens), classes_of(tokens.words, own)[tokens.code]
-            for at in range(0, len(rows), _STEP):
-                _update(mine, squares, rows[at : at + _STEP], target[at : at + _STEP])
+            for _, rows, digits in model.steps(tokens, model.leaves(tokens.words)):
+                _update(mine, squares, rows, digits)
         moved = np.flatnonzero((squares > 0).any(axis=1))
-        change = (mine - weights)[moved].astype(np.float64)
-        columns = [pa.array(moved, pa.int64()), *[pa.array(change[:, k].copy()) for k in range(CLASSES)]]
-        yield pa.record_batch(columns, names=["row", *[f"w{k}" for k in range(CLASSES)]])
+        for at in range(0, len(moved), 1 << 16):
+            some = moved[at : at + (1 << 16)]
+            change = mine[some] - model.weights[some]
+            yield pa.record_batch(
+                [pa.array(some, pa.int64()), *[pa.array(change[:, k].copy()) for k in range(WAYS)]],
+                names=["row", *[f"w{k}" for k in range(WAYS)]],
+            )
 
     return run
 
 
-@dataclass(frozen=True)
-class Model:
-    """What scoring broadcasts: weights, and counts of the frequent words, all bounded by the constants."""
-
-    weights: np.ndarray
-    own: list[str]
-    words: pa.Array
-    counts: np.ndarray
-    class_mass: np.ndarray
-    n_tokens: int
-    n_words: int
-
-
 def _least_count(words: DataFrame) -> int:
     """The least count for which no more than ``FREQUENT`` words have it, to an eighth of an octave."""
     step = F.floor(8 * F.log2("c"))
@@ -218,97 +285,76 @@ def _least_count(words: DataFrame) -> int:
 def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     """Fit on the documents not held out; with the model, the counts of all their words as a staged table.
 
-    Word counts are exact: tasks count their own, Spark sums. In each round, tasks start from the same weights and
-    update their own copy by the gradient of every document of theirs; for each row, the changes are averaged over the
-    tasks that made one. Every training document is in one round. The driver holds the weights and the frequent words.
+    Word counts are exact: tasks count their own, Spark sums. Documents are dealt by a hash to rounds and, in each, to as
+    many shards as their tokens ask for, in an order of their own, so the same documents give the same model on any
+    cluster. The shards of a round start from the same weights and update their own copy by the gradient of every
+    document of theirs; for each row, the changes are averaged over the shards that made one.
     """
     chosen = docs.where(~is_held_out(F.col("doc_id")))
     counted = chosen.select("text").mapInArrow(_count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
     vocabulary = staged(counted, "lm_words")
-    total = vocabulary.agg(F.sum("c"), F.count(F.lit(1))).first()
+    total = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     short = vocabulary.where((F.octet_length("word") <= FREQUENT_BYTES) & (F.col("word") != END))
     frequent = short.where(F.col("c") >= _least_count(short)).toPandas().sort_values(["c", "word"], ascending=[False, True])
     ends = vocabulary.where(F.col("word") == END).first()
-    own = frequent["word"].tolist()[:OWN_CLASSES]
-
-    by_class = vocabulary.mapInArrow(_class_masses(own), "class long, c long").groupBy("class")
-    mass, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in by_class.agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect():
-        mass[r["class"]], kinds[r["class"]] = r.c, r.n
-    weights = np.zeros((ROWS, CLASSES), np.float32)
-    weights[-1] = np.log((mass + 1) / (mass.sum() + CLASSES))
-    # What a task sends is as large for a few texts as for many, so tasks take many.
-    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(mass.sum()) // (ROUNDS * TASK_TOKENS))
-    for k in range(ROUNDS):
-        part = chosen.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == k)
-        changes = part.select("text").coalesce(tasks).mapInArrow(
-            _train(weights, own), "row long, " + ", ".join(f"w{k} double" for k in range(CLASSES))
-        )
-        mean = changes.groupBy("row").agg(*[F.avg(f"w{k}").alias(f"w{k}") for k in range(CLASSES)]).toPandas()
-        weights = weights.copy()
-        weights[mean["row"].to_numpy(np.int64)] += mean.drop(columns="row").to_numpy(np.float32)
-    # A word that is a class alone has all of it; a class of endings also holds one word never seen.
-    shared = np.arange(CLASSES) > OWN_CLASSES
+    counts = np.array([ends.c if ends else 0, *frequent["c"]], np.int64)
+    rare_tokens, rare_words = total[0] - int(counts.sum()), total[1] - len(frequent) - (ends is not None)
+
+    tree = tree_of(np.append(counts, rare_tokens))
+    size = 1 << int(round(np.log2(ROWS_PER_ROOT * max(1, total[0]) ** 0.5)))
+    size = min(MOST_ROWS, max(LEAST_ROWS, size))
+    weights = np.concatenate([tree.bias, np.zeros((size, WAYS), np.float32)])
     model = Model(
-        weights,
-        own,
-        pa.array([END, *frequent["word"]], pa.string()),
-        np.array([ends.c if ends else 0, *frequent["c"]], np.int64),
-        mass + np.where(shared, kinds + 1, 1),
-        total[0] or 0,
-        total[1],
+        tree, weights, pa.array([END, *frequent["word"]], pa.string()), counts, total[0], total[1], rare_tokens, rare_words
     )
+    shards = max(1, -(-total[0] // (ROUNDS * TASK_TOKENS)))
+    dealt = chosen.select("text", F.xxhash64("doc_id", "text").alias("h"))
+    for k in range(ROUNDS):
+        part = dealt.where(F.pmod("h", F.lit(ROUNDS)) == k)
+        part = part.withColumn("shard", F.pmod(F.shiftright("h", 8), F.lit(shards)).cast("int")).repartitionById(shards, "shard")
+        changes = part.sortWithinPartitions("h", "text").select("text").mapInArrow(
+            _train(model), "row long, " + ", ".join(f"w{k} float" for k in range(WAYS))
+        )
+        mean = changes.groupBy("row").agg(*[F.avg(f"w{k}").cast("float").alias(f"w{k}") for k in range(WAYS)]).toArrow()
+        weights = model.weights.copy()
+        weights[mean["row"].to_numpy()] += np.stack([mean[f"w{k}"].to_numpy() for k in range(WAYS)], axis=1)
+        model = replace(model, weights=weights)
     return model, vocabulary
 
 
-_SCANNED = (
-    "doc_id long, n_tokens long, n_known long, log_counts double, log_classes double, rare array<string>, "
-    "parts array<struct<class int, data binary>>"
-)
+_SCANNED = "doc_id long, n_tokens long, n_known long, log_counts double, log_leaves double, n_rare long, rare array<string>"
 
 
 def _scan(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             tokens = tokens_of(batch.column(1))
-            place = pc.index_in(tokens.words, value_set=model.words)
-            found = pc.fill_null(place, -1).to_numpy().astype(np.int64)
-            count = np.where(found >= 0, model.counts[found], 0)
-            target = classes_of(tokens.words, model.own)[tokens.code]
-            before = contexts(tokens)
-            rows, chance = features(tokens, before), np.empty(len(target))
-            for at in range(0, len(rows), _STEP):
-                some = target[at : at + _STEP]
-                chance[at : at + _STEP] = log_chances(model.weights, rows[at : at + _STEP], some)
-            chance = chance / np.log(10)
+            leaf = model.leaves(tokens.words)
+            is_rare = (leaf == len(model.words))[tokens.code]
+            known = np.append(model.counts, 0)[leaf][tokens.code]
+            chance = np.zeros(len(tokens.code))
+            for token, rows, digits in model.steps(tokens, leaf):
+                chance += np.bincount(token, log_chances(model.weights, rows, digits), len(chance))
             first = tokens.starts[:-1]
-            known = count[tokens.code]
 
             def of_each(values: np.ndarray) -> np.ndarray:
                 return np.add.reduceat(values, first) if len(first) else values[:0]
 
-            is_rare = (found < 0)[tokens.code]
             ends = np.concatenate([[0], np.cumsum(is_rare)])[tokens.starts]
             rare = pa.ListArray.from_arrays(
                 pa.array(ends, pa.int32()), tokens.words.take(pa.array(tokens.code[is_rare]))
             )
-            shared = np.flatnonzero(target > OWN_CLASSES)
-            ids = lm_words.ids_of(tokens.words)[tokens.code[shared]]
-            doc = np.repeat(np.arange(batch.num_rows), tokens.sizes)[shared]
-            held = batch.column(2).to_numpy(zero_copy_only=False)
-            parts = lm_words.parts_of(target[shared], ids, before[shared], doc, held[doc])
             yield pa.record_batch(
                 [
                     batch.column(0),
                     pa.array(tokens.sizes, pa.int64()),
                     pa.array(of_each((known > 0).astype(np.int64)), pa.int64()),
                     pa.array(of_each(np.log10(known + 1.0))),
-                    pa.array(of_each(chance)),
+                    pa.array(of_each(chance / np.log(10))),
+                    pa.array(np.diff(ends), pa.int64()),
                     rare,
-                    # With the first document, the tokens of all documents of the slice.
-                    pa.array([parts, *[None] * (batch.num_rows - 1)][: batch.num_rows], lm_words.PARTS),
                 ],
-                names=["doc_id", "n_tokens", "n_known", "log_counts", "log_classes", "rare", "parts"],
+                names=["doc_id", "n_tokens", "n_known", "log_counts", "log_leaves", "n_rare", "rare"],
             )
 
     return run
@@ -317,34 +363,33 @@ def _scan(model: Model):
 def lm_scores(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``.
 
-    A word's chance is that of its class in its context, from the softmax, times its own chance among the words of the
-    class in that context, from ``lm_words``. For the base score, counts of frequent words are at hand in each task; the
-    other words of each document are joined with the counts of the whole vocabulary, so no word is cut off and no hot
-    word is shuffled. Null, empty and blank texts are
-    one end. A null ``doc_id`` is never held out. Rows that share an id are documents of their own. Without training
-    documents, all counts are 0 and classes are equally likely.
+    A word's chance is the product of the softmaxes on its way down the tree, each with the features of the context; a
+    word without a leaf of its own has its share of the leaf that all such words have, by count, with one place for what
+    was never seen. Counts of words with leaves are at hand in each task; the other words of each document are joined
+    with the counts of the whole vocabulary, so no word is cut off and no hot word is shuffled. Null, empty and blank
+    texts are one end. A null ``doc_id`` is never held out. Rows that share an id are documents of their own. Without
+    training documents, all counts are 0 and the end and other words are equally likely.
     """
     docs = docs.select("doc_id", "text")
     model, vocabulary = train(docs)
-    scanned = staged(
-        docs.withColumn("held_out", is_held_out(F.col("doc_id")))
-        .mapInArrow(_scan(model), _SCANNED)
-        .withColumn("row", F.monotonically_increasing_id()), "lm_scan"
-    )
+    scanned = docs.mapInArrow(_scan(model), _SCANNED)
+    scanned = staged(scanned.withColumn("row", F.monotonically_increasing_id()), "lm_scan", "zstd")
     rare = scanned.select("row", F.explode("rare").alias("word")).join(vocabulary, "word")
     rest = rare.groupBy("row").agg(
         F.count(F.lit(1)).alias("more_known"), F.sum(F.log10(F.col("c") + F.lit(1.0))).alias("more_counts")
     )
-    log_words = lm_words.log_chances(scanned, vocabulary, model.own, classes_of)
-    counts = F.col("log_counts") + F.coalesce("more_counts", F.lit(0.0))
-    return scanned.drop("rare", "parts").join(rest, "row", "left").join(log_words, "row", "left").select(
+    more = F.coalesce("more_counts", F.lit(0.0))
+    rare_mass = F.lit(float(np.log10(model.rare_tokens + model.rare_words + 1)))
+    return scanned.drop("rare").join(rest, "row", "left").select(
         "doc_id",
         is_held_out(F.col("doc_id")).alias("held_out"),
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
-        (counts - F.col("n_tokens") * F.lit(float(np.log10(model.n_tokens + model.n_words + 1)))).alias("base_score"),
-        (F.col("log_classes") + F.coalesce("log_words", F.lit(0.0))).alias("score"),
+        (
+            F.col("log_counts") + more - F.col("n_tokens") * F.lit(float(np.log10(model.n_tokens + model.n_words + 1)))
+        ).alias("base_score"),
+        (F.col("log_leaves") + more - F.col("n_rare") * rare_mass).alias("score"),
     )
 
 

@@ -3,10 +3,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from tableflow.llm import lm_scoring
 from tableflow.llm.common import table
-from tableflow.llm.lm_scoring import CLASSES, classes_of, features, lm_scores, op10_lm_scoring, tokens_of, train
+from tableflow.llm.lm_scoring import contexts, lm_scores, op10_lm_scoring, tokens_of, train, tree_of, weight_rows
 
 
 def plain_tokens(text):
@@ -55,59 +57,84 @@ def test_odd_documents(odd_docs, no_docs):
     assert lm_scores(no_docs).count() == 0
 
 
-def test_chances_sum_to_one(spark, sf_dir):
-    """Over every known word, the end, and the unseen words of each class, after any context."""
-    model, vocabulary = train(table(spark, sf_dir, "documents"))
-    words = vocabulary.toPandas()
-    share = np.zeros(CLASSES)
-    import pyarrow as pa
-
-    found = classes_of(pa.array(words["word"].tolist()), model.own)
-    np.add.at(share, found, (words["c"].to_numpy() + 1) / model.class_mass[found])
-    unseen = np.where(np.arange(CLASSES) > len(model.own), 1 / model.class_mass, 0)
-    used = np.bincount(found, minlength=CLASSES) > 0
-    own_or_end = np.arange(CLASSES) <= len(model.own)
-    assert share[used & own_or_end] == pytest.approx(1.0)
-    assert (share + unseen)[~own_or_end & (np.arange(CLASSES) > 31)] == pytest.approx(1.0)
+def plain_path(tree, leaf):
+    a, b = tree.start[leaf], tree.start[leaf + 1]
+    return list(zip(tree.node[a:b].tolist(), tree.digit[a:b].tolist()))
+
+
+@pytest.mark.parametrize("n", [1, 2, 15, 16, 17, 31, 1000])
+def test_leaves_of_a_tree(n):
+    counts = np.random.default_rng(n).integers(0, 1000, n)
+    tree = tree_of(counts)
+    paths = [plain_path(tree, i) for i in range(n)]
+    assert len({tuple(p) for p in paths}) == n and all(p[0][0] == len(tree.bias) - 1 for p in paths)
+    # Without features, a leaf has its share of the counts.
+    want = (counts + 1) / (counts + 1).sum()
+    assert [math.exp(sum(float(tree.bias[step]) for step in p)) for p in paths] == pytest.approx(want, rel=1e-4)
+
+
+def test_scores_by_definition(spark, sf_dir):
+    """Every score from the model's weights, step by step, and chances that sum to one over leaves and rare words."""
+    docs = table(spark, sf_dir, "documents").limit(60)
+    model, vocabulary = train(docs)
+    count = {r.word: r.c for r in vocabulary.collect()}
+    leaf = {w: i for i, w in enumerate(model.words.to_pylist())}
+    n_nodes = len(model.tree.bias)
+
+    def log10_leaf(i, before):
+        out = 0.0
+        for node, digit in plain_path(model.tree, i):
+            rows = weight_rows(before[None, :], np.array([node]), n_nodes, model.size)[0]
+            logits = model.weights[rows].astype(float).sum(axis=0)
+            out += logits[digit] - logits.max() - math.log(np.exp(logits - logits.max()).sum())
+        return out / math.log(10)
+
+    got = {r.doc_id: r.score for r in lm_scores(docs).collect()}
+    short = sorted(docs.collect(), key=lambda r: len(r.text or ""))[:12]
+    for r in short:
+        tokens = tokens_of(pa.array([r.text]))
+        words = [tokens.words[c].as_py() for c in tokens.code]
+        want = 0.0
+        for word, before in zip(words, contexts(tokens)):
+            want += log10_leaf(leaf.get(word, len(leaf)), before)
+            if word not in leaf:
+                want += math.log10((count.get(word, 0) + 1) / (model.rare_tokens + model.rare_words + 1))
+        assert got[r.doc_id] == pytest.approx(want, rel=1e-4)
+    before = contexts(tokens)[0]
+    assert sum(10 ** log10_leaf(i, before) for i in range(len(leaf) + 1)) == pytest.approx(1, abs=1e-4)
+    rare = [w for w in count if w not in leaf]
+    assert len(rare) == model.rare_words and sum(count[w] for w in rare) == model.rare_tokens
+
+
+def test_rare_words_share_a_leaf_by_count(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "FREQUENT", 50)
+    docs = table(spark, sf_dir, "documents").limit(60)
+    model, vocabulary = train(docs)
+    assert model.rare_words > 100 and len(model.words) <= 51
+    held = check_base(docs)
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_scores_do_not_depend_on_partitions(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "TASK_TOKENS", 3000)
+    docs = table(spark, sf_dir, "documents").limit(80)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    one, many = ({r.doc_id: r.score for r in lm_scores(docs.repartition(n)).collect()} for n in (1, 7))
+    assert one == pytest.approx(many, rel=1e-5)
 
 
 def test_features_look_back_only(odd_texts):
-    import pyarrow as pa
-
     texts = [t for t in odd_texts if t and len(t) < 5000]
     whole = tokens_of(pa.array(texts))
-    rows = features(whole)
+    rows = contexts(whole)
     for i, text in enumerate(texts):
         alone = tokens_of(pa.array([text]))
         assert [alone.words[c].as_py() for c in alone.code] == plain_tokens(text)
-        assert (features(alone) == rows[whole.starts[i] : whole.starts[i + 1]]).all()
-
-
-def test_words_of_a_class_follow_the_context():
-    """Words of one ending, as frequent as each other, that the word before tells apart."""
-    import pyarrow as pa
-
-    from tableflow.llm.lm_words import Words, ids_of
-
-    rng = np.random.default_rng(1)
-    names = [f"w{k:03d}ing" for k in range(40)]
-    ids = ids_of(pa.array(names))
-    words = Words(ids, np.full(40, 250))
-    drawn = rng.integers(0, 40, 10_000)
-    context = np.stack([drawn * 7 + 1, np.full(10_000, 3), np.full(10_000, 5)], axis=1).astype(np.uint32)
-    plain = words.log10(ids[drawn], context).mean()
-    assert plain == pytest.approx(math.log10(251 / (40 * 251 + 1)), abs=0.01)
-    for _ in range(10):
-        words.train(ids[drawn], context)
-    assert words.log10(ids[drawn], context).mean() > plain / 2
-    # Over all words and the unseen one, after any context.
-    for k in range(3):
-        every = np.r_[ids, np.uint64(12345)]
-        assert (10 ** words.log10(every, np.repeat(context[k : k + 1], 41, axis=0))).sum() == pytest.approx(1, abs=1e-4)
-
-
-def test_scores_follow_the_context_within_a_class(spark):
-    """Texts of the same words, each word as frequent: only the order of two words of one class differs."""
+        assert (contexts(alone) == rows[whole.starts[i] : whole.starts[i + 1]]).all()
+
+
+def test_scores_follow_the_context(spark):
+    """Texts of the same words, each word as frequent: only the order of two words differs."""
     from pyspark.sql import functions as F
 
     ids = spark.range(4000).select(F.col("id").alias("doc_id"))
