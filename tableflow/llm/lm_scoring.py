@@ -32,7 +32,7 @@ WAYS = 16
 KINDS = 4
 #: Rows of weights that features are hashed into: a power of two near ``ROWS_PER_ROOT`` times the square root of the
 #: training tokens, within these bounds; so all weights that are sent to tasks take 64 MiB at most.
-ROWS_PER_ROOT = 64
+ROWS_PER_ROOT = 32
 LEAST_ROWS, MOST_ROWS = 1 << 12, 1 << 20
 #: Training documents are dealt over so many rounds; the weights are averaged after each.
 ROUNDS = 3
@@ -43,7 +43,7 @@ RATE = 0.15
 CAUTION = 20
 _STEP = 8192
 _PLACE_BITS = 32
-_SLICE = 4000
+_SLICE = 1000
 
 
 def is_held_out(doc_id: Column) -> Column:
