@@ -14,7 +14,7 @@ from tableflow.schema.mapping import MappedColumn, canonical_type, schema_map
 from tableflow.session import SETTINGS, configure, size_shuffles, staging_root
 from tableflow.sinks.ndjson import load_ndjson, write_ndjson
 from tableflow.sinks.staging import expire_staging
-from tableflow.sinks.write import WriteResult, WriteSession, write_table
+from tableflow.sinks.write import WriteResult, WriteSession, settle_batch, write_table
 from tableflow.sources.cursor import cursor_condition, typed_literal
 from tableflow.sources.names import TableName, parse_table_name
 from tableflow.sources.ndjson import read_ndjson

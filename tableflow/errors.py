@@ -27,6 +27,7 @@ class Code(str, Enum):
     SESSION_STATE = "session_state"
     COMMIT_IN_PROGRESS = "commit_in_progress"
     COMMIT_LOST = "commit_lost"
+    BATCH_UNKNOWN = "batch_unknown"
 
 
 class TableflowError(Exception):

@@ -53,6 +53,15 @@ def append_partitioned(spark, sf_dir):
     return read_table(spark, TARGET, datasets=out)
 
 
+def append_replayed(spark, sf_dir):
+    """Each batch of a stream is appended twice, as after a failure, and counts once."""
+    out = scratch(spark)
+    first, second = (read(spark, sf_dir, columns=_ORDER) for read in (loaded_orders, order_increment))
+    for number, rows in ((0, first), (0, first), (1, second), (0, first), (1, second)):
+        write_table(rows, TARGET, "append", datasets=out, batch=("orders", number))
+    return read_table(spark, TARGET, datasets=out)
+
+
 def replace(spark, sf_dir):
     out = scratch(spark)
     first = loaded_orders(spark, sf_dir, columns=[*_ORDER, "o_orderpriority"])
@@ -168,6 +177,7 @@ QUERIES = {
     "append_extra_cols": append_extra_cols,
     "append_union": append_union,
     "append_partitioned": append_partitioned,
+    "append_replayed": append_replayed,
     "replace": replace,
     "empty_append": _after_empty("append"),
     "empty_replace": _after_empty("replace"),
@@ -193,6 +203,7 @@ ORACLES = {
         select o_orderkey, o_orderstatus, o_totalprice, case when {_LOADED} then o_orderpriority end as o_orderpriority
         from orders""",
     "append_partitioned": "select o_orderkey, o_orderstatus, o_totalprice, o_orderpriority from orders",
+    "append_replayed": _ALL,
     "replace": f"{_ALL} where {_LATER}",
     "empty_append": _ALL,
     "empty_replace": f"{_ALL} where o_totalprice > 100000000",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,17 @@ from tableflow.sources.tables import read_folder, resolve_name
 log = logging.getLogger(__name__)
 
 
+# What a record of a stream's batches is called: a property of a catalog table, a file next to a folder table.
+_BATCHES = "tableflow.batch."
+
+
+class Batches(NamedTuple):
+    """What a table knows of a stream: the last batch that holds, and one that began and was never settled."""
+
+    last: int = -1
+    begun: int | None = None
+
+
 def resolve_target(
     spark: SparkSession, name: str, datasets: Mapping[str, str] | None, partition_by: Sequence[str]
 ) -> FolderTarget | CatalogTarget:
@@ -63,6 +76,22 @@ class FolderTarget:
         self.partition_by = settled_layout(self.name, layout, self.partition_by, schema, mode)
         return existing
 
+    def batches(self, stream: str) -> Batches:
+        # Next to the table, so that a replace keeps it; a table that is gone has no batches.
+        files, file = Files(self.spark, self.name), self._batches_file(stream)
+        if not files.exists(self.name) or not files.exists(file):
+            return Batches()
+        return Batches(*json.loads(files.read_text(file)))
+
+    def keep_batches(self, stream: str, batches: Batches) -> None:
+        files = Files(self.spark, self.name)
+        files.make_parent(self.name)
+        files.write_text(self._batches_file(stream), json.dumps(batches))
+
+    def _batches_file(self, stream: str) -> str:
+        folder, _, table = self.name.rpartition("/")
+        return f"{folder}/_{_BATCHES}{stream}={table}.json"
+
     def _layout(self, files: Files) -> list[str]:
         columns, folder = [], self.name
         while True:
@@ -147,6 +176,18 @@ class CatalogTarget:
         self.partition_by = settled_layout(self.name, layout, self.partition_by, schema, mode)
         return self.spark.table(self.table.sql)
 
+    def batches(self, stream: str) -> Batches:
+        if not self.spark.catalog.tableExists(self.table.sql):
+            return Batches()
+        kept = {r.key: r.value for r in self.spark.sql(f"show tblproperties {self.table.sql}").collect()}
+        return Batches(*json.loads(kept.get(_BATCHES + stream, "[]")))
+
+    def keep_batches(self, stream: str, batches: Batches) -> None:
+        # A table that is made by this commit gets its record after it.
+        if self.spark.catalog.tableExists(self.table.sql):
+            pair = f"'{_BATCHES}{stream}' = '{json.dumps(batches)}'"
+            self.spark.sql(f"alter table {self.table.sql} set tblproperties ({pair})")
+
     def append(self, rows: DataFrame) -> None:
         rows.write.insertInto(self.table.sql)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -20,7 +21,7 @@ from tableflow.schema.landing import conform, landed_frame
 from tableflow.schema.mapping import SEQUENCE_COLUMN, same_type, schema_map
 from tableflow.session import staging_root
 from tableflow.sinks.staging import drop_quietly
-from tableflow.sinks.targets import CatalogTarget, FolderTarget, resolve_target
+from tableflow.sinks.targets import Batches, CatalogTarget, FolderTarget, resolve_target
 from tableflow.sizes import broadcast_limit, row_bytes
 
 MODES = ("append", "replace", "merge")
@@ -31,7 +32,7 @@ _BATCH = "_batch_no"
 
 @dataclass(frozen=True)
 class WriteResult:
-    """Rows staged (before deduplication) and batches written."""
+    """Rows staged (before deduplication) and batches written; none of either for a batch that had been committed."""
 
     rows: int
     batches: int
@@ -48,6 +49,10 @@ class WriteSession:
     In merge mode the last row of a key wins: by ``sequence_by`` when given, then by
     batch, then by position in the batch as Spark read it. Give ``sequence_by`` when the
     order within a batch matters and the batch is not a plain scan.
+
+    ``batch`` is a stream's name and the number of its batch, as ``foreachBatch`` gives it. A
+    batch that the table holds already is not written again. See :func:`settle_batch` for one
+    whose driver died.
     """
 
     def __init__(
@@ -63,6 +68,7 @@ class WriteSession:
         partition_by: Sequence[str] = (),
         schema_policy: str = "fail_on_change",
         schema: T.StructType | None = None,
+        batch: tuple[str, int] | None = None,
         **options,
     ):
         if mode not in MODES:
@@ -75,7 +81,9 @@ class WriteSession:
             raise TableflowError(Code.MERGE_KEY, "a merge needs at least one key")
         if options:
             raise TableflowError(Code.BAD_OPTION, f"unknown option: {', '.join(sorted(options))}")
-        self._spark, self._mode = spark, mode
+        if batch is not None:
+            _check_batch(*batch)
+        self._spark, self._mode, self._batch = spark, mode, batch
         self._keys, self._sequence_by, self._partition_by = list(keys), list(sequence_by), list(partition_by)
         self._target = resolve_target(spark, target, datasets, partition_by)
         self._schema: T.StructType | None = None
@@ -129,10 +137,13 @@ class WriteSession:
             small = self._bytes <= broadcast_limit(self._spark)
             strategy = "broadcast" if small else "shuffle"
             folder = self._staged_rows if self._batches and self._mode != "merge" else None
-            _land(self._target, self._mode, self._staged(), self._schema, self._keys, self._order(), strategy, folder)
+            landed = _land(
+                self._target, self._mode, self._staged(), self._schema, self._keys, self._order(), strategy, folder,
+                batch=self._batch,
+            )
         finally:
             self._drop_staging()
-        return WriteResult(self._rows, self._batches)
+        return WriteResult(self._rows, self._batches) if landed else WriteResult(0, 0)
 
     def abort(self) -> None:
         self._require_open()
@@ -189,8 +200,38 @@ def write_table(df: DataFrame, target: str, mode: str = "append", **options) ->
             return session.commit()
     session._accept(df.schema)
     count = Observation("written")
-    _land(session._target, mode, landed_frame(df), df.schema, count=count)
-    return WriteResult(count.get["rows"], 1)
+    landed = _land(session._target, mode, landed_frame(df), df.schema, count=count, batch=session._batch)
+    return WriteResult(count.get["rows"], 1) if landed else WriteResult(0, 0)
+
+
+def settle_batch(
+    spark: SparkSession,
+    target: str,
+    stream: str,
+    number: int,
+    committed: bool,
+    *,
+    datasets: Mapping[str, str] | None = None,
+) -> None:
+    """Say whether a batch holds whose driver died while appending it, which the table alone cannot tell.
+
+    Until then an append of the stream is refused as ``batch_unknown``. Merges and replaces
+    need no such word: doing them again gives the same table.
+    """
+    _check_batch(stream, number)
+    place = resolve_target(spark, target, datasets, ())
+    with place.locked():
+        known = place.batches(stream)
+        if known.begun != number:
+            raise TableflowError(Code.BAD_OPTION, f"batch {number} of {stream!r} is not open in {place.name}")
+        place.keep_batches(stream, Batches(number if committed else known.last))
+
+
+def _check_batch(stream: str, number: int) -> None:
+    if not re.fullmatch(r"[A-Za-z0-9_.-]{1,100}", stream):
+        raise TableflowError(Code.BAD_OPTION, f"stream name {stream!r} is not letters, digits, '_', '.' and '-'")
+    if number < 0:
+        raise TableflowError(Code.BAD_OPTION, f"batch number {number} is negative")
 
 
 def _check_schema(
@@ -218,13 +259,35 @@ def _land(
     strategy: str = "auto",
     folder: str | None = None,
     count: Observation | None = None,
-) -> None:
-    """The one step that touches the target, after the schema check every mode gets.
+    batch: tuple[str, int] | None = None,
+) -> bool:
+    """The one step that touches the target, after the schema check every mode gets; whether it did.
 
     ``folder`` is where ``rows`` are staged, when they are staged as the target stores them.
     """
     with target.locked():
-        _land_locked(target, mode, rows, schema, keys, order, strategy, folder, count)
+        if batch is None:
+            _land_locked(target, mode, rows, schema, keys, order, strategy, folder, count)
+            return True
+        stream, number = batch
+        known = target.batches(stream)
+        if number <= known.last:
+            return False
+        if mode == "append" and known.begun is not None:
+            raise TableflowError(
+                Code.BATCH_UNKNOWN,
+                f"a driver died while it appended batch {known.begun} of {stream!r} to {target.name}; see settle_batch",
+            )
+        target.keep_batches(stream, Batches(known.last, number))
+        try:
+            _land_locked(target, mode, rows, schema, keys, order, strategy, folder, count)
+        except Exception as error:
+            # A failed write leaves the table as it was; who lost the lock has no say any more.
+            if not (isinstance(error, TableflowError) and error.code is Code.COMMIT_LOST):
+                target.keep_batches(stream, known)
+            raise
+        target.keep_batches(stream, Batches(number))
+        return True
 
 
 def _land_locked(target, mode, rows, schema, keys, order, strategy, folder, count) -> None:
