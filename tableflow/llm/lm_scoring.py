@@ -41,7 +41,8 @@ TASK_TOKENS = 6_000_000
 RATE = 0.15
 #: What the squares of the gradients begin with: how slowly a row that is met rarely moves.
 CAUTION = 20
-_STEP = 16384
+# Tokens of one gradient step: more of them share rows of weights, which are then fetched and written once.
+_STEP = 32768
 _SLICE = 1000
 # What one row of weights is in bytes, to move rows at once; and pairs of weights, to add two at once.
 _ROW, _PAIR = f"V{4 * WAYS}", np.complex64
