@@ -41,8 +41,12 @@ TASK_TOKENS = 6_000_000
 RATE = 0.15
 #: What the squares of the gradients begin with: how slowly a row that is met rarely moves.
 CAUTION = 20
+#: Sums of weights beyond this count as this: no child is more than exp(2 * LIMIT) times as likely as another.
+LIMIT = np.float32(80)
 # Tokens of one gradient step: more of them share rows of weights, which are then fetched and written once.
 _STEP = 32768
+# Rows that are worked on at once, so that they stay in the cache of a core while several sums pass over them.
+_BLOCK = 16384
 _SLICE = 1000
 # What one row of weights is in bytes, to move rows at once; and pairs of weights, to add two at once.
 _ROW, _PAIR = f"V{4 * WAYS}", np.complex64
@@ -157,15 +161,19 @@ def _contexts(hashed: np.ndarray, at: np.ndarray, first: int, end: int) -> np.nd
 
 
 def weight_rows(before: np.ndarray, nodes: np.ndarray, n_nodes: int, size: int) -> np.ndarray:
-    """A row of weight rows for each step: that of its node's bias, and the hash of node and context of each kind."""
-    out = np.empty((len(nodes), 1 + KINDS), np.int32)
-    out[:, 0] = nodes
+    """Which weight rows each step adds up: in the first line its node's bias, then the hash of node and context of each kind."""
+    out = np.empty((1 + KINDS, len(nodes)), np.intp)
+    out[0] = nodes
     own = nodes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     shift = np.uint64(64 - (size.bit_length() - 1))
     for kind in range(KINDS):
-        mixed = ((before[:, kind] + np.uint64(kind + 1)) * np.uint64(0xA0761D6478BD642F)) ^ own
+        mixed = before[:, kind] + np.uint64(kind + 1)
+        mixed *= np.uint64(0xA0761D6478BD642F)
+        mixed ^= own
         mixed ^= mixed >> np.uint64(29)
-        out[:, 1 + kind] = (mixed * np.uint64(0x9E3779B97F4A7C15) >> shift).astype(np.int32) + n_nodes
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        mixed >>= shift
+        np.add(mixed.view(np.int64), n_nodes, out=out[1 + kind])
     return out
 
 
@@ -184,64 +192,71 @@ class Scratch:
 
     def rows(self, name: str, table: np.ndarray, at: np.ndarray) -> np.ndarray:
         # "clip" alone writes to ``out`` without a copy; every place given is within the table.
-        return table.take(at, axis=0, out=self.array(name, (len(at), WAYS)), mode="clip")
+        out = self.array(name, (len(at), WAYS))
+        table.view(_ROW)[:, 0].take(at, out=out.view(_ROW)[:, 0], mode="clip")
+        return out
+
+
+def _blocks(n: int) -> Iterator[slice]:
+    for at in range(0, n, _BLOCK):
+        yield slice(at, min(at + _BLOCK, n))
 
 
 def _logits(weights: np.ndarray, rows: np.ndarray, scratch: Scratch) -> np.ndarray:
-    """The weight of each child at each step, the largest 0."""
-    logits = scratch.rows("logits", weights, rows[:, 0])
-    for kind in range(1, rows.shape[1]):
-        logits += scratch.rows("fetched", weights, rows[:, kind])
-    most = logits
-    while (half := most.shape[1] // 2) > 0:
-        most = np.maximum(most[:, :half], most[:, half:], out=scratch.array(f"most{half}", (len(rows), half)))
-    logits -= most
-    return logits
+    """The weight of each child at each step, cut where its exponential would leave the range of the type."""
+    logits = scratch.rows("logits", weights, rows[0])
+    for kind in rows[1:]:
+        logits += scratch.rows("fetched", weights, kind)
+    return np.clip(logits, -LIMIT, LIMIT, out=logits)
 
 
 def log_chances(weights: np.ndarray, rows: np.ndarray, digits: np.ndarray, scratch: Scratch) -> np.ndarray:
     """The natural logarithm of the softmax at each step's own digit."""
-    logits = _logits(weights, rows, scratch)
-    own = logits.ravel()[np.arange(len(rows)) * WAYS + digits]
-    return own - np.log(np.exp(logits, out=logits) @ _ONES)
+    out = np.empty(len(digits), np.float32)
+    for some in _blocks(len(digits)):
+        logits = _logits(weights, rows[:, some], scratch)
+        own = logits.ravel()[np.arange(len(logits)) * WAYS + digits[some]]
+        out[some] = own - np.log(np.exp(logits, out=logits) @ _ONES)
+    return out
 
 
 def _update(
     weights: np.ndarray, squares: np.ndarray, place: np.ndarray, rows: np.ndarray, digits: np.ndarray, scratch: Scratch
 ) -> None:
     """One step of AdaGrad over the gradient of a few tokens; ``place`` has -1 for each row of weights."""
-    gradient = _logits(weights, rows, scratch)
-    np.exp(gradient, out=gradient)
-    gradient /= (gradient @ _ONES)[:, None]
-    gradient.ravel()[np.arange(len(rows)) * WAYS + digits] -= 1
-    used = scratch.array("used", rows.shape[::-1], np.int32)
-    used[:] = rows.T
-    place[used.ravel()] = 0
+    # Columns two at once, as sums by row of weights are taken: several times faster than sorting the steps by row.
+    pairs = scratch.array("pairs", (WAYS // 2, len(digits)), _PAIR)
+    for some in _blocks(len(digits)):
+        gradient = _logits(weights, rows[:, some], scratch)
+        np.exp(gradient, out=gradient)
+        gradient /= (gradient @ _ONES)[:, None]
+        gradient.ravel()[np.arange(len(gradient)) * WAYS + digits[some]] -= 1
+        pairs[:, some] = gradient.view(_PAIR).T
+    place[rows.ravel()] = 0
     touched = np.flatnonzero(place == 0)
     place[touched] = np.arange(len(touched), dtype=np.int32)
-    into = scratch.array("into", (used.size,), np.int64)
-    into[:] = place.take(used.ravel())
+    into = scratch.array("into", rows.shape, np.intp)
+    for kind, to in zip(rows, into):
+        to[:] = place.take(kind)
     place[touched] = -1
-    # Sums by row of weights, two columns at once: several times faster than sorting the steps by row.
-    pairs = scratch.array("pairs", (WAYS // 2, len(rows)), _PAIR)
-    pairs[:] = gradient.view(_PAIR).T
     sums = scratch.array("sums", (WAYS // 2, len(touched)), _PAIR)
     sums[:] = 0
-    each = scratch.array("each", used.shape, _PAIR)
     for column, values in zip(sums, pairs):
-        each[:] = values
-        np.add.at(column, into, each.ravel())
-    total = scratch.array("total", (len(touched), WAYS))
-    total.view(_PAIR)[:] = sums.T
-    grown = scratch.rows("grown", squares, touched)
-    grown += np.multiply(total, total, out=scratch.array("square", total.shape))
-    squares.view(_ROW)[touched] = grown.view(_ROW)
-    grown += CAUTION
-    np.sqrt(grown, out=grown)
-    total *= -RATE
-    total /= grown
-    total += scratch.rows("square", weights, touched)
-    weights.view(_ROW)[touched] = total.view(_ROW)
+        for to in into:
+            np.add.at(column, to, values)
+    for some in _blocks(len(touched)):
+        at = touched[some]
+        total = scratch.array("total", (len(at), WAYS))
+        total.view(_PAIR)[:] = sums[:, some].T
+        grown = scratch.rows("grown", squares, at)
+        grown += np.multiply(total, total, out=scratch.array("square", total.shape))
+        squares.view(_ROW)[at] = grown.view(_ROW)
+        grown += CAUTION
+        np.sqrt(grown, out=grown)
+        total *= -RATE
+        total /= grown
+        total += scratch.rows("square", weights, at)
+        weights.view(_ROW)[at] = total.view(_ROW)
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

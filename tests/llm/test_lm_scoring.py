@@ -84,7 +84,7 @@ def test_scores_by_definition(spark, sf_dir):
     def log10_leaf(i, before):
         out = 0.0
         for node, digit in plain_path(model.tree, i):
-            rows = weight_rows(before[None, :], np.array([node]), n_nodes, model.size)[0]
+            rows = weight_rows(before[None, :], np.array([node]), n_nodes, model.size)[:, 0]
             logits = model.weights[rows].astype(float).sum(axis=0)
             out += logits[digit] - logits.max() - math.log(np.exp(logits - logits.max()).sum())
         return out / math.log(10)
