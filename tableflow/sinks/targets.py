@@ -1,4 +1,4 @@
-"""Where a write lands: a folder of Parquet files, or a managed catalog table."""
+"""Where a write lands: a folder of Parquet files, a managed table of the session catalog, or a table of another catalog."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ from tableflow.columns import col
 from tableflow.errors import Code, TableflowError
 from tableflow.files import Files, declare_table, declared_table
 from tableflow.leases import TableLock
+from tableflow.sinks import v2
 from tableflow.sinks.staging import drop_quietly, locked_table, recover_table, swap_folders
 from tableflow.sources.names import TableName
 from tableflow.sources.tables import read_folder, resolve_name
@@ -40,7 +41,8 @@ def resolve_target(
 ) -> FolderTarget | CatalogTarget:
     parsed, path = resolve_name(spark, name, datasets)
     if path is None:
-        return CatalogTarget(spark, parsed, partition_by)
+        kind = OwnCommitTarget if v2.commits_itself(spark, parsed) else CatalogTarget
+        return kind(spark, parsed, partition_by)
     return FolderTarget(spark, path, partition_by)
 
 
@@ -269,6 +271,34 @@ class CatalogTarget:
             log.warning("could not drop %s", name, exc_info=True)
 
 
+class OwnCommitTarget(CatalogTarget):
+    """A table whose catalog commits each of Spark's V2 plans at once; what it cannot commit at once is refused."""
+
+    def open(self, schema: T.StructType, mode: str) -> DataFrame | None:
+        if not self.spark.catalog.tableExists(self.table.sql):
+            return None
+        existing = self.spark.table(self.table.sql)
+        v2.check_abilities(self.name, mode, set(existing.columns) == set(schema.names), self._abilities())
+        # Rows are laid out by the table's own definition, of which an existing one may hide parts.
+        columns = [c.name for c in self.spark.catalog.listColumns(self.table.sql) if c.isPartition]
+        self.partition_by = settled_layout(self.name, columns, self.partition_by, schema, mode)
+        return existing
+
+    def append(self, rows: DataFrame) -> None:
+        rows.writeTo(self.table.sql).append()
+
+    def put(self, rows: DataFrame) -> None:
+        abilities = self._abilities()
+        same = abilities.table is not None and self._fits(rows)
+        v2.overwrite(self.table, rows, abilities, same, self.partition_by)
+
+    def merge(self, existing: DataFrame, latest: DataFrame, keys: Sequence[str]) -> None:
+        v2.merge_into(self.table, existing.schema, latest, keys)
+
+    def _abilities(self) -> v2.Abilities:
+        return v2.Abilities(self.spark, self.table)
+
+
 def settled_layout(
     name: str, layout: list[str], asked: list[str], schema: T.StructType, mode: str
 ) -> list[str]:

@@ -21,7 +21,7 @@ from tableflow.schema.landing import conform, landed_frame
 from tableflow.schema.mapping import SEQUENCE_COLUMN, same_type, schema_map
 from tableflow.session import staging_root
 from tableflow.sinks.staging import drop_quietly
-from tableflow.sinks.targets import Batches, CatalogTarget, FolderTarget, resolve_target
+from tableflow.sinks.targets import Batches, CatalogTarget, FolderTarget, OwnCommitTarget, resolve_target
 from tableflow.sizes import broadcast_limit, row_bytes
 
 MODES = ("append", "replace", "merge")
@@ -318,6 +318,11 @@ def _merge_into(
     order: Sequence[str],
     strategy: str,
 ) -> None:
+    if isinstance(target, OwnCommitTarget):
+        written = [c for c in rows.columns if c in set(existing.columns)]
+        latest = dedup_last(rows, keys, order).select(*[col(c) for c in written])
+        target.merge(existing, conform(latest, T.StructType([f for f in existing.schema if f.name in written])), keys)
+        return
     layout = target.partition_by
     # With the partition columns among the keys, a row never changes partition, so only
     # the partitions the source names need reading and writing.
