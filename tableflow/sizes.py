@@ -22,6 +22,20 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def joined_bytes(df: DataFrame) -> int:
+    """``estimated_bytes``, but of a join the sum of its sides, where Catalyst may multiply them."""
+    return _joined_bytes(df._jdf.queryExecution().optimizedPlan())[0]
+
+
+def _joined_bytes(plan) -> tuple[int, bool]:
+    """The bytes of a logical plan, and whether a join is in it."""
+    children = plan.children()
+    inner = [_joined_bytes(children.apply(i)) for i in range(children.size())]
+    if plan.nodeName() == "Join" or any(joined for _, joined in inner):
+        return sum(size for size, _ in inner), True
+    return int(str(plan.stats().sizeInBytes())), False
+
+
 def row_bytes(schema: T.StructType) -> Column:
     """The size of a row in memory: its words, its text and bytes, and those of its nested values."""
     return sum((_value_bytes(col(f.name), f.dataType) for f in schema.fields), F.lit(0)).cast("long")
