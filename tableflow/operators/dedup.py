@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tableflow.columns import col, require_columns
 from tableflow.errors import Code, TableflowError
 from tableflow.session import size_shuffles
-from tableflow.sizes import joined_bytes
+from tableflow.sizes import sorted_bytes
 
 _RANK = "_dedup_rank"
 
@@ -25,6 +25,6 @@ def dedup_last(df: DataFrame, keys: Sequence[str], sequence_by: Sequence[str]) -
     if not keys or not sequence_by:
         raise TableflowError(Code.BAD_OPTION, "deduplication needs key columns and sequence columns")
     require_columns([*keys, *sequence_by], df.columns, "key or sequence column")
-    size_shuffles(df.sparkSession, joined_bytes(df))
+    size_shuffles(df.sparkSession, sorted_bytes(df))
     window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*[col(c).desc() for c in sequence_by])
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)

@@ -24,7 +24,7 @@ from tableflow.operators.dedup import dedup_last
 from tableflow.schema.diff import check_write
 from tableflow.schema.landing import conform
 from tableflow.session import size_shuffles
-from tableflow.sizes import broadcast_limit, estimated_bytes, joined_bytes
+from tableflow.sizes import broadcast_limit, estimated_bytes, sorted_bytes
 
 _ROW = "_merge_row"
 _TARGET, _SOURCE = "_merge_t", "_merge_s"
@@ -57,7 +57,7 @@ def merge_rows(
     check_write(target.schema, source.select(*[col(c) for c in written]).schema, "the target")
     if not sequence_by:
         source, sequence_by = source.withColumn(_ROW, F.monotonically_increasing_id()), [_ROW]
-    size_shuffles(source.sparkSession, joined_bytes(target) + joined_bytes(source))
+    size_shuffles(source.sparkSession, sorted_bytes(target) + sorted_bytes(source))
     join_hint = _JOIN_HINTS[strategy]
     small = strategy == "broadcast" or (
         strategy == "auto" and estimated_bytes(source) <= broadcast_limit(source.sparkSession)

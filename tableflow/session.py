@@ -19,6 +19,9 @@ SETTINGS = {
 }
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+# What one task gets of a shuffle or of files, in bytes as compressed; sorted or hashed they take some 20 times as many.
+TASK_BYTES = 16 * 1024 * 1024
+_TASK_SIZES = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
 _MOST_PARTITIONS = 2**31 - 1
 
 
@@ -34,8 +37,13 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
 
     AQE coalesces what turns out small, so the number is a start and not a cost. It only grows, as a plan sized
     earlier may run later. An estimate beyond what the setting can count is Spark's word for an unknown size, and
-    changes nothing. Returns the number.
+    changes nothing. Returns the number. The sizes of ``_TASK_SIZES`` that are above ``TASK_BYTES`` are brought down
+    to it, so that the memory of a task does not grow with the input.
     """
+    number_of = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for size in _TASK_SIZES:
+        if number_of(spark.conf.get(size)) > TASK_BYTES:
+            spark.conf.set(size, str(TASK_BYTES))
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
     if wanted > _MOST_PARTITIONS:
