@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,37 +135,56 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def _weighed(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Bigrams and measures each as a unit vector, so that a text's length does not decide what counts."""
-    rows = counts * weights
-    return np.hstack([_unit(rows[:, :TERMS]), _unit(rows[:, TERMS:])])
+    """Bigrams and measures each as a unit vector, so that a text's length does not decide what counts.
 
+    A block at a time: nothing beside the result is as large as the counts.
+    """
+    out = np.empty(counts.shape, np.float32)
+    for a in range(0, len(counts), _BLOCK):
+        rows = counts[a : a + _BLOCK] * weights
+        out[a : a + _BLOCK, :TERMS] = _unit(rows[:, :TERMS])
+        out[a : a + _BLOCK, TERMS:] = _unit(rows[:, TERMS:])
+    return out
 
-def fit_space(counts: np.ndarray, labels: np.ndarray) -> LatentSpace:
-    """Inverse document frequencies and the leading right singular vectors (randomised subspace iteration)."""
-    n = len(counts)
-    weights = np.log((1 + n) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
-    weighed = _weighed(counts, weights)
+
+def _latent(weighed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The leading right singular vectors (randomised subspace iteration) and the unit vectors of the rows there."""
+    n = len(weighed)
     rank = min(RANK, n)
-    basis = np.random.default_rng(0).standard_normal((counts.shape[1], rank + 16)).astype(np.float32)
+    basis = np.random.default_rng(0).standard_normal((weighed.shape[1], rank + 16)).astype(np.float32)
     for _ in range(4 if n else 0):
         basis = np.linalg.qr(weighed.T @ (weighed @ basis))[0]
     if n:
         _, _, right = np.linalg.svd(weighed @ basis, full_matrices=False)
         basis = basis @ right[:rank].T
     projection = basis[:, :rank].astype(np.float32)
+    return projection, _unit(weighed @ projection)
+
+
+def fit_space(counts: np.ndarray, labels: np.ndarray) -> LatentSpace:
+    """Inverse document frequencies, the space they span, and the labelled vectors with the scores of their votes."""
+    weights = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
+    projection, vectors = _latent(_weighed(counts, weights))
     labels = labels.astype(np.float64)
     line = np.array([0.0, 1.0])
-    vectors = LatentSpace(weights, projection, np.zeros((0, rank), np.float32), labels, line, line).project(counts)
     space = LatentSpace(weights, projection, vectors, labels, line, line)
     return LatentSpace(weights, projection, vectors, labels, *calibration(space.vote(vectors, own=0), labels))
 
 
 def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts are packed, as most are zero or small: the driver gets about a tenth of them as bytes."""
     for batch in batches:
-        rows = [r.astype(np.float32).tobytes() for r in term_counts(batch.column(1))]
+        rows = [zlib.compress(r, 1) for r in term_counts(batch.column(1))]
         yield pa.record_batch([batch.column(0), pa.array(rows, pa.binary()), batch.column(2)], names=["doc_id", "counts", "label"])
 
 
+def _unpacked(rows: Sequence[Row]) -> np.ndarray:
+    out = np.empty((len(rows), TERMS + _MEASURES * STEPS), np.float32)
+    for i, row in enumerate(rows):
+        out[i] = np.frombuffer(zlib.decompress(row.counts), np.float32)
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LatentSpace:
     """Fit the space on at most ``sample`` labelled documents, those whose ids hash lowest, held-out ones excepted.
 
@@ -185,11 +205,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LatentSpa
         .join(F.broadcast(drawn), "doc_id")
         .mapInArrow(_sample_counts, "doc_id long, counts binary, label int")
         .dropDuplicates(["doc_id"])
-        .orderBy("doc_id")
         .collect()
     )
-    counts = np.frombuffer(b"".join(bytes(r.counts) for r in rows), np.float32).reshape(-1, TERMS + _MEASURES * STEPS)
-    return fit_space(counts, np.array([r.label for r in rows], np.float64))
+    rows.sort(key=lambda r: r.doc_id)  # as many as the sample has, at most
+    return fit_space(_unpacked(rows), np.array([r.label for r in rows], np.float64))
 
 
 def score_documents(docs: DataFrame, space: LatentSpace) -> DataFrame:

@@ -1,10 +1,11 @@
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 
 from tableflow.llm.common import table
-from tableflow.llm.quality_classifier import THRESHOLD, calibration, classify, fit_space, good_documents, op6_quality_classifier, term_counts
+from tableflow.llm.quality_classifier import THRESHOLD, calibration, classify, fit_space, good_documents, op6_quality_classifier, term_counts, train
 
 
 def test_held_out_accuracy(spark):
@@ -69,3 +70,38 @@ def test_odd_documents(spark, odd_docs, no_docs):
     kept = good_documents(odd_docs, labels)
     assert kept.columns == odd_docs.columns
     assert kept.exceptAll(odd_docs).count() == 0
+
+
+def test_the_driver_gets_the_sample_packed(spark, monkeypatch):
+    """What is sent is a fraction of the counts, and the space is that of the counts as they are."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    words = "the of and a river stone light over under cloud falls moves quiet bright house tree".split()
+    rows = [(7919 * i % 1000 + 1, " ".join(rng.choice(words, 120 + i))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    sent, frame = [], type(docs)
+    real = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: sent.extend(got := real(self)) or got)
+    space = train(docs, labels)
+    learned = sorted(x for x in rows if zlib.crc32(str(x[0]).encode()) % 5)
+    counts = term_counts(pa.array([text for _, text in learned]))
+    assert len(sent) == len(learned) == len(space.labels)
+    assert 0 < sum(len(r.counts) for r in sent) < counts.nbytes / 4
+    want = fit_space(counts, np.array([i % 2 for i, _ in learned]))
+    for name in ("weights", "projection", "vectors", "labels", "votes", "scores"):
+        assert np.array_equal(getattr(space, name), getattr(want, name)), name
+
+
+def test_fitting_takes_little_memory_beside_the_counts():
+    import pyarrow as pa
+
+    counts = np.random.default_rng(6).poisson(0.3, (3000, term_counts(pa.array([""])).shape[1])).astype(np.float32)
+    tracemalloc.start()
+    try:
+        fit_space(counts, np.arange(len(counts)) % 2)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 2 * counts.nbytes
