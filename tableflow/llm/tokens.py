@@ -18,10 +18,11 @@ import pyarrow.compute as pc
 
 from tableflow.llm.common import worker_memory
 
-#: Parts remembered by a worker process, about 250 bytes each.
-MEMO_ENTRIES = 700_000
-#: Bytes of texts encoded at a time, about; a part met twice among them is encoded once.
-SLICE_BYTES = 24 << 20
+#: Parts remembered by a worker process, about 130 bytes each; a dict of more is twice as large.
+MEMO_ENTRIES = 690_000
+#: Bytes of texts encoded at a time, about; a part met twice among them is encoded once. Encoding takes some twenty
+#: times as much memory, in each of an executor's workers.
+SLICE_BYTES = 4 << 20
 _CHUNK = 2_000
 
 #: What every string of a special token begins with.
@@ -86,7 +87,7 @@ class TokenEncoder:
 
     def _ids_of(self, parts: list[str]) -> list[bytes]:
         memo = self._memo
-        found = [memo.get(part) for part in parts]
+        found = list(map(memo.get, parts))
         missing = [i for i, ids in enumerate(found) if ids is None]
         texts = [self._text_of(parts[i]) for i in missing]
         mark = _BETWEEN[self._split].strip(" ")
@@ -121,6 +122,9 @@ class TokenEncoder:
             for at, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
                 some = batch.slice(at, end - at)
                 yield some.column(0), *self.encode(some.column(1))
+            # What Arrow keeps of it would stay with the worker, which outlives the task.
+            batch = some = None
+            pa.default_memory_pool().release_unused()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text begins and the last ends; null is empty."""
@@ -134,7 +138,7 @@ class TokenEncoder:
         listed = self._parts(fast)
         first = listed.offsets.to_numpy()
         coded = listed.values.slice(first[0], first[-1] - first[0]).dictionary_encode()
-        known = self._ids_of(coded.dictionary.to_pylist())
+        known = self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         flat = np.frombuffer(b"".join(known), dtype=self.dtype)
         size = np.fromiter(map(len, known), np.int64, len(known)) // self.dtype.itemsize
         start = np.cumsum(size) - size
